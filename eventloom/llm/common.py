@@ -49,3 +49,8 @@ def text_or_empty(name: str) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of df as they are named, dots included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

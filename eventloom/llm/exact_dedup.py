@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, text_or_empty
+from .common import ascii_lower, cut, own_columns, text_or_empty
 
 #: Digests that the sketch may report, and counters that it keeps; both bound the broadcast.
 HEAVY_ITEMS = 1000
@@ -57,9 +57,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with their own columns: one of each group of equal texts."""
     found = exact_dedup(docs, id_col, text_col)
-    stays = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    marked = docs.withColumn("__mark", text_digest(text_col))
-    joined = marked.join(stays, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__digest")), "left_semi")
+    stays = found.where("kept").select(F.col("doc_id").alias("__eventloom_id"), F.col("digest").alias("__eventloom_digest"))
+    marked = docs.withColumn("__eventloom_mark", text_digest(text_col))
+    joined = marked.join(stays, F.col(id_col).eqNullSafe(F.col("__eventloom_id")) & (F.col("__eventloom_mark") == F.col("__eventloom_digest")), "left_semi")
     # Only rows that repeat both id and text are left together here; one of them stays.
-    once = Window.partitionBy(id_col, "__mark").orderBy(F.lit(0))
-    return joined.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*docs.columns)
+    once = Window.partitionBy(id_col, "__eventloom_mark").orderBy(F.lit(0))
+    return joined.withColumn("__eventloom_n", F.row_number().over(once)).where("__eventloom_n = 1").select(*own_columns(docs))

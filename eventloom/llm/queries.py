@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import table
+from .decontaminate import contamination, contamination_report
 from .exact_dedup import exact_dedup
+from .simhash import near_copies
 from .token_file import token_file_round_trip
 
 
@@ -32,16 +34,26 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_file": op2_token_file,
+    "op5_decontaminate": op5_decontaminate,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLES: dict[str, str] = {
