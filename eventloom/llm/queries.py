@@ -12,6 +12,7 @@ from .bpe import bpe_round_trip
 from .common import table
 from .decontaminate import contamination, contamination_report
 from .exact_dedup import exact_dedup
+from .secrets import scan_secrets, secrets_report
 from .simhash import near_copies
 from .token_file import token_file_round_trip
 
@@ -34,6 +35,10 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_report(scan_secrets(table(spark, sf_dir, "documents")))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -51,6 +56,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_file": op2_token_file,
+    "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_simhash": op8_simhash,
