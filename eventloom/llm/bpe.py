@@ -12,13 +12,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from .tokens import Memo, cut_pieces
 
 #: How byte-level vocabularies split text before merging; white space is the Unicode property.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 OUTPUTS = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "decoded": pa.string(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
-SQL_TYPES = {"n_tokens": "bigint", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+TYPES = {"n_tokens": LongType(), "ids": ArrayType(IntegerType()), "decoded": StringType(), "ids_sha256": StringType(), "decoded_sha256": StringType()}
 
 
 def byte_symbols() -> dict[str, int]:
@@ -120,16 +121,15 @@ def codec(path: str) -> BytePairCodec:
     return _codecs[path]
 
 
-def bpe_round_trip(docs: DataFrame, vocab_path: str, outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def bpe_round_trip(docs: DataFrame, vocab_path: str, outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Encodes every whole text and decodes the ids again; one row per row of docs, with doc_id and the outputs asked for.
 
-    Outputs: n_tokens, ids, decoded, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the
+    Columns of docs named in keep (other than doc_id) come along unchanged. Outputs: n_tokens, ids, decoded, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the
     UTF-8 of the decoded text). Null text counts as empty and has no ids; a null id stays null; rows may
     repeat. Each row stands alone: no shuffle, memory bounded by one batch and the memo. vocab_path must be
     readable on each executor.
     """
     wanted = tuple(outputs)
-    schema = pa.schema([("doc_id", pa.int64()), *((k, OUTPUTS[k]) for k in wanted)])
     numbers: list[str] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +150,9 @@ def bpe_round_trip(docs: DataFrame, vocab_path: str, outputs: tuple[str, ...] =
                         made["decoded_sha256"] = hashlib.sha256(text.encode()).hexdigest()
                     for k, kept in out.items():
                         kept.append(made[k])
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(out[k], OUTPUTS[k]) for k in wanted)], schema=schema)
+                kept_columns = [batch.column(0), *(batch.column(2 + i) for i in range(len(keep)))]
+                yield pa.RecordBatch.from_arrays([*kept_columns, *(pa.array(out[k], OUTPUTS[k]) for k in wanted)], names=["doc_id", *keep, *wanted])
 
-    spec = ", ".join(["doc_id bigint", *(f"{k} {SQL_TYPES[k]}" for k in wanted)])
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, spec)
+    spec = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in keep), *(StructField(k, TYPES[k]) for k in wanted)])
+    kept_in = [F.col(c) for c in keep]
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("__text"), *kept_in).mapInArrow(run, spec)

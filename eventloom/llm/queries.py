@@ -12,6 +12,7 @@ from .bpe import bpe_round_trip
 from .common import table
 from .decontaminate import contamination, contamination_report
 from .exact_dedup import exact_dedup
+from .quality import quality_scores
 from .secrets import scan_secrets, secrets_report
 from .simhash import near_copies
 from .token_file import token_file_round_trip
@@ -49,6 +50,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
 }
 
