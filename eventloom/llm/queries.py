@@ -12,6 +12,7 @@ from .bpe import bpe_round_trip
 from .common import table
 from .decontaminate import contamination, contamination_report
 from .exact_dedup import exact_dedup
+from .licenses import licenses_report, scan_licenses
 from .quality import quality_scores
 from .secrets import scan_secrets, secrets_report
 from .simhash import near_copies
@@ -58,6 +59,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses_report(scan_licenses(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_file": op2_token_file,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLES: dict[str, str] = {
