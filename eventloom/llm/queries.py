@@ -16,6 +16,7 @@ from .licenses import licenses_report, scan_licenses
 from .quality import quality_scores
 from .secrets import scan_secrets, secrets_report
 from .simhash import near_copies
+from .suffix_dedup import repeated_spans, suffix_report
 from .token_file import token_file_round_trip
 
 
@@ -37,6 +38,10 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_report(repeated_spans(table(spark, sf_dir, "documents")))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_report(scan_secrets(table(spark, sf_dir, "documents")))
 
@@ -66,6 +71,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_token_file": op2_token_file,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
     "op6_exact_dedup": op6_exact_dedup,
