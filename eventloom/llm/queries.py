@@ -12,6 +12,7 @@ from .bpe import bpe_round_trip
 from .common import table
 from .decontaminate import contamination, contamination_report
 from .exact_dedup import exact_dedup
+from .html import extract
 from .licenses import licenses_report, scan_licenses
 from .quality import quality_scores
 from .secrets import scan_secrets, secrets_report
@@ -64,6 +65,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses_report(scan_licenses(table(spark, sf_dir, "documents")))
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality": op7_quality,
     "op8_simhash": op8_simhash,
+    "op9_html": op9_html,
     "op10_licenses": op10_licenses,
 }
 
