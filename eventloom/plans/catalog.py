@@ -1,4 +1,9 @@
 """All queries of the library by name, with SQL for those that SQL can express."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from . import q_fusion
+
+MODULES = (q_fusion,)
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
