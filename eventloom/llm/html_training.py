@@ -15,7 +15,7 @@ from .boosting import Boosted, train
 from .html import MODEL, Page, features
 
 MARK = "\ue000"
-PAGES, TREES, SEED = 3500, 80, 11
+PAGES, TREES, SEED = 5000, 90, 11
 SYLLABLES = "an ba cor de el fi gra ho in jo ka lu mo ne or pa qui re si ta un ve wo xa yo ze sch ção é ñ ü ку ра ми 中 文".split()
 INLINE = ("b", "i", "em", "strong", "span", "code", "u", "mark", "small")
 
@@ -151,6 +151,10 @@ class Maker:
             parts.append(r.choice((self.share, self.form, self.ad))())
         if r.random() < 0.15:
             parts.append(self.comments())
+        if r.random() < 0.2:  # a page that says next to nothing
+            title = self.sentence(1, 6)
+            parts = [self.block("h1", title, main=True), self.block("p", r.choice(("<b>", "")) + r.choice((title, self.sentence(1, 6))) + r.choice(("<br>", "")), main=True)]
+            parts += [self.block("p", self.sentence(1, 12), main=True) for _ in range(r.choice((0, 0, 1, 2)))]
         inside = "".join(parts)
         if r.random() < 0.3:
             inside = self.block("div", inside, "content", "article-body", "entry", "text")
