@@ -25,7 +25,7 @@ FUSED = E + """,
 #: scored: every event as a row with latency, loss, label (null, 0 or 1) and risk.
 SCORED = E + """,
     scored AS (SELECT CAST(event_id AS VARCHAR) AS fused_event_id, event_id, ms AS timestamp_ms, ts, event_type AS sensor_type, user_id, value AS latency_ms, CAST(user_id % 10 AS DOUBLE) AS data_loss_pct,
-        CASE event_type WHEN 'error' THEN 1 WHEN 'view' THEN NULL ELSE 0 END AS anomaly_label, least(value / 200, 1.0) AS risk_score FROM e)"""
+        CASE event_type WHEN 'error' THEN 1 WHEN 'view' THEN NULL ELSE 0 END AS anomaly_label, round(least(value / 200, 1.0), 6) AS risk_score FROM e)"""
 ALERTS = SCORED + """,
     alerts AS (SELECT fused_event_id, timestamp_ms, sensor_type AS source_type, 1 AS anomaly_label, risk_score, CASE user_id % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'reviewed' ELSE 'closed' END AS status,
         timestamp_ms + 1000 * (user_id % 50) AS status_updated_at FROM scored)"""
@@ -50,7 +50,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     return events(spark, sf).select(
         F.col("event_id").cast("string").alias("fused_event_id"), "event_id", F.col("ms").alias("timestamp_ms"), "ts", kind.alias("sensor_type"), "user_id", F.col("value").alias("latency_ms"), (F.col("user_id") % 10).cast("double").alias("data_loss_pct"),
-        F.when(kind == "error", 1).when(kind != "view", 0).alias("anomaly_label"), F.least(F.col("value") / 200, F.lit(1.0)).alias("risk_score"),
+        F.when(kind == "error", 1).when(kind != "view", 0).alias("anomaly_label"), F.round(F.least(F.col("value") / 200, F.lit(1.0)), 6).alias("risk_score"),
     )
 
 
