@@ -48,7 +48,7 @@ def nearest_rank(values: Column, p: float) -> Column:
 def quality_score(loss_pct: Column, latency_ms: Column) -> Column:
     """100 less the loss, less a point for each 100 ms beyond 500; cut to an integer of 0 at least."""
     late = F.when(latency_ms > 500, (latency_ms - 500) / 100.0).otherwise(F.lit(0.0))
-    return F.greatest(F.lit(0), (F.lit(100.0) - loss_pct - late).cast("int"))
+    return F.greatest(F.lit(0.0), F.lit(100.0) - loss_pct - late).cast("int")
 
 
 def quality_status(score: Column) -> Column:

@@ -19,12 +19,13 @@ def with_audit(df: DataFrame, now: Column, batch_id: str | None = None, sensor:
 
 def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """Rows of batch whose key is neither in target nor earlier in batch; null keys never conflict."""
+    keyed = batch.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
     if order:
         cols = [c for c in batch.columns if c not in keys]
-        first = batch.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).groupBy(*keys).agg(F.min_by(F.struct(*cols), order).alias("__row")).select(*keys, "__row.*")
-        once = first.select(*batch.columns).unionByName(batch.where(" OR ".join(f"{k} IS NULL" for k in keys)))
+        keyed = keyed.groupBy(*keys).agg(F.min_by(F.struct(*cols), order).alias("__row")).select(*keys, "__row.*").select(*batch.columns)
     else:
-        once = batch.dropDuplicates(keys)
+        keyed = keyed.dropDuplicates(keys)
+    once = keyed.unionByName(batch.where(" OR ".join(f"{k} IS NULL" for k in keys)))
     return once if target is None else once.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
 
 
