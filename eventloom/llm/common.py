@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 _own_dir: str | None = None
 
@@ -54,3 +55,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def own_columns(df: DataFrame) -> list[Column]:
     """The columns of df as they are named, dots included."""
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def map_rows(df: DataFrame, run, *more: StructField) -> DataFrame:
+    """mapInArrow over whole rows, whatever their columns are called; run gets them by place and may add columns at the end."""
+    fields = [*df.schema.fields, *more]
+    plain = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(fields)])
+    return df.toDF(*plain.names[: len(df.columns)]).mapInArrow(run, plain).toDF(*[f.name for f in fields])

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_rows
+
 WINDOW = 10
 #: Characters of patterns in one automaton (about 50 bytes of memory each); more items take more passes.
 PATTERN_CHARS = 3_000_000
@@ -171,5 +173,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
     for number, block in enumerate(pattern_blocks(benchmark, item_col, item_text_col, pattern_chars)):
         sent = spark.sparkContext.broadcast(block)
-        docs = docs.mapInArrow(keeper(sent, f"{id(sent)}-{number}"), docs.schema)
+        docs = map_rows(docs, keeper(sent, f"{id(sent)}-{number}"))
     return docs

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, map_rows
 
 #: Random features, their seed, the kernel's width in standard deviations, and the ridge penalty for each row.
 FEATURES, SEED, WIDTH, RIDGE = 256, 7, 3.0, 1e-4
@@ -202,4 +202,4 @@ def drop_rejected(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
                 x = np.array([statistics(t.as_py() or "") for t in batch.column(place)])
                 yield batch.filter(pa.array(model.value.score(x) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)

@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField
 
-from .common import cut, own_columns
+from .common import cut, map_rows, own_columns
 from .components import components
 
 SHINGLE, SEED = 3, 42
@@ -60,9 +60,9 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = pa.array([fingerprint(t.as_py() or "") for t in batch.column(place)], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, prints], names=[*batch.schema.names, MARK])
+            yield pa.RecordBatch.from_arrays([*batch.columns, prints], names=[*batch.schema.names, f"c{len(batch.columns)}"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(MARK, LongType())]))
+    return map_rows(docs, run, StructField(MARK, LongType()))
 
 
 def grid_point(fp: Column) -> Column:
