@@ -40,21 +40,24 @@ LENGTH_CLASSES = (24, 32, 40, 64, 1 << 30)
 BINS_PER_DECADE, MOST_DECADES = 20, 50
 
 
+def running_sums(lengths: Column) -> Column:
+    """Sums of an array of ints up to each place, by blocks of about the root of its size: n^1.5 steps instead of n^2."""
+    none = F.array().cast("array<int>")
+    grow = lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x)).alias("out"))
+    summed = lambda a: F.aggregate(a, F.struct(F.lit(0).alias("at"), none.alias("out")), grow, lambda acc: acc["out"])
+    wide = F.ceil(F.sqrt(F.size(lengths))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), wide - 1), lambda k: summed(F.slice(lengths, k * wide + 1, wide)))
+    ends = summed(F.transform(blocks, lambda s: F.coalesce(F.get(s, F.size(s) - 1), F.lit(0))))
+    return F.flatten(F.zip_with(blocks, F.concat(F.array(F.lit(0)), ends), lambda s, before: F.transform(F.coalesce(s, none), lambda x: x + before)))
+
+
 def matches_at(text: Column, pattern: str) -> Column:
     """array<struct<start:int, text:string>> of all leftmost non-overlapping matches, start in code points from 0."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("hit"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,text:string>>").alias("out"))
-    walked = F.aggregate(
-        pairs, zero,
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["gap"]) + F.length(p["hit"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(p["gap"])).alias("start"), p["hit"].alias("text")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.size(found) > 0, walked).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+    ends = running_sums(F.zip_with(gaps, found, lambda g, hit: F.length(g) + F.length(hit)))
+    placed = F.zip_with(ends, found, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), hit.alias("text")))
+    return F.when(F.size(found) > 0, placed).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
 
 
 def base_spans(text: Column) -> Column:
