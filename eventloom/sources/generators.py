@@ -62,7 +62,7 @@ def base_records(df: DataFrame, kind: str, base_ms: int, seed: int = 42, n: str
         parameter = d.choice("parameter", list(PARAMETERS))
         of = lambda k: F.coalesce(*[F.when(parameter == p, F.lit(v[k])) for p, v in PARAMETERS.items()])
         own = {"device_id": F.format_string("SENSOR-UNIT-%02d", device), "parameter_name": parameter, "value": d.uniform("value", of(1), of(2)), "unit": of(0), "sequence_number": F.col(n) + 1}
-    common = {"event_id": d.uuid("event"), "sensor_id": F.format_string(f"{kind}-%02d", device), "sensor_type": F.lit(kind), "timestamp_ms": F.lit(base_ms) + (F.col(n) + 1) * INTERVAL_MS, "schema_version": F.lit("1.0")}
+    common = {"event_id": d.uuid(f"event {kind}"), "sensor_id": F.format_string(f"{kind}-%02d", device), "sensor_type": F.lit(kind), "timestamp_ms": F.lit(base_ms) + (F.col(n) + 1) * INTERVAL_MS, "schema_version": F.lit("1.0")}
     fields = common | own
     return df.select(F.col(n).alias("n"), *[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SENSOR_EVENT], F.lit(0).alias("label"), F.lit(None).cast("string").alias("anomaly_type"))
 
