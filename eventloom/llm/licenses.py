@@ -15,12 +15,12 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, cut, text_or_empty
-from .secrets import matches_at
 
 SHINGLE, CONTAINMENT, RECALL = 5, 0.8, 0.9999
 WORD = "[a-z0-9]+"
@@ -112,46 +112,51 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     spark = docs.sparkSession
     known = prepare(templates)
     keys = template_bands(spark, known)
-    wide = "array<struct<start:int,text:string>>"
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     lowered = F.lower("text")
-    telling = [F.contains(lowered, F.lit(w)) for w in telling_words(known)]
-    held = telling[0]
-    for one in telling[1:]:
-        held = held | one
-    words = F.when(held, matches_at(ascii_lower(F.col("text")), WORD)).otherwise(F.array().cast(wide))
-    scanned = cut(rows.select("row_no", "doc_id", words.alias("words")), "words")
+    held = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(w)) for w in telling_words(known)])
+    own = ascii_lower(F.col("text"))
+    none = F.array().cast("array<string>")
+    read = rows.select(
+        "row_no", "doc_id", F.when(held, F.regexp_extract_all(own, F.lit(WORD), F.lit(0))).otherwise(none).alias("words"),
+        F.when(held, F.transform(F.split(own, WORD, -1), lambda g: F.length(g))).otherwise(F.array().cast("array<int>")).alias("gaps"),
+    )
+    scanned = cut(read, "words")
 
     last = F.size("words") - SHINGLE
-    with_words = scanned.where(last >= 0)
-    every = with_words.withColumn("shingles", F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.transform(F.slice(F.col("words"), i + 1, SHINGLE), lambda w: w["text"]), " ")))
-    hashed = every.withColumn("hashes", F.transform("shingles", lambda s: F.xxhash64(s)))
-    ours = [r[0] for r in spark.createDataFrame([(s,) for t in known for s in t.shingles], "s string").distinct().select(F.xxhash64("s")).collect()]
-    marked = hashed.withColumn("hits", F.filter(F.sequence(F.lit(0), last), lambda i: F.get("hashes", i).isin(ours))).where(F.size("hits") > 0)
+    at_word = lambda i: F.array_join(F.slice(F.col("words"), i + 1, SHINGLE), " ")
+    ours = [s for t in known for s in t.shingles]
+    hits = F.filter(F.sequence(F.lit(0), last), lambda i: at_word(i).isin(ours))
+    # From here on only documents that hold a shingle of some template are looked at.
+    marked = cut(scanned.where(last >= 0).withColumn("hits", hits).where(F.size("hits") > 0).select("row_no", "words", "gaps", "hits"), "marked")
 
     sizes = sorted({t.size for t in known})
-    table = spark.createDataFrame(
-        [(n, k, key, known[n].size) for n, k, key in keys], "number int, k int, key bigint, size int"
-    )
+    table = spark.createDataFrame([(n, k, key, known[n].size) for n, k, key in keys], "number int, k int, key bigint, size int")
     facts = spark.createDataFrame([(t.number, t.name, t.shingles) for t in known], "number int, license string, template array<string>")
     bands = {s: max(t.bands for t in known if t.size == s) for s in sizes}
     windows = None
     for s in sizes:
-        per = s - SHINGLE + 1
-        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("hashes") - per + stride(s) - 1), F.lit(stride(s)))
-        near = F.filter(starts, lambda st: F.exists("hits", lambda h: (h >= st) & (h < st + per)))  # noqa: B023
-        one = marked.select("row_no", "words", "shingles", "hashes", F.explode(near).alias("at")).select(
-            "row_no", F.lit(s).alias("size"), F.slice("words", F.col("at") + 1, s).alias("words"), F.slice("shingles", F.col("at") + 1, per).alias("shingles"),
-            F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands[s] - 1)), lambda k: band(F.slice("hashes", F.col("at") + 1, per), k))).alias("k", "key"),  # noqa: B023
-        )
-        windows = one if windows is None else windows.unionByName(one)
+        per, step = s - SHINGLE + 1, stride(s)
+        # Windows start at multiples of the stride; those around each hit are listed from it, so long texts cost by their hits.
+        final = F.floor(F.greatest(F.lit(0), last + 1 - per + step - 1) / step).cast("int")
+        around = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(F.least(final, F.ceil(F.greatest(F.lit(0), h - per + 1) / step).cast("int")), F.least(final, F.floor(h / step).cast("int")), F.lit(1)))))  # noqa: B023
+        one = marked.select("row_no", "words", F.explode(F.transform(around, lambda w: w * step)).alias("at")).select("row_no", F.lit(s).alias("size"), "at", F.slice("words", F.col("at") + 1, s).alias("words"))  # noqa: B023
+        shingles = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - SHINGLE)), at_word)
+        hashed = one.withColumn("hashes", F.transform(shingles, lambda x: F.xxhash64(x)))
+        keyed = hashed.select("row_no", "size", "at", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands[s] - 1)), lambda k: band(F.col("hashes"), k))).alias("k", "key"))
+        windows = keyed if windows is None else windows.unionByName(keyed)
     # Templates, their bands and shingles are given as parameters: a few thousand rows at most.
-    retrieved = windows.join(F.broadcast(table), ["size", "k", "key"]).select("row_no", "number", "words", "shingles").join(F.broadcast(facts), "number")
-    shared = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i: F.array_contains("template", F.get("shingles", i)))
-    share = F.size(F.array_intersect("template", "shingles")) / F.size("template")
-    verified = retrieved.withColumn("containment", share).where(F.col("containment") >= CONTAINMENT).withColumn("shared", shared)
-    tail = F.get("words", F.array_max("shared") + (SHINGLE - 1))
-    spans = verified.select("row_no", "license", "containment", F.get("words", F.array_min("shared"))["start"].alias("start"), (tail["start"] + F.length(tail["text"])).alias("end")) \
+    retrieved = windows.join(F.broadcast(table), ["size", "k", "key"]).select("row_no", "number", "size", "at").distinct()
+    candidates = retrieved.join(marked.select("row_no", "words", "gaps"), "row_no").join(F.broadcast(facts), "number")
+    inside = F.sequence(F.col("at"), F.least(F.col("at") + F.col("size"), F.size("words")) - SHINGLE)
+    shared = F.filter(inside, lambda i: F.array_contains("template", at_word(i)))
+    verified = candidates.withColumn("shared", shared).withColumn(
+        "containment", F.size(F.array_distinct(F.transform("shared", at_word))) / F.size("template")
+    ).where(F.col("containment") >= CONTAINMENT)
+    total = lambda lengths: F.aggregate(lengths, F.lit(0), lambda n, x: n + x)
+    place = lambda i: total(F.slice("gaps", F.lit(1), i + 1)) + total(F.transform(F.slice("words", F.lit(1), i), lambda w: F.length(w)))
+    tail = F.array_max("shared") + (SHINGLE - 1)
+    spans = verified.select("row_no", "license", "containment", place(F.array_min("shared")).alias("start"), (place(tail) + F.length(F.get("words", tail))).alias("end")) \
         .groupBy("row_no", "license", "start", "end").agg(F.max("containment").alias("containment"))
     # Overlapping spans of one license in one document become one; groups are bounded by that document's length.
     order = Window.partitionBy("row_no", "license").orderBy("start", "end")
@@ -159,8 +164,8 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     merged = spans.withColumn("new", new).withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))) \
         .groupBy("row_no", "license", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("containment").alias("containment"))
     found = merged.groupBy("row_no").agg(F.array_sort(F.collect_list(F.struct("start", "end", "license", "containment"))).alias("matches"))
-    none = F.array().cast("array<struct<start:int,end:int,license:string,containment:double>>")
-    return scanned.select("row_no", "doc_id").join(found, "row_no", "left").select("row_no", "doc_id", F.coalesce("matches", none).alias("matches"))
+    nothing = F.array().cast("array<struct<start:int,end:int,license:string,containment:double>>")
+    return scanned.select("row_no", "doc_id").join(found, "row_no", "left").select("row_no", "doc_id", F.coalesce("matches", nothing).alias("matches"))
 
 
 def licenses_report(found: DataFrame) -> DataFrame:
