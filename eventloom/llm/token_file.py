@@ -33,7 +33,7 @@ from .tokens import Memo, cut_pieces
 MAGIC, HEADER = b"ELTK", struct.Struct(">4siqqqiiqqqq")
 SAMPLE = 64
 #: UTF-8 bytes of text for each writing task, and most ids in a file.
-TEXT_PER_TASK, IDS_PER_FILE, MOST_TASKS = 32 << 20, 16_000_000, 20_000
+TEXT_PER_TASK, IDS_PER_FILE, MOST_TASKS = 32 << 20, 2_000_000, 20_000
 
 
 class EliasFano:
@@ -210,8 +210,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
             for first, raw in zip(batch.column(0), batch.column(1), strict=True):
                 file = TokenFile(raw.as_buffer())
                 at = 0
-                for begin in range(0, file.n, 1000):
-                    places = range(begin, min(file.n, begin + 1000))
+                for begin in range(0, file.n, 250):
+                    places = range(begin, min(file.n, begin + 250))
                     starts, arrays = [], []
                     for i in places:
                         end = file.offset(i + 1)
