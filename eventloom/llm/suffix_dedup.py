@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import cut, fresh_path, text_or_empty
 
 LENGTH, K = 50, 24
 #: Bytes beside the K-gram that strings through it can reach, on either side; also K-grams in a string, less one.
@@ -176,8 +176,8 @@ def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
 HASHED = pa.schema([("run", pa.int64()), ("bucket", pa.int64()), ("hashes", pa.binary()), ("shared", pa.binary())])
 ANSWERED = pa.schema([("run", pa.int64()), ("hashes", pa.binary())])
 SORTED = pa.schema([
-    ("kind", pa.string()), ("run", pa.int64()), ("bucket", pa.int64()), ("first", pa.int64()), ("prefixes", pa.binary()), ("lengths", pa.binary()), ("tails", pa.binary()), ("ids", pa.binary()),
-    ("row_no", pa.int64()), ("doc_id", pa.int64()), ("text", pa.string()), ("n_bytes", pa.int64()), ("sha256", pa.string()), ("holders", pa.binary()),
+    ("run", pa.int64()), ("bucket", pa.int64()), ("first", pa.int64()), ("prefixes", pa.binary()), ("lengths", pa.binary()), ("tails", pa.binary()), ("ids", pa.binary()),
+    ("row_no", pa.int64()), ("holders", pa.binary()),
 ])
 MARKED = pa.schema([("run", pa.int64()), ("marks", pa.binary())])
 MARK = np.dtype([("entry", "<u4"), ("from", "<i2"), ("to", "<i2"), ("least", "<i8")])
@@ -246,12 +246,8 @@ def _sort_run(bounds: np.ndarray):
         entry: dict[bytes, list] = {}
         held: dict[int, list] = {}
         run = docs.column("run")[0].as_py() if docs.num_rows else None
-        for number, (row_no, doc_id, text) in enumerate(zip(docs.column("row_no"), docs.column("doc_id"), docs.column("text"), strict=True)):
+        for row_no, doc_id, text in zip(docs.column("row_no"), docs.column("doc_id"), docs.column("text"), strict=True) if len(wanted) else ():
             raw = text.as_buffer().to_pybytes()
-            row = {"kind": "doc", "run": run, "row_no": row_no.as_py(), "doc_id": doc_id.as_py(), "n_bytes": len(raw), "sha256": hashlib.sha256(raw).hexdigest()}
-            rows.append(row)
-            if not len(wanted):
-                continue
             places, hashes = anchors(raw)
             if not len(places):
                 continue
@@ -259,9 +255,8 @@ def _sort_run(bounds: np.ndarray):
             at[at == len(wanted)] = 0
             places = places[wanted[at] == hashes]
             if len(places):
-                row["text"] = text.as_py()
-                own = NO_ID if row["doc_id"] is None else row["doc_id"]
-                held[number] = mine = []
+                own = doc_id.as_py() if doc_id.is_valid else NO_ID
+                held[row_no.as_py()] = mine = []
                 for a in places.tolist():
                     element, low = suffix(raw, a)
                     known = entry.get(element)
@@ -274,8 +269,8 @@ def _sort_run(bounds: np.ndarray):
                     mine.append((element, low))
         order = sorted(entry)
         number_of = {e: i for i, e in enumerate(order)}
-        for number, mine in held.items():
-            rows[number]["holders"] = np.array([(number_of[e], low) for e, low in mine], HOLDER).tobytes()
+        for row_no, mine in held.items():
+            rows.append({"run": run, "row_no": row_no, "holders": np.array([(number_of[e], low) for e, low in mine], HOLDER).tobytes()})
         if order:
             heads = np.frombuffer(b"".join(e[:8] for e in order), ">u8").astype(np.uint64)
             bucket = np.searchsorted(bounds, heads, side="right")
@@ -284,7 +279,7 @@ def _sort_run(bounds: np.ndarray):
                 if j > i:
                     prefixes, lengths, tails = front_code(order[i:j])
                     ids = np.array([entry[e] for e in order[i:j]], "<i8").tobytes()
-                    rows.append({"kind": "run", "run": run, "bucket": b, "first": i, "prefixes": prefixes, "lengths": lengths, "tails": tails, "ids": ids})
+                    rows.append({"run": run, "bucket": b, "first": i, "prefixes": prefixes, "lengths": lengths, "tails": tails, "ids": ids})
         return pa.Table.from_pylist(rows, schema=SORTED)
 
     return work
@@ -340,14 +335,16 @@ def _merge(group: pa.Table) -> pa.Table:
 
 
 def _cut_run(with_text: bool):
-    def work(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        marks = np.concatenate([np.frombuffer(m.as_py(), MARK) for m in answers.column("marks")]) if answers.num_rows else np.empty(0, MARK)
+    def work(docs: pa.Table, found: pa.Table) -> pa.Table:
+        marks = np.concatenate([np.empty(0, MARK), *(np.frombuffer(m.as_py(), MARK) for m in found.column("marks") if m.is_valid)])
+        held = {r.as_py(): h for r, h in zip(found.column("row_no"), found.column("holders"), strict=True) if h.is_valid}
         marks = marks[np.argsort(marks["entry"], kind="stable")]
         out = {f.name: [] for f in CUT}
         for doc in docs.to_batches():
-            for row_no, doc_id, text, n, sha, holders in zip(*(doc.column(doc.schema.get_field_index(c)) for c in ("row_no", "doc_id", "text", "n_bytes", "sha256", "holders")), strict=True):
-                starts, ends, digest, kept = [], [], sha.as_py(), None
-                if holders.is_valid and len(marks):
+            for row_no, doc_id, text in zip(*(doc.column(doc.schema.get_field_index(c)) for c in ("row_no", "doc_id", "text")), strict=True):
+                raw = np.frombuffer(text.as_buffer(), np.uint8) if len(text.as_buffer()) else np.empty(0, np.uint8)
+                starts, ends, kept, left, holders = [], [], None, raw, held.get(row_no.as_py())
+                if holders is not None and len(marks):
                     own = NO_ID if not doc_id.is_valid else doc_id.as_py()
                     mine = np.frombuffer(holders.as_py(), HOLDER)
                     low, high = np.searchsorted(marks["entry"], mine["entry"], "left"), np.searchsorted(marks["entry"], mine["entry"], "right")
@@ -357,18 +354,16 @@ def _cut_run(with_text: bool):
                     hit = marks["least"][which] < own
                     if hit.any():
                         which, place = which[hit], place[hit]
-                        change = np.zeros(n.as_py() + 1, np.int64)
+                        change = np.zeros(len(raw) + 1, np.int64)
                         np.add.at(change, place + marks["from"][which], 1)
                         np.add.at(change, place + marks["to"][which] + LENGTH, -1)
                         gone = np.cumsum(change[:-1]) > 0
                         edge = np.diff(np.concatenate(([0], gone, [0])).astype(np.int8))
                         starts, ends = np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()
-                        left = np.frombuffer(text.as_buffer(), np.uint8)[~gone].tobytes()
-                        digest = hashlib.sha256(left).hexdigest()
-                        kept = left.decode("utf-8", "ignore") if with_text else None
-                if kept is None and with_text:
-                    kept = text.as_py()
-                for name, value in zip(out, (row_no.as_py(), doc_id.as_py(), n.as_py(), starts, ends, kept, digest), strict=True):
+                        left = raw[~gone]
+                if with_text:
+                    kept = left.tobytes().decode("utf-8", "ignore")
+                for name, value in zip(out, (row_no.as_py(), doc_id.as_py(), len(raw), starts, ends, kept, hashlib.sha256(left.tobytes()).hexdigest()), strict=True):
                     out[name].append(value)
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in CUT}, schema=CUT)
 
@@ -380,24 +375,32 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A byte goes if a LENGTH-byte string over it also starts in a document with a smaller id; strings are judged on the
     input. Null text counts as empty; a null id is smaller than every other; rows with the same id remove nothing from
-    each other. kept is the rest as text, without the bytes of characters that a span has cut in two (null where
-    nothing was a candidate); kept_sha256 is of the remaining bytes as they are.
+    each other. kept is the rest as text, without the bytes of characters that a span has cut in two; kept_sha256 is of the remaining bytes as they are.
     """
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     numbered = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    rows = cut(numbered.select(F.shiftright("row_no", RUN_BITS).alias("run"), "row_no", "doc_id", "text"), "texts")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = _bucketed(numbered.select(F.shiftright("row_no", RUN_BITS).alias("run"), "row_no", "doc_id", "text"), size)
     hash_buckets = max(1, -(-2 * size // ((REACH + 2) * HASHES_PER_BUCKET)))
     hashed = rows.select("run", "text").mapInArrow(_hash_runs(hash_buckets), _ddl(HASHED))
     answers = hashed.groupBy("bucket").applyInArrow(_answer, _ddl(ANSWERED))
     bounds = _range_bounds(rows, max(1, -(-size // TEXT_PER_RANGE)))
     made = cut(rows.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(_sort_run(bounds), _ddl(SORTED)), "suffixes")
-    pieces = made.where("kind = 'run'").select("run", "bucket", "first", "prefixes", "lengths", "tails", "ids")
+    pieces = made.where("bucket IS NOT NULL").select("run", "bucket", "first", "prefixes", "lengths", "tails", "ids")
     marks = pieces.groupBy("bucket").applyInArrow(_merge, _ddl(MARKED))
-    held = made.where("kind = 'doc' AND holders IS NOT NULL").select("run", "row_no", "doc_id", "text", "n_bytes", "sha256", "holders")
-    touched = held.groupBy("run").cogroup(marks.groupBy("run")).applyInArrow(_cut_run(with_text), _ddl(CUT))
-    none = F.array().cast("array<bigint>")
-    rest = made.where("kind = 'doc' AND holders IS NULL").select("row_no", "doc_id", "n_bytes", none.alias("starts"), none.alias("ends"), F.lit(None).cast("string").alias("kept"), F.col("sha256").alias("kept_sha256"))
-    return touched.unionByName(rest)
+    held = made.where("holders IS NOT NULL").select("run", "row_no", "holders", F.lit(None).cast("binary").alias("marks"))
+    found = held.unionByName(marks.select("run", F.lit(None).cast("bigint").alias("row_no"), F.lit(None).cast("binary").alias("holders"), "marks"))
+    return rows.groupBy("run").cogroup(found.groupBy("run")).applyInArrow(_cut_run(with_text), _ddl(CUT))
+
+
+def _bucketed(rows: DataFrame, size: int) -> DataFrame:
+    """The texts as a table bucketed by run in the shared folder: they meet what other tasks say of them without a shuffle of their own."""
+    spark = rows.sparkSession
+    buckets = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TEXT_PER_RANGE)), 20_000)
+    path = fresh_path(spark, "texts")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    rows.write.option("path", path).option("compression", "zstd").bucketBy(buckets, "run").sortBy("run").saveAsTable(name)
+    return spark.table(name)
 
 
 def _range_bounds(rows: DataFrame, buckets: int) -> np.ndarray:
