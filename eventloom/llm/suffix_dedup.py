@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,19 +97,20 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
 
 
 def front_code(elements: list[bytes]) -> tuple[bytes, bytes, bytes]:
-    """Sorted strings as common-prefix lengths, tail lengths and tails."""
+    """Sorted strings as common-prefix lengths, tail lengths and tails, each compressed."""
     shared, tails, last = bytearray(), [], b""
     for e in elements:
         k = common_prefix(last, e)
         shared.append(k)
         tails.append(e[k:])
         last = e
-    return bytes(shared), bytes(map(len, tails)), b"".join(tails)
+    return zstandard.compress(bytes(shared), 3), zstandard.compress(bytes(map(len, tails)), 3), zstandard.compress(b"".join(tails), 3)
 
 
 def front_decode(shared: bytes, lengths: bytes, tails: bytes) -> Iterator[tuple[bytes, int]]:
     """The strings again, each with its common prefix with the one before."""
     last, at = b"", 0
+    shared, lengths, tails = map(zstandard.decompress, (shared, lengths, tails))
     for k, n in zip(shared, lengths, strict=True):
         last = last[:k] + tails[at : at + n]
         at += n
@@ -173,6 +175,18 @@ def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+def pack(a: np.ndarray) -> bytes:
+    """An array's bytes, first all first bytes, then all second ones and so on, compressed."""
+    return zstandard.compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes(), 3) if len(a) else b""
+
+
+def unpack(raw: bytes, kind: np.dtype) -> np.ndarray:
+    if not raw:
+        return np.empty(0, kind)
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
 HASHED = pa.schema([("run", pa.int64()), ("bucket", pa.int64()), ("hashes", pa.binary()), ("shared", pa.binary())])
 ANSWERED = pa.schema([("run", pa.int64()), ("hashes", pa.binary())])
 SORTED = pa.schema([
@@ -182,6 +196,8 @@ SORTED = pa.schema([
 MARKED = pa.schema([("run", pa.int64()), ("marks", pa.binary())])
 MARK = np.dtype([("entry", "<u4"), ("from", "<i2"), ("to", "<i2"), ("least", "<i8")])
 HOLDER = np.dtype([("entry", "<u4"), ("place", "<u4")])
+#: Least and largest id of the documents of a run that hold a suffix.
+IDS = np.dtype([("least", "<i8"), ("most", "<i8")])
 CUT = pa.schema([("row_no", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("kept", pa.string()), ("kept_sha256", pa.string())])
 
 
@@ -235,13 +251,13 @@ def _answer(group: pa.Table) -> pa.Table:
     for run, part in zip(group.column("run"), parts, strict=True):
         both = part[np.isin(part, twice, assume_unique=True)]
         if len(both):
-            out.append((run.as_py(), both.astype("<u8").tobytes()))
+            out.append((run.as_py(), np.ascontiguousarray(both).view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()))
     return pa.table({"run": pa.array([r for r, _ in out], pa.int64()), "hashes": pa.array([h for _, h in out], pa.binary())})
 
 
 def _sort_run(bounds: np.ndarray):
     def work(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        wanted = np.sort(np.concatenate([np.frombuffer(h.as_buffer(), "<u8") for h in answers.column("hashes")])) if answers.num_rows else np.empty(0, np.uint64)
+        wanted = np.sort(np.concatenate([unplane(h.as_py()) for h in answers.column("hashes")])) if answers.num_rows else np.empty(0, np.uint64)
         rows: list[dict] = []
         entry: dict[bytes, list] = {}
         held: dict[int, list] = {}
@@ -270,7 +286,7 @@ def _sort_run(bounds: np.ndarray):
         order = sorted(entry)
         number_of = {e: i for i, e in enumerate(order)}
         for row_no, mine in held.items():
-            rows.append({"run": run, "row_no": row_no, "holders": np.array([(number_of[e], low) for e, low in mine], HOLDER).tobytes()})
+            rows.append({"run": run, "row_no": row_no, "holders": pack(np.array([(number_of[e], low) for e, low in mine], HOLDER))})
         if order:
             heads = np.frombuffer(b"".join(e[:8] for e in order), ">u8").astype(np.uint64)
             bucket = np.searchsorted(bounds, heads, side="right")
@@ -278,7 +294,7 @@ def _sort_run(bounds: np.ndarray):
             for b, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
                 if j > i:
                     prefixes, lengths, tails = front_code(order[i:j])
-                    ids = np.array([entry[e] for e in order[i:j]], "<i8").tobytes()
+                    ids = pack(np.array([entry[e] for e in order[i:j]], "<i8").reshape(-1).view(IDS))
                     rows.append({"run": run, "bucket": b, "first": i, "prefixes": prefixes, "lengths": lengths, "tails": tails, "ids": ids})
         return pa.Table.from_pylist(rows, schema=SORTED)
 
@@ -289,7 +305,7 @@ def _merge(group: pa.Table) -> pa.Table:
     """Of one range bucket: for each run, entries and strings through them that a document with a smaller id has."""
     runs = [r.as_py() for r in group.column("run")]
     firsts = [f.as_py() for f in group.column("first")]
-    ids = [np.frombuffer(i.as_py(), "<i8").reshape(-1, 2).tolist() for i in group.column("ids")]
+    ids = [unpack(i.as_py(), IDS).tolist() for i in group.column("ids")]
     streams = [front_decode(*(group.column(c)[k].as_py() for c in ("prefixes", "lengths", "tails"))) for k in range(len(runs))]
     place = [0] * len(runs)
     marks: list[list[tuple]] = [[] for _ in runs]
@@ -330,13 +346,13 @@ def _merge(group: pa.Table) -> pa.Table:
         place[s] += 1
     if same:
         settle(same)
-    got = [(r, np.array(m, MARK).tobytes()) for r, m in zip(runs, marks, strict=True) if m]
+    got = [(r, pack(np.array(m, MARK))) for r, m in zip(runs, marks, strict=True) if m]
     return pa.table({"run": pa.array([r for r, _ in got], pa.int64()), "marks": pa.array([m for _, m in got], pa.binary())})
 
 
 def _cut_run(with_text: bool):
     def work(docs: pa.Table, found: pa.Table) -> pa.Table:
-        marks = np.concatenate([np.empty(0, MARK), *(np.frombuffer(m.as_py(), MARK) for m in found.column("marks") if m.is_valid)])
+        marks = np.concatenate([np.empty(0, MARK), *(unpack(m.as_py(), MARK) for m in found.column("marks") if m.is_valid)])
         held = {r.as_py(): h for r, h in zip(found.column("row_no"), found.column("holders"), strict=True) if h.is_valid}
         marks = marks[np.argsort(marks["entry"], kind="stable")]
         out = {f.name: [] for f in CUT}
@@ -346,7 +362,7 @@ def _cut_run(with_text: bool):
                 starts, ends, kept, left, holders = [], [], None, raw, held.get(row_no.as_py())
                 if holders is not None and len(marks):
                     own = NO_ID if not doc_id.is_valid else doc_id.as_py()
-                    mine = np.frombuffer(holders.as_py(), HOLDER)
+                    mine = unpack(holders.as_py(), HOLDER)
                     low, high = np.searchsorted(marks["entry"], mine["entry"], "left"), np.searchsorted(marks["entry"], mine["entry"], "right")
                     times = high - low
                     which = np.repeat(low - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
