@@ -42,11 +42,20 @@ def pattern_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: st
         yield block
 
 
+def digest(block: list[tuple[str, bytes]]) -> str:
+    """Names a block by its content: workers outlive a call, and so must what their automaton is known by."""
+    made = hashlib.sha256()
+    for item, window in block:
+        raw = item.encode()
+        made.update(b"%d %d %b%b" % (len(raw), len(window), raw, window))
+    return made.hexdigest()
+
+
 _automata: dict = {}
 
 
 def automaton(key: str, block: list[tuple[str, bytes]]):
-    """Windows between spaces, bytes as characters; one at a time is kept in a worker."""
+    """Windows between spaces, bytes as characters; one at a time is kept in a worker, under its block's digest."""
     if key not in _automata:
         import ahocorasick
 
@@ -114,9 +123,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     passes = []
-    for number, block in enumerate(pattern_blocks(benchmark, item_col, item_text_col, pattern_chars)):
+    for block in pattern_blocks(benchmark, item_col, item_text_col, pattern_chars):
         sent = spark.sparkContext.broadcast(block)
-        passes.append(rows.mapInArrow(_scanner(sent, f"{id(sent)}-{number}"), SQL_SCHEMA))
+        passes.append(rows.mapInArrow(_scanner(sent, digest(block)), SQL_SCHEMA))
     if not passes:
         import ahocorasick  # noqa: F401  the same needs with and without items
 
@@ -171,7 +180,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
         return run
 
-    for number, block in enumerate(pattern_blocks(benchmark, item_col, item_text_col, pattern_chars)):
+    for block in pattern_blocks(benchmark, item_col, item_text_col, pattern_chars):
         sent = spark.sparkContext.broadcast(block)
-        docs = map_rows(docs, keeper(sent, f"{id(sent)}-{number}"))
+        docs = map_rows(docs, keeper(sent, digest(block)))
     return docs

@@ -87,6 +87,15 @@ def test_contamination_of_empty_tables(spark):
     assert contamination(empty(spark), none).count() == 0 and drop_contaminated(docs(spark, ["a"]), none).count() == 1
 
 
+def test_contamination_by_other_items_in_one_session(spark):
+    marks = [f"mark{i} of its own" for i in range(12)]
+    rows = docs(spark, marks).repartition(1)
+    for i, mark in enumerate(marks):
+        bench = spark.createDataFrame([(i, mark)], "item_id long, text string")
+        assert [(x.doc_id, list(x["items"])) for x in contamination(rows, bench).where("size(items) > 0").collect()] == [(i, [str(i)])]
+        assert sorted(x.doc_id for x in drop_contaminated(rows, bench).collect()) == [k for k in range(12) if k != i]
+
+
 def test_contamination_query(spark):
     same(spark, QUERIES["op5_decontaminate"], ORACLES["op5_decontaminate"])
 
