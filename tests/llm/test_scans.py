@@ -46,6 +46,16 @@ def test_random_strings_are_told_from_words(spark):
     assert sum(got[i] for i in range(60)) >= 54 and not any(got[i] for i in range(60, 120))
 
 
+def test_value_after_an_equals_sign_is_a_candidate(spark):
+    r = random.Random(2)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    names = ["AWS_SECRET_ACCESS_KEY=", "AUTH_KEY=", "Bearer=", "https://a.b/c?sig=", "k=v&sig=", "="]
+    texts = [names[i % 6] + "".join(r.choice(b64) for _ in range(42)) + "=" * (i % 3) for i in range(60)]
+    spans = [f"random:{len(names[i % 6])}:{len(t)}" for i, t in enumerate(texts)]
+    got = {x.doc_id: x.spans for x in secrets.secrets_report(secrets.scan_secrets(docs(spark, texts))).collect()}
+    assert sum(got[i] == spans[i] for i in range(60)) >= 54
+
+
 # Benchmark passages.
 def brute(texts, items):
     words = lambda t: WORD.findall((t or "").translate(LOW))
