@@ -3,13 +3,15 @@
 Candidates are runs of key characters whose mix of letters and digits infers an encoding (hex, base32, base64).
 Each gets three tests of randomness over that encoding's alphabet: chi-squared uniformity of its symbols, runs
 above and below the middle of the alphabet, and lag-1 serial correlation. A string that fails any is not random.
-For the rest the chance that ordinary text of this length would look as uniform gives a p-value, and
-a Benjamini-Hochberg threshold over all candidates of a length class (classes share the error equally) says which
-are reported. Longer strings separate better, and so the classes keep short ones from spending what long ones earn.
+For the rest the odds of a random string against ordinary ones (common letters, few digits, or the other styles) give a
+p-value, and a Benjamini-Hochberg threshold over all candidates of an encoding and length class says which are reported.
+Longer strings and wider alphabets separate better; the classes keep the others from spending what these earn.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,12 +28,43 @@ KINDS = ("assign", "access", "hex", "random")
 #: A run of key characters, long enough for the tests to tell anything.
 #: '=' is no part of one but as padding at its end, so the value of KEY=VALUE stands alone.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?"
-#: Encoding: its alphabet in order, and how far ordinary text is from uniform over it: sum of (p - u)^2 / u.
+#: Encoding: its alphabet in order.
 ALPHABETS = {
-    "hex": ("0123456789abcdef", 0.9),
-    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.8),
-    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 2.4),
+    "hex": "0123456789abcdef",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
+#: Per mille of letters a-z in words, about the mean of English, German, French and Spanish, none below 4.
+LETTERS = (90, 15, 31, 43, 149, 13, 16, 25, 70, 4, 5, 47, 25, 79, 62, 20, 5, 66, 69, 72, 37, 12, 10, 4, 8, 6)
+#: How ordinary strings mix upper case, lower case, digits, + and /: words, capitals, mixed case, words with numbers, numbers.
+STYLES = ((0.12, 0.76, 0.07, 0.05), (0.76, 0.12, 0.07, 0.05), (0.42, 0.42, 0.10, 0.06), (0.25, 0.25, 0.45, 0.05), (0.02, 0.02, 0.91, 0.05))
+#: Ordinary hex is words or numbers, not both in like parts.
+HEX_STYLES = ((0.48, 0.47, 0.05, 0.0), (0.03, 0.02, 0.95, 0.0))
+
+
+#: In ordinary strings a symbol is of the class (of these four) of the one before with this chance, and drawn anew otherwise.
+STAY = 0.6
+
+
+def symbol_classes(alphabet: str) -> list[int]:
+    return [0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3 for c in alphabet]
+
+
+def log_odds(alphabet: str) -> list[tuple[list[float], list[float]]]:
+    """For each style, by symbol: the log of how much likelier it is in a random string than in an ordinary one, and what a symbol of the same class before it takes off that."""
+    classes = symbol_classes(alphabet)
+    common = [LETTERS[ord(c.lower()) - ord("a")] if c.isalpha() else 1 for c in alphabet]
+    whole = [sum(w for w, of in zip(common, classes, strict=True) if of == k) for k in range(4)]
+
+    def odds(upper: float, lower: float, digits: float, other: float) -> tuple[list[float], list[float]]:
+        share = [upper, lower, digits, other] if whole[0] and whole[1] else [upper + lower, upper + lower, digits, other]
+        held = sum(s for s, w in zip(share, whole, strict=True) if w)
+        alone = [math.log(held * whole[k] / (share[k] * w * len(alphabet))) for k, w in zip(classes, common, strict=True)]
+        return alone, [math.log(STAY * held / share[k] + 1 - STAY) for k in classes]
+
+    return [odds(*style) for style in (HEX_STYLES if len(alphabet) == 16 else STYLES)]
+
+
 #: A test rejects randomness beyond this many standard deviations, two-sided 0.1 %.
 Z_REJECT = 3.29
 FALSE_DISCOVERIES = 0.01
@@ -88,17 +121,13 @@ def infer_encoding(token: Column) -> Column:
     )
 
 
-def _normal_below(z: Column) -> Column:
-    """Chance that a standard normal is below z, by the logistic fit of 0.07056 z^3 + 1.5976 z (error under 2e-4 near 0, thick tails)."""
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(z * z * z * 0.07056 + z * 1.5976, F.lit(700.0)), F.lit(-700.0))))
-
-
 def battery(tokens: DataFrame) -> DataFrame:
-    """Adds chi2, runs_z, serial_z, random (passes all three) and p (ordinary text looks this uniform) to rows with token, encoding."""
-    chosen = lambda what: F.coalesce(*[F.when(F.col("encoding") == k, F.lit(what(*v))) for k, v in ALPHABETS.items()])
+    """Adds chi2, runs_z, serial_z, random (passes all three) and p (ordinary text looks this random) to rows with token, encoding."""
+    chosen = lambda what: F.coalesce(*[F.when(F.col("encoding") == k, F.lit(what(v))) for k, v in ALPHABETS.items()])
     body = F.translate(F.regexp_replace("token", "=+$", ""), "-_", "+/")
     with_codes = tokens.withColumns({
-        "k": chosen(lambda a, d: float(len(a))), "far": chosen(lambda a, d: float(d)), "alphabet": chosen(lambda a, d: a),
+        "k": chosen(lambda a: float(len(a))), "alphabet": chosen(lambda a: a), "class_of": chosen(symbol_classes),
+        "alone": chosen(lambda a: [x for x, _ in log_odds(a)]), "after": chosen(lambda a: [x for _, x in log_odds(a)]),
     }).withColumn("codes", F.transform(F.split(body, ""), lambda c: F.when(c == "", F.lit(-1)).otherwise(F.instr(F.col("alphabet"), c) - 1))).withColumn("codes", F.filter("codes", lambda c: c >= 0)) \
         .withColumn("n", F.size("codes").cast("double"))
     counts = F.transform(F.array_distinct("codes"), lambda v: F.size(F.filter("codes", lambda c: c == v)).cast("double"))
@@ -120,13 +149,16 @@ def battery(tokens: DataFrame) -> DataFrame:
     var_code = (k * k - 1) / 12
     # Sparse cells: the variance of X^2 under uniformity is exactly 2 (k - 1)(n - 1) / n.
     chi_z = (F.col("chi2") - (k - 1)) / F.sqrt((k - 1) * 2 * (n - 1) / n)
-    ordinary_mean = (k - 1) + (n - 1) * F.col("far")
-    ordinary_sd = F.sqrt(((k - 1) + n * F.col("far") * 2) * 2)
+    # Under a style the odds of a string exceed x with a chance of 1 / x at most (Markov), so those of its likeliest style bound p.
+    same = lambda p: F.get("class_of", p["x"]) == F.get("class_of", p["y"])
+    drawn = F.transform("alone", lambda style: F.aggregate("codes", F.lit(0.0), lambda s, c: s + F.get(style, c)))
+    followed = F.transform("after", lambda style: F.aggregate(pairs(F.col("codes")), F.lit(0.0), lambda s, p: s + F.when(same(p), F.get(style, p["y"])).otherwise(math.log(1 - STAY))))
+    odds = F.array_min(F.zip_with(drawn, followed, lambda a, b: a - b))
     return tested.withColumns({
         "runs_z": (F.col("runs") - mean_runs) / F.sqrt(var_runs),
         "serial_z": F.col("lagged") / (var_code * F.sqrt(n - 1)),
         "chi_z": chi_z,
-        "p": _normal_below((F.col("chi2") - ordinary_mean) / ordinary_sd),
+        "p": F.exp(-F.greatest(odds, F.lit(0.0))),
     }).withColumn("random", (F.abs("chi_z") <= Z_REJECT) & (F.abs("runs_z") <= Z_REJECT) & (F.abs("serial_z") <= Z_REJECT))
 
 
@@ -135,18 +167,18 @@ def length_class(n: Column) -> Column:
 
 
 def discoveries(tested: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
-    """Adds found: Benjamini-Hochberg in each length class at rate; p-values are ranked by bins, so the table of counts stays small."""
+    """Adds found: Benjamini-Hochberg in each length class of each encoding at rate; p-values are ranked by bins, so the table of counts stays small."""
     most = BINS_PER_DECADE * MOST_DECADES
     # A candidate that fails a test of randomness counts among the candidates of its class with p = 1.
     p = F.when(F.col("random"), F.greatest(F.col("p"), F.lit(10.0 ** -MOST_DECADES))).otherwise(F.lit(1.0))
     binned = tested.withColumns({"class": length_class(F.col("n")), "bin": F.floor(-F.log10(p) * BINS_PER_DECADE).cast("int")})
-    counts = binned.groupBy("class", "bin").agg(F.count(F.lit(1)).alias("here"))  # at most classes x bins rows
-    in_class = Window.partitionBy("class")
+    counts = binned.groupBy("encoding", "class", "bin").agg(F.count(F.lit(1)).alias("here"))  # at most encodings x classes x bins rows
+    in_class = Window.partitionBy("encoding", "class")
     ranked = counts.withColumns({"rank": F.sum("here").over(in_class.orderBy(F.desc("bin"))), "m": F.sum("here").over(in_class)})
     # A bin holds p-values up to 10^(-bin / per decade); the least bin whose upper end is below rank / m x rate passes.
     passed = ranked.where(F.pow(F.lit(10.0), -F.col("bin") / BINS_PER_DECADE) <= F.col("rank") / F.col("m") * rate)
-    least = passed.groupBy("class").agg(F.min("bin").alias("least")).where(F.col("least") <= most)
-    return binned.join(F.broadcast(least), "class", "left").withColumn("found", F.coalesce(F.col("random") & (F.col("bin") >= F.col("least")), F.lit(False)))
+    least = passed.groupBy("encoding", "class").agg(F.min("bin").alias("least")).where(F.col("least") <= most)
+    return binned.join(F.broadcast(least), ["encoding", "class"], "left").withColumn("found", F.coalesce(F.col("random") & (F.col("bin") >= F.col("least")), F.lit(False)))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -56,6 +56,37 @@ def test_value_after_an_equals_sign_is_a_candidate(spark):
     assert sum(got[i] == spans[i] for i in range(60)) >= 54
 
 
+FAMILIES = {
+    "hex": "0123456789abcdef", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+}
+
+
+@pytest.mark.parametrize("share", [1.0, 0.1])
+def test_share_of_keys_found_by_encoding_and_length(spark, share):
+    r = random.Random(6)
+    words = "setting name document element class value of the is not and by id first last number time user".split()
+
+    def plain(alphabet, n):
+        letters = {"hex": "aaaaeeeeedddbc"}.get(alphabet)
+        s = "".join(r.choice(letters) for _ in range(n)) if letters else "".join(w.upper() if alphabet == "base32" else w.title() for w in r.choices(words, k=n))[:n]
+        return s[: n - 1] + "2"
+
+    made = []
+    for name, alphabet in FAMILIES.items():
+        for n in (20, 24, 32, 40):
+            made += [(name, n, True, "".join(r.choice(alphabet) for _ in range(n))) for _ in range(50)]
+            made += [(name, n, False, plain(name, n)) for _ in range(round(50 / share) - 50)]
+    rows = spark.createDataFrame([(i, t) for i, (_, _, _, t) in enumerate(made)], "row_no long, token string")
+    tested = rows.withColumn("encoding", secrets.infer_encoding(rows.token)).where("encoding is not null")
+    hit = {x.row_no for x in secrets.discoveries(secrets.battery(tested)).where("found").collect()}
+    found = {}
+    for i, (name, n, key, _) in enumerate(made):
+        found.setdefault((name, n, key), []).append(i in hit)
+    shares = {k: sum(v) / len(v) for k, v in found.items()}
+    assert all(v >= 0.7 if key else v <= 0.02 for (_, _, key), v in shares.items()), shares
+
+
 # Benchmark passages.
 def brute(texts, items):
     words = lambda t: WORD.findall((t or "").translate(LOW))
