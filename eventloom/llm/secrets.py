@@ -1,6 +1,6 @@
 """Secret scans in DataFrame functions only: fixed patterns, and a battery of randomness tests on other strings.
 
-Candidates are runs of key characters whose mix of letters and digits infers an encoding (hex, base32, base64).
+Candidates are runs of key characters; the smallest alphabet that holds one (hex, base32, base36, base64) is its encoding.
 Each gets three tests of randomness over that encoding's alphabet: chi-squared uniformity of its symbols, runs
 above and below the middle of the alphabet, and lag-1 serial correlation. A string that fails any is not random.
 For the rest the odds of a random string against ordinary ones (common letters, few digits, or the other styles) give a
@@ -31,7 +31,11 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?"
 #: Encoding: its alphabet in order.
 ALPHABETS = {
     "hex": "0123456789abcdef",
+    "hex_upper": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base32_lower": "abcdefghijklmnopqrstuvwxyz234567",
+    "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+    "base36_upper": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 #: Per mille of letters a-z in words, about the mean of English, German, French and Spanish, none below 4.
@@ -111,13 +115,15 @@ def base_spans(text: Column) -> Column:
 
 
 def infer_encoding(token: Column) -> Column:
-    """The smallest alphabet that holds all symbols; null where letters and digits don't mix as in a key."""
+    """The smallest alphabet that holds all symbols; in those without + and /, hyphens and the like only part groups."""
     body = F.regexp_replace(token, "=+$", "")
-    digit, upper, lower = body.rlike("[0-9]"), body.rlike("[A-Z]"), body.rlike("[a-z]")
+    plain = F.translate(body, "-_+/", "")
+    held = lambda symbols: plain.rlike(f"^[{symbols}]+$")
     return (
-        F.when(digit & body.rlike("^[0-9a-f]+$") & lower, "hex")
-        .when(digit & body.rlike("^[A-Z2-7]+$") & upper, "base32")
-        .when(digit & upper & lower & body.rlike("^[A-Za-z0-9+/_-]+$"), "base64")
+        F.when(held("0-9a-f"), "hex").when(held("0-9A-F"), "hex_upper")
+        .when(held("A-Z2-7"), "base32").when(held("a-z2-7"), "base32_lower")
+        .when(held("0-9a-z"), "base36").when(held("0-9A-Z"), "base36_upper")
+        .otherwise("base64")
     )
 
 
@@ -191,10 +197,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = text_or_empty(text_col)
     wide = "array<struct<start:int,kind:int,end:int>>"
     rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("doc_id"), text.alias("text"))
-    tokens = F.filter(matches_at(F.col("text"), CANDIDATE), lambda m: infer_encoding(m["text"]).isNotNull())
+    # The encoding is stored with its candidate: the battery's loops over symbols would infer it again at each.
+    tokens = F.transform(matches_at(F.col("text"), CANDIDATE), lambda m: F.struct(m["start"].alias("start"), m["text"].alias("text"), infer_encoding(m["text"]).alias("encoding")))
     scanned = cut(rows.select("row_no", "doc_id", base_spans(F.col("text")).cast(wide).alias("base"), tokens.alias("tokens")), "spans")
     single = scanned.where(F.size("tokens") > 0).select("row_no", F.explode("tokens").alias("t")).select(
-        "row_no", F.col("t.start").alias("start"), F.col("t.text").alias("token"), infer_encoding(F.col("t.text")).alias("encoding")
+        "row_no", F.col("t.start").alias("start"), F.col("t.text").alias("token"), F.col("t.encoding").alias("encoding")
     )
     found = discoveries(battery(single)).where("found").groupBy("row_no").agg(
         F.collect_list(F.struct("start", F.lit(KINDS.index("random")).alias("kind"), (F.col("start") + F.length("token")).alias("end"))).cast(wide).alias("more")

@@ -87,6 +87,25 @@ def test_share_of_keys_found_by_encoding_and_length(spark, share):
     assert all(v >= 0.7 if key else v <= 0.02 for (_, _, key), v in shares.items()), shares
 
 
+def test_keys_of_every_alphabet_are_candidates(spark):
+    r = random.Random(9)
+    key = lambda symbols, n: "".join(r.choice(symbols) for _ in range(n))
+    low, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    made = {
+        "upper hex": lambda: key(digits + "ABCDEF", 40), "lower base32": lambda: key(low + "234567", 32), "lower base36": lambda: key(digits + low, 32), "upper base36": lambda: key(digits + low.upper(), 32),
+        "uuid": lambda: "-".join(key(digits + "abcdef", n) for n in (8, 4, 4, 4, 12)), "slashes": lambda: "/".join(key(digits + "abcdef", 10) for _ in range(4)), "no digit": lambda: key(low + low.upper(), 40),
+    }
+    words = [
+        "this-is-the-name-of-some-article", "org/apache/spark/sql/catalyst/expressions", "SOME_CONSTANT_NAME_OF_SETTING", "20240115123456789012", "2024-01-15-12-30-59-000123",
+        "onthtionwhonattionnd", "Einungtzheitgeungverlich", "Donaudampfschifffahrtsgesellschaft", "--------------------", "____________________________", "user-2024-01-15-report-final-v2", "00000000-0000-0000-0000-000000000000",
+    ]
+    texts = [f"see {make()} here" for make in made.values() for _ in range(40)] + [f"see {w} here" for w in words * 10]
+    got = {x.doc_id: x.spans for x in secrets.secrets_report(secrets.scan_secrets(docs(spark, texts))).collect()}
+    shares = {name: sum(got[40 * k + i] == f"random:4:{len(texts[40 * k + i]) - 5}" for i in range(40)) / 40 for k, name in enumerate(made)}
+    assert all(v >= 0.8 for v in shares.values()), shares
+    assert not {texts[i] for i in range(40 * len(made), len(texts)) if "random" in got[i]}
+
+
 # Benchmark passages.
 def brute(texts, items):
     words = lambda t: WORD.findall((t or "").translate(LOW))
