@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 from math import log1p
@@ -17,13 +18,16 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import Boosted
 
 MODEL = Path(__file__).with_name("html_model.json")
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+#: A tag with its quoted values whole, and one whose quotes are not closed; both match where they start or fail at once.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>""")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _WORDS = re.compile("[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop|aria-label|name|type|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
@@ -31,9 +35,11 @@ _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|itemprop|aria-label|name
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Never text of the page; raw ones run to their own end tag.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-SILENT = frozenset("head template noscript svg math object select audio video canvas".split()) | RAW
+SILENT = frozenset("head template svg select".split())
+#: Silent ones that any block inside ends, as an svg does in browsers.
+BREAKS_OUT = frozenset("head svg select".split())
 BLOCK = frozenset(
-    "html body address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary "
+    "html body address article aside blockquote center details dialog dd dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre search section summary noscript "
     "table caption thead tbody tfoot tr td th ul".split()
 )
 CONTROLS = frozenset("input button select textarea label option".split())
@@ -58,6 +64,8 @@ WORD_KINDS = (
     "hidden none invisible",
 )
 WORD_KIND = {w: 1 << k for k, words in enumerate(WORD_KINDS) for w in words.split()}
+#: What a browser shows only without scripts is a notice as its class would say.
+TAG_WORDS = {"noscript": WORD_KIND["notice"]}
 
 
 def _attribute_kinds(attributes: str) -> int:
@@ -73,15 +81,52 @@ def _attribute_kinds(attributes: str) -> int:
     return kinds
 
 
+class Tokens:
+    """Text, tags and the places where they end, in one pass: each question about the rest of a page is asked once."""
+
+    __slots__ = ("source", "size", "last_end", "quotes_close")
+
+    def __init__(self, source: str):
+        self.source, self.size = source, len(source)
+        #: No tag starts beyond the last '>', and once a quote was never closed, quotes no longer count.
+        self.last_end, self.quotes_close = source.rfind(">"), True
+
+    def tag_at(self, begin: int) -> tuple[int, str, str, str]:
+        """(end, '/' or '', name, attributes) of what starts with the '<' at begin; no name for comments and the like, end 0 for plain text."""
+        source = self.source
+        if source.startswith("!--", begin + 1):
+            end = source.find("-->", begin + 2)  # '<!-->' is whole
+            return (end + 3 if end >= 0 else self.size), "", "", ""
+        if source.startswith("![CDATA[", begin + 1):
+            end = source.find("]]>", begin + 9)
+            return (end + 3 if end >= 0 else self.size), "", "", ""
+        if begin > self.last_end:
+            return 0, "", "", ""
+        if source.startswith(("!", "?"), begin + 1):
+            return source.find(">", begin) + 1, "", "", ""
+        found = None
+        if self.quotes_close and not (found := _TAG.match(source, begin)) and _PLAIN_TAG.match(source, begin):
+            self.quotes_close = False
+        found = found or _PLAIN_TAG.match(source, begin)
+        return (found.end(), found[1], found[2].lower(), found[3]) if found else (0, "", "", "")
+
+    def after_raw(self, tag: str, at: int) -> int:
+        """Where the raw text of a tag has ended, its end tag included."""
+        found = re.compile(f"</{tag}(?=[\\s/>])[^>]*+>", re.I).search(self.source, at, self.last_end + 1)
+        return found.end() if found else self.size
+
+
 class Page:
     """Nodes of a page in page order: parent, tag, kinds of attribute words, tags inside; and its blocks of text."""
 
-    __slots__ = ("parent", "tag", "kinds", "depth", "inner", "controls", "blocks")
+    __slots__ = ("parent", "tag", "kinds", "depth", "inner", "controls", "blocks", "stack", "opened")
 
     def __init__(self, source: str):
         self.parent, self.tag, self.kinds, self.depth, self.inner, self.controls = [-1], ["html"], [0], [0], [0], [0]
         #: (node, text, characters of it in links)
         self.blocks: list[tuple[int, str, int]] = []
+        #: Open nodes, and for each tag its places among them, so that none is looked for in vain.
+        self.stack, self.opened = [0], {}
         self._read(source)
 
     def _node(self, parent: int, tag: str, kinds: int) -> int:
@@ -93,9 +138,33 @@ class Page:
         self.controls.append(0)
         return len(self.parent) - 1
 
+    def _innermost(self, tags) -> int:
+        """Place of the innermost open node with one of these tags, 0 if there is none."""
+        return max((places[-1] for t in tags if (places := self.opened.get(t))), default=0)
+
+    def _close(self, place: int) -> None:
+        for node in self.stack[place:]:
+            self.opened[self.tag[node]].pop()
+        del self.stack[place:]
+
+    def _open(self, tag: str, kinds: int) -> None:
+        self.opened.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(self._node(self.stack[-1], tag, kinds))
+
     def _read(self, source: str) -> None:
-        stack, parts, linked, link, at, silent = [0], [], 0, False, 0, []
-        tags, inner, find = self.tag, self.inner, _TOKEN.search
+        tokens, stack, inner = Tokens(source), self.stack, self.inner
+        parts, linked, link, at, silent, text_from = [], 0, False, 0, [], 0
+
+        def add(end: int) -> None:
+            """What lies between text_from and end is text of the page, unless something silent is open."""
+            nonlocal linked
+            if end > text_from and not silent:
+                text = source[text_from:end]
+                if "&" in text:
+                    text = unescape(text)
+                parts.append(text)
+                if link:
+                    linked += len(text)
 
         def flush() -> None:
             nonlocal linked
@@ -106,59 +175,41 @@ class Page:
                 parts.clear()
             linked = 0
 
-        while True:
-            token = find(source, at)
-            begin = token.start() if token else len(source)
-            if begin > at and not silent:
-                text = source[at:begin]
-                if "&" in text:
-                    text = unescape(text)
-                parts.append(text)
-                if link:
-                    linked += len(text)
-            if not token:
-                break
-            at = token.end()
-            closing, tag, attributes = (token[1], token[2], token[3]) if token[2] else (token[4], token[5], token[6])
+        while (begin := source.find("<", at)) >= 0:
+            end, closing, tag, attributes = tokens.tag_at(begin)
+            if not end:
+                at = begin + 1  # a plain '<'
+                continue
+            add(begin)
+            at = text_from = end
             if not tag:
                 continue
-            tag = tag.lower()
             if closing:
-                if silent:
-                    if tag == silent[-1]:
-                        silent.pop()
-                    elif tag in silent:
-                        del silent[silent.index(tag) :]
+                if silent and tag in silent:
+                    del silent[silent.index(tag) :]
                 elif tag == "a":
                     link = False
-                elif tag in BLOCK:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if tags[stack[k]] == tag:
-                            flush()
-                            link = False
-                            del stack[k:]
-                            break
+                elif tag in BLOCK and (place := self._innermost((tag,))):
+                    silent.clear()  # what its own end tag has not closed ends with what it lies in
+                    flush()
+                    link = False
+                    self._close(place)
                 continue
             if tag in CONTROLS:
                 self.controls[stack[-1]] += 1
             if tag in RAW:
-                if (end := re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(source, at)) is None:
-                    at = len(source)
-                else:
-                    at = end.end()
+                at = text_from = tokens.after_raw(tag, at)
                 continue
-            own_end = attributes.endswith("/")
-            if silent or (tag in SILENT and not own_end):
-                if tag in SILENT and tag not in VOID and not own_end:
-                    if tag == "body" or (silent == ["head"] and tag in BLOCK):
-                        silent.clear()
-                    else:
+            if silent:
+                if tag != "body" and (tag not in BLOCK or silent[-1] not in BREAKS_OUT):
+                    if tag in SILENT and not attributes.endswith("/"):
                         silent.append(tag)
-                        continue
-                elif silent == ["head"] and tag in BLOCK:
-                    silent.clear()  # a head that was never closed
-                else:
                     continue
+                silent.clear()
+            elif tag in SILENT:
+                if not attributes.endswith("/"):
+                    silent.append(tag)
+                continue
             inner[stack[-1]] += 1
             if tag == "br":
                 parts.append(" ")
@@ -167,22 +218,23 @@ class Page:
             elif tag in BLOCK:
                 flush()
                 link = False
-                if tag == "html" or (tag == "body" and "body" in (tags[s] for s in stack)):
+                if tag == "html" or (tag == "body" and self.opened.get("body")):
                     if attributes:
-                        self.kinds[stack[0]] |= _attribute_kinds(attributes)
+                        self.kinds[0] |= _attribute_kinds(attributes)
                     continue
                 if tag in CLOSES:
                     ends, stops = CLOSES[tag]
-                    for k in range(len(stack) - 1, 0, -1):
-                        if (open_tag := tags[stack[k]]) in stops:
-                            break
-                        if open_tag in ends:
-                            del stack[k:]
-                if tags[stack[-1]] == "p":
-                    del stack[-1]
+                    # Of nested ones the outermost goes that no stop parts from here.
+                    stop = self._innermost(stops)
+                    outer = [places[bisect_right(places, stop)] for t in ends if (places := self.opened.get(t)) and places[-1] > stop]
+                    if outer:
+                        self._close(min(outer))
+                if self.tag[stack[-1]] == "p":
+                    self._close(len(stack) - 1)
                 if tag == "hr":
                     continue
-                stack.append(self._node(stack[-1], tag, _attribute_kinds(attributes) if attributes else 0))
+                self._open(tag, (_attribute_kinds(attributes) if attributes else 0) | TAG_WORDS.get(tag, 0))
+        add(len(source))
         flush()
 
 
@@ -194,8 +246,18 @@ NUMBERS = (
 WIDTH = len(NUMBERS) + len(TAG_KINDS) * 2 + len(WORD_KINDS) * 2
 
 
+#: Nodes whose rows are made at once, and pages and characters of them that are read at once.
+NODES, PAGES, CHARS = 16_384, 100, 4_000_000
+
+
 def features(page: Page) -> tuple[np.ndarray, list[int], list[int]]:
     """A row for each node, each node's parent, and each block's node; text beside block elements is a node of its own."""
+    parts, parent, owner = feature_parts(page)
+    return np.vstack(list(parts)), parent, owner
+
+
+def feature_parts(page: Page) -> tuple[Iterator[np.ndarray], list[int], list[int]]:
+    """features, with the rows in parts of bounded size, made as they are asked for."""
     parent, tag, kinds, depth = page.parent, page.tag, page.kinds, page.depth
     elements = len(parent)
     has_child, texts = [False] * elements, [0] * elements
@@ -247,18 +309,22 @@ def features(page: Page) -> tuple[np.ndarray, list[int], list[int]]:
         last[p] = k
     log_text = [log1p(c) for c in chars]
     share = [a / c if c else 0.0 for a, c in zip(linked, chars, strict=True)]
-    numbers = [
-        (
-            depth[k], log_text[k], share[k], log1p(nodes[k]), log1p(chars[k] / (inner[k] + 1)), log1p(paragraphs[k]), log1p(items[k]), log1p(controls[k]), place[k], seen[(p := parent[k])] if k else 1,
-            like[p, own_tag[k]] / seen[p] if k else 1.0, chars[k] / total, before[k] / total, 100.0 * stops[k] / (chars[k] + 1), log1p(words[k]), children[k],
-            log_text[p] if k else 0.0, share[p] if k else 0.0, log_text[a] if (a := previous[k]) >= 0 else -1.0, log_text[b] if (b := following[k]) >= 0 else -1.0, share[a] if a >= 0 else -1.0, share[b] if b >= 0 else -1.0,
-        )
-        for k in range(n)
-    ]
     tags, words_ = np.arange(len(TAG_KINDS)), np.arange(len(WORD_KINDS))
     bits = lambda of, width: (np.array(of, np.int64)[:, None] >> width) & 1
-    x = np.hstack([np.array(numbers, np.float64), np.array(own_tag)[:, None] == tags, bits(above_tag, tags), bits(kinds, words_), bits(above_words, words_)])
-    return x, parent, owner
+
+    def rows(some: range) -> np.ndarray:
+        numbers = [
+            (
+                depth[k], log_text[k], share[k], log1p(nodes[k]), log1p(chars[k] / (inner[k] + 1)), log1p(paragraphs[k]), log1p(items[k]), log1p(controls[k]), place[k], seen[(p := parent[k])] if k else 1,
+                like[p, own_tag[k]] / seen[p] if k else 1.0, chars[k] / total, before[k] / total, 100.0 * stops[k] / (chars[k] + 1), log1p(words[k]), children[k],
+                log_text[p] if k else 0.0, share[p] if k else 0.0, log_text[a] if (a := previous[k]) >= 0 else -1.0, log_text[b] if (b := following[k]) >= 0 else -1.0, share[a] if a >= 0 else -1.0, share[b] if b >= 0 else -1.0,
+            )
+            for k in some
+        ]
+        cut = slice(some.start, some.stop)
+        return np.hstack([np.array(numbers, np.float64), np.array(own_tag[cut])[:, None] == tags, bits(above_tag[cut], tags), bits(kinds[cut], words_), bits(above_words[cut], words_)])
+
+    return (rows(range(at, min(n, at + NODES))) for at in range(0, n, NODES)), parent, owner
 
 
 def decode(odds: list[float], parent: list[int]) -> list[bool]:
@@ -285,24 +351,44 @@ def model() -> Boosted:
 
 
 def main_texts(sources: list[str], trees: Boosted) -> list[str]:
-    pages = [Page(s) for s in sources]
-    made = [features(p) for p in pages]
-    if not made:
-        return []
-    odds = trees.log_odds(np.vstack([m[0] for m in made])).tolist()
+    """The main text of each page; rows of nodes go through the trees some ten thousand at a time, of small pages together."""
+    pages, shapes, odds, waiting, held = [Page(s) for s in sources], [], [], [], 0
+    for page in pages:
+        parts, parent, owner = feature_parts(page)
+        shapes.append((parent, owner))
+        for x in parts:
+            waiting.append(x)
+            if (held := held + len(x)) >= NODES:
+                odds.extend(trees.log_odds(np.vstack(waiting)).tolist())
+                waiting, held = [], 0
+    if waiting:
+        odds.extend(trees.log_odds(np.vstack(waiting)).tolist())
     out, at = [], 0
-    for page, (_, parent, owner) in zip(pages, made, strict=True):
+    for page, (parent, owner) in zip(pages, shapes, strict=True):
         kept = decode(odds[at : at + len(parent)], parent)
         at += len(parent)
         out.append("\n".join(text for (_, text, _), node in zip(page.blocks, owner, strict=True) if kept[node]))
     return out
 
 
+def groups(lengths: list[int]) -> Iterator[range]:
+    """Rows that are worked on together: PAGES at most, and CHARS but for a single longer page."""
+    first, chars = 0, 0
+    for k, n in enumerate(lengths):
+        if k > first and (k - first >= PAGES or chars + n > CHARS):
+            yield range(first, k)
+            first, chars = k, 0
+        chars += n
+    if first < len(lengths):
+        yield range(first, len(lengths))
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars for every row: blocks of the main text in page order, joined by line ends.
 
-    Null html counts as empty; a page without main text has an empty one. Rows may repeat, ids and urls may be null;
-    each row stands alone, so nothing is shuffled.
+    Null html counts as empty; a page without main text has an empty one; an empty table gives no rows. Rows may repeat,
+    ids and urls may be null; each row stands alone, so nothing is shuffled. Broken pages of any length take time in
+    proportion to it: a tag that is never closed is text, and a comment or raw element that is never closed takes the rest.
     """
     sent = pages.sparkSession.sparkContext.broadcast(model().to_dict())
     cache: list[Boosted] = []
@@ -311,8 +397,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         if not cache:
             cache.append(Boosted.from_dict(sent.value))
         for whole in batches:
-            for at in range(0, whole.num_rows, 100):
-                batch = whole.slice(at, 100)
+            for some in groups(pc.fill_null(pc.binary_length(whole.column(2)), 0).to_pylist()):
+                batch = whole.slice(some.start, len(some))
                 texts = main_texts([h.as_py() or "" for h in batch.column(2)], cache[0])
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -17,7 +17,7 @@ from .html import MODEL, Page, features
 MARK = "\ue000"
 PAGES, TREES, SEED = 5000, 90, 11
 SYLLABLES = "an ba cor de el fi gra ho in jo ka lu mo ne or pa qui re si ta un ve wo xa yo ze sch ção é ñ ü ку ра ми 中 文".split()
-INLINE = ("b", "i", "em", "strong", "span", "code", "u", "mark", "small")
+INLINE = ("b", "i", "em", "strong", "span", "code", "u", "mark", "small", "font")
 
 
 class Maker:
@@ -27,6 +27,8 @@ class Maker:
         self.telling = self.r.choice((0.0, 0.4, 0.9, 1.0))
         self.semantic = self.r.choice((0.0, 0.5, 0.9, 1.0, 1.0))
         self.sloppy = self.r.random() < 0.3
+        #: How the page sets its text: in paragraphs, in div elements, or bare with line breaks between paragraphs.
+        self.style = self.r.choice(("p", "p", "p", "p", "div", "bare"))
         self.mark = False
 
     def words(self, low: int, high: int) -> str:
@@ -118,20 +120,36 @@ class Maker:
     def share(self) -> str:
         return self.block("div", self.link_list(2, 5, 1), "share", "social", "sharing")
 
+    def bare(self) -> str:
+        """Paragraphs of plain text beside blocks, parted by line breaks; a block of its own up to the next tag of a block."""
+        r = self.r
+        gap = r.choice(("<br><br>", "<br>", "<br/>\n<br/>\n", "<br><br>\n"))
+        parts = [r.choice(("", "", f"<b>{self.words(1, 5)}</b><br>")) + self.prose(1, 6) for _ in range(r.choice((1, 1, 2, 3, 5)))]
+        return MARK + gap.join(parts) + r.choice(("", gap, "\n"))
+
     def piece(self) -> str:
         r, p = self.r, self.r.random()
         if p < 0.66:
-            return self.block("p", self.prose(1, 8), main=True)
+            if self.style == "bare" and r.random() < 0.8:
+                made = self.bare()
+                return made if r.random() < 0.5 else self.block("div", made)
+            return self.block("div" if self.style == "div" and r.random() < 0.8 else "p", self.prose(1, 8), main=True)
         if p < 0.76:
             return self.block(r.choice(("h2", "h3", "h4")), self.words(1, 8), main=True)
-        if p < 0.83:
+        if p < 0.82:
             return self.block(r.choice(("ul", "ol")), "".join(self.block("li", self.prose(1, 2), main=True) for _ in range(r.randint(2, 7))))
-        if p < 0.87:
+        if p < 0.85:
             return self.block("blockquote", self.block("p", self.prose(1, 3), main=True) if r.random() < 0.6 else MARK + self.prose(1, 3))
-        if p < 0.9:
+        if p < 0.88:
             return self.block("table", "".join(self.block("tr", "".join(self.block("td", self.words(1, 4), main=True) for _ in range(2))) for _ in range(r.randint(1, 4))))
-        if p < 0.93:
+        if p < 0.9:
+            return self.block("dl", "".join(self.block("dt", self.words(1, 3), main=True) + self.block("dd", self.prose(1, 2), main=True) for _ in range(r.randint(1, 5))))
+        if p < 0.92:
+            return self.block("figure", '<img src="a.png" alt="">' + self.block("figcaption", self.sentence(3, 14), main=True))
+        if p < 0.94:
             return self.block("pre", self.words(3, 20), main=True)
+        if p < 0.97:
+            return self.bare()
         return self.block("div", self.prose(1, 5), main=True)
 
     def article(self) -> str:
@@ -160,6 +178,9 @@ class Maker:
             inside = self.block("div", inside, "content", "article-body", "entry", "text")
         return self.block(self.named(r.choice(("article", "main", "article", "section"))), inside, "article", "content", "post", "entry", "story", "main", "body")
 
+    def layout(self, cells: list[str]) -> str:
+        return self.block("table", self.block("tr", "".join(self.block("td", c, "content", "left", "right", "col") for c in cells)))
+
     def page(self) -> str:
         r = self.r
         chance = lambda p, make: make() if r.random() < p else ""
@@ -169,12 +190,24 @@ class Maker:
             body = self.header() + self.link_list(4, 20) + self.footer()
         else:
             middle = [chance(0.25, self.sidebar), self.article(), chance(0.4, self.sidebar), chance(0.3, self.comments)]
+            table = r.random() < 0.12  # columns as cells of a table
+            if table:
+                sides = [r.choice((self.sidebar, self.nav, lambda: self.link_list(4, 15, 4)))() for _ in range(r.choice((1, 1, 2)))]
+                cells = [*sides[:1], middle[1] + middle[3], *sides[1:]]
+                if r.random() < 0.3:
+                    cells.reverse()
+                middle = [self.layout(cells)]
             inside = chance(0.15, self.ad) + "".join(middle) + chance(0.15, self.ad)
             for _ in range(r.choice((0, 0, 1, 2))):
                 inside = self.block(self.named(r.choice(("main", "section"))) if r.random() < 0.3 else "div", inside, "wrapper", "container", "page", "main", "content")
             top = [chance(0.5, self.header), chance(0.5, self.nav), chance(0.25, self.notice), chance(0.35, self.ad), chance(0.1, self.form)]
             r.shuffle(top)
+            if table and r.random() < 0.4:
+                inside = self.block("table", self.block("tr", self.block("td", "".join(top))) + self.block("tr", self.block("td", inside)) + self.block("tr", self.block("td", self.footer())))
+                top = []
             body = "".join(top) + inside + chance(0.15, self.ad) + chance(0.15, self.form) + chance(0.85, self.footer) + chance(0.1, self.notice)
+        if r.random() < 0.1:
+            body = f"<noscript>{r.choice((self.sentence(), self.block('p', self.sentence())))}</noscript>" + body
         body = body.replace("<p", f"<!-- {self.words(1, 3)} --><p", 1) if r.random() < 0.3 else body
         head = f'<head><meta charset="utf-8"><title>{self.words(2, 6)}</title><style>p{{margin:0}}</style><script>var t="</p>";</script></head>'
         return f'<!DOCTYPE html><html lang="en">{head}<body>{body}' + ("" if r.random() < 0.15 else "</body></html>")

@@ -79,6 +79,50 @@ def test_broken_pages_end(source):
     assert isinstance(text_of(source), str)
 
 
+def unit(text, n=1_000_000):
+    return text * (n // len(text))
+
+
+LONG = {
+    "tag": unit("<p"), "quote": unit('<a "'), "quotes": unit("<a '>' ") + '"', "comment": unit("<!--"), "declaration": unit("<!"), "end tag": unit("</a "), "plain": unit("<"), "raw": unit("<script>"), "silent": unit("<svg>"), "attributes": "<p " + unit('class="a ') + ">x",
+    "stray ends": "<div>" * 100_000 + "</p>" * 125_000, "far stops": "<dt><dl>" + "<div>" * 100_000 + "<dt></dt>" * 50_000, "cells": unit("<table><tr><td>"), "paragraphs": unit("<p>x"), "items": unit("<li><ul>"), "characters": unit("&amp;&#"),
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_broken_pages_take_linear_time(kind):
+    import time
+
+    began = time.process_time()
+    assert isinstance(text_of(LONG[kind]), str)
+    assert time.process_time() - began < 12  # a second or two on a machine of its own
+
+
+def test_what_is_silent():
+    body = "<p>One sentence of the text, and some more of it.</p>"
+    want = "One sentence of the text, and some more of it."
+    blocks = lambda s: [t for _, t, _ in html.Page(s).blocks]
+    for mess in ("<svg><text>no</text>", "<select><option>no", "<head><title>no</title>", "<head><template>no</template>"):
+        assert blocks(mess + body) == [want]
+    assert blocks(f"<div><template>no</div>{body}") == [want] and blocks("<math>a + b</math>") == ["a + b"]
+    assert blocks(f"<object>kept{body}")[-1] == want and blocks(f"<video>{body}") == [want] and blocks("<!-->a") == ["a"]
+    assert blocks('<p title="a > b">x') == ["x"] and blocks("a < b <c") == ["a < b <c"]
+
+
+def test_layouts_that_training_does_not_have():
+    """Recall and precision by characters of whole blocks, in each layout and over all of them."""
+    from page_layouts import measure
+
+    got = measure(text_of)
+    assert all(r >= 0.9 and p >= 0.95 for r, p in got.values()), got
+    assert np.mean([r for r, _ in got.values()]) >= 0.97 and np.mean([p for _, p in got.values()]) >= 0.99
+
+
+def test_long_pages_share_no_batch():
+    assert [list(g) for g in html.groups([1, html.CHARS, 5, 5])] == [[0], [1], [2, 3]] and list(html.groups([])) == []
+    assert max(map(len, html.groups([0] * 250))) == html.PAGES
+
+
 def test_decoding_is_hierarchical():
     r = np.random.default_rng(0)
     for _ in range(300):
@@ -94,7 +138,7 @@ def test_model_on_pages_it_has_not_seen():
     good = wrong = 0
     for seed in range(7_000_000, 7_000_120):
         source = html_training.Maker(seed).page()
-        want = [t.lstrip(html_training.MARK) for _, t, _ in html.Page(source).blocks if t.startswith(html_training.MARK)]
+        want = [t.replace(html_training.MARK, "") for _, t, _ in html.Page(source).blocks if t.startswith(html_training.MARK)]
         got = text_of(source.replace(html_training.MARK, "")).split("\n")
         good += sum(len(t) for t in got if t in want)
         wrong += sum(len(t) for t in got if t not in want) + sum(len(t) for t in want if t not in got)
