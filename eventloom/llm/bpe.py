@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from .common import place_of, plain_names
 from .tokens import Memo, cut_pieces
 
 #: How byte-level vocabularies split text before merging; white space is the Unicode property.
@@ -124,13 +125,14 @@ def codec(path: str) -> BytePairCodec:
 def bpe_round_trip(docs: DataFrame, vocab_path: str, outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Encodes every whole text and decodes the ids again; one row per row of docs, with doc_id and the outputs asked for.
 
-    Columns of docs named in keep (other than doc_id) come along unchanged. Outputs: n_tokens, ids, decoded, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the
+    Columns of docs named in keep come along unchanged after doc_id, under their names even where an output is called alike. Outputs: n_tokens, ids, decoded, ids_sha256 (of the decimal ids joined by commas), decoded_sha256 (of the
     UTF-8 of the decoded text). Null text counts as empty and has no ids; a null id stays null; rows may
-    repeat. Each row stands alone: no shuffle, memory bounded by one batch and the memo. vocab_path must be
+    repeat, an empty table gives no rows. Each row stands alone: no shuffle, memory bounded by one batch and the memo. vocab_path must be
     readable on each executor.
     """
     wanted = tuple(outputs)
     numbers: list[str] = []
+    plain = plain_names(1 + len(keep) + len(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocab_path)
@@ -151,8 +153,11 @@ def bpe_round_trip(docs: DataFrame, vocab_path: str, outputs: tuple[str, ...] =
                     for k, kept in out.items():
                         kept.append(made[k])
                 kept_columns = [batch.column(0), *(batch.column(2 + i) for i in range(len(keep)))]
-                yield pa.RecordBatch.from_arrays([*kept_columns, *(pa.array(out[k], OUTPUTS[k]) for k in wanted)], names=["doc_id", *keep, *wanted])
-
-    spec = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in keep), *(StructField(k, TYPES[k]) for k in wanted)])
-    kept_in = [F.col(c) for c in keep]
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("__text"), *kept_in).mapInArrow(run, spec)
+                yield pa.RecordBatch.from_arrays([*kept_columns, *(pa.array(out[k], OUTPUTS[k]) for k in wanted)], names=plain)
+
+    names = plain_names(len(docs.columns))
+    own = docs.toDF(*names)
+    fields = [StructField("doc_id", LongType()), *(docs.schema.fields[place_of(docs, c)] for c in keep), *(StructField(k, TYPES[k]) for k in wanted)]
+    kept_in = [F.col(names[place_of(docs, c)]).alias(f"k{i}") for i, c in enumerate(keep)]
+    made = own.select(F.col(names[place_of(docs, id_col)]).cast("bigint").alias("doc_id"), F.col(names[place_of(docs, text_col)]).alias("text"), *kept_in)
+    return made.mapInArrow(run, StructType([StructField(n, f.dataType) for n, f in zip(plain, fields, strict=True)])).toDF(*[f.name for f in fields])

@@ -1,42 +1,61 @@
-"""What the training-data operators share: the cluster's folder, lineage cuts, ASCII case."""
+"""What the training-data operators share: lineage cuts, columns by place, rows that go, ASCII case."""
 
 from __future__ import annotations
 
 import string
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-_own_dir: str | None = None
+from eventloom.storage import fresh_path
 
+#: Row numbers (8 bytes, some 40 in a hash table) that are broadcast at most; more meet the rows in a shuffle.
+BROADCAST_ROWS = 1_000_000
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    global _own_dir
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if _own_dir is None:
-        _own_dir = "file://" + tempfile.mkdtemp(prefix="eventloom-")
-    spark.sparkContext.setCheckpointDir(_own_dir)
-    return _own_dir
 
+def plain_names(n: int) -> list[str]:
+    return [f"c{k}" for k in range(n)]
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/eventloom/{name}-{uuid.uuid4().hex}"
+
+def place_of(df: DataFrame, name: str) -> int:
+    """Where a column stands: by its very name, else by one that differs in case only."""
+    names = df.columns
+    return names.index(name) if name in names else [n.lower() for n in names].index(name.lower())
+
+
+def chosen(df: DataFrame, **names: str) -> DataFrame:
+    """The named columns under new names, whatever the others are called: chosen(docs, doc_id="id")."""
+    plain = df.toDF(*plain_names(len(df.columns)))
+    return plain.select(*[plain[f"c{place_of(df, name)}"].alias(new) for new, name in names.items()])
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back, so that nothing before is computed again.
 
-    A lost executor costs its own tasks only; the table outlives it.
+    A lost executor costs its own tasks only; the table outlives it. Columns may differ in case only.
     """
+    plain = df.toDF(*plain_names(len(df.columns)))
     path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    plain.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(plain.schema).parquet(path).toDF(*df.columns)
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """rows whose key is not in gone (one column, key, a table that is cheap to read), which is broadcast only if it is small."""
+    few = gone.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(gone) if few else gone, key, "left_anti")
+
+
+def running_sums(lengths: Column) -> Column:
+    """Sums of an array of ints up to each place, by blocks of about the root of its size: n^1.5 steps instead of n^2."""
+    none = F.array().cast("array<int>")
+    grow = lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x)).alias("out"))
+    summed = lambda a: F.aggregate(a, F.struct(F.lit(0).alias("at"), none.alias("out")), grow, lambda acc: acc["out"])
+    wide = F.ceil(F.sqrt(F.size(lengths))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), wide - 1), lambda k: summed(F.slice(lengths, k * wide + 1, wide)))
+    ends = summed(F.transform(blocks, lambda s: F.coalesce(F.get(s, F.size(s) - 1), F.lit(0))))
+    return F.flatten(F.zip_with(blocks, F.concat(F.array(F.lit(0)), ends), lambda s, before: F.transform(F.coalesce(s, none), lambda x: x + before)))
 
 
 def ascii_lower(col: Column) -> Column:
@@ -52,11 +71,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def own_columns(df: DataFrame) -> list[Column]:
-    """The columns of df as they are named, dots included."""
-    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
-
-
 def map_rows(df: DataFrame, run, *more: StructField) -> DataFrame:
     """mapInArrow over whole rows, whatever their columns are called; run gets them by place and may add columns at the end."""
     fields = [*df.schema.fields, *more]

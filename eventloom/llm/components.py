@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
-
-MOST_ROUNDS = 60
+from eventloom.storage import discard, fresh_path
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -30,14 +28,24 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (a, b: any ordered type): component is the least node reachable.
 
     Self links and repeated links count once; links with a null end are left out; no links give no rows. Each round
-    is written to the shared folder; it ends when a round changes nothing.
+    is written to the shared folder in place of the one before; it ends when a round changes nothing, after a number of
+    rounds that grows with the logarithm of the size of the largest component.
     """
-    now = cut(edges.where("a IS NOT NULL AND b IS NOT NULL AND a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    spark = edges.sparkSession
+
+    def written(df: DataFrame) -> tuple[DataFrame, str]:
+        path = fresh_path(spark, "links")
+        df.write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
+    now, path = written(edges.where("a IS NOT NULL AND b IS NOT NULL AND a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
-    for _ in range(MOST_ROUNDS):
-        now = cut(_stars(_stars(now, True), False), "links")
+    while True:
+        following, its_path = written(_stars(_stars(now, True), False))
+        discard(spark, path)
+        now, path = following, its_path
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == state:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            least = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(least)
         state = seen
-    raise RuntimeError(f"components not settled in {MOST_ROUNDS} rounds")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import chosen, map_rows, place_of
 
 WINDOW = 10
 #: Characters of patterns in one automaton (about 50 bytes of memory each); more items take more passes.
@@ -31,7 +31,7 @@ def item_windows(text: str | None) -> set[bytes]:
 def pattern_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", limit: int = PATTERN_CHARS) -> Iterator[list[tuple[str, bytes]]]:
     """(item, window) pairs in blocks of bounded size, item by item; the driver never holds more than a block."""
     block, held = [], 0
-    for row in benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).toLocalIterator():
+    for row in chosen(benchmark, item=item_col, text=text_col).select(F.col("item").cast("string"), "text").toLocalIterator():
         for window in sorted(item_windows(row.text)):
             if block and held + len(window) > limit:
                 yield block
@@ -121,7 +121,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     do the (short) findings meet in a shuffle.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = chosen(docs, doc_id=id_col, text=text_col).select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("bigint"), "text")
     passes = []
     for block in pattern_blocks(benchmark, item_col, item_text_col, pattern_chars):
         sent = spark.sparkContext.broadcast(block)
@@ -170,7 +170,7 @@ def contamination_report(found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pattern_chars: int = PATTERN_CHARS) -> DataFrame:
     """The rows whose text holds no window of any item, with their own columns: a filter for each block, no shuffle."""
-    spark, place = docs.sparkSession, docs.columns.index(text_col)
+    spark, place = docs.sparkSession, place_of(docs, text_col)
 
     def keeper(sent, key: str):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, own_columns, text_or_empty
+from .common import ascii_lower, chosen, cut, place_of, plain_names, text_or_empty, without
 
 #: Digests that the sketch may report, and counters that it keeps; both bound the broadcast.
 HEAVY_ITEMS = 1000
@@ -30,7 +30,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is smaller than all others. Null text counts as empty; an empty table gives no rows; other columns of the
     input, whatever their names, are not read.
     """
-    rows = cut(docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest")).withColumn("row_no", F.monotonically_increasing_id()), "digests")
+    own = chosen(docs, doc_id=id_col, text=text_col)
+    return settle(cut(own.select("doc_id", text_digest().alias("digest")).withColumn("row_no", F.monotonically_increasing_id()), "digests"), heavy_items, counters)
+
+
+def settle(rows: DataFrame, heavy_items: int = HEAVY_ITEMS, counters: int = SKETCH_COUNTERS) -> DataFrame:
+    """exact_dedup for rows (row_no, doc_id, digest) that are cheap to read again."""
     rows = rows.withColumn("key", F.xxhash64("digest"))
     listed = rows.agg(F.expr(f"approx_top_k(key, {int(heavy_items)}, {int(counters)})").alias("top"))
     suspects = listed.select(F.explode("top").alias("top")).select(F.col("top.item").alias("key"))
@@ -55,11 +60,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with their own columns: one of each group of equal texts."""
-    found = exact_dedup(docs, id_col, text_col)
-    stays = found.where("kept").select(F.col("doc_id").alias("__eventloom_id"), F.col("digest").alias("__eventloom_digest"))
-    marked = docs.withColumn("__eventloom_mark", text_digest(text_col))
-    joined = marked.join(stays, F.col(id_col).eqNullSafe(F.col("__eventloom_id")) & (F.col("__eventloom_mark") == F.col("__eventloom_digest")), "left_semi")
-    # Only rows that repeat both id and text are left together here; one of them stays.
-    once = Window.partitionBy(id_col, "__eventloom_mark").orderBy(F.lit(0))
-    return joined.withColumn("__eventloom_n", F.row_number().over(once)).where("__eventloom_n = 1").select(*own_columns(docs))
+    """The rows that stay, with their own columns: one of each group of equal texts, that with the largest id.
+
+    Nulls, ties and repeated rows as in exact_dedup; an empty table stays empty; columns may have any names. Rows are
+    written once with a number; what goes is found by numbers, ids and digests alone, and texts stay where they lie
+    unless the numbers of what goes are too many to broadcast.
+    """
+    names = plain_names(len(docs.columns))
+    doc_id, text = names[place_of(docs, id_col)], names[place_of(docs, text_col)]
+    rows = cut(docs.toDF(*names).withColumns({"row_no": F.monotonically_increasing_id(), "digest": text_digest(text)}), "numbered")
+    found = settle(rows.select("row_no", F.col(doc_id).alias("doc_id"), "digest"))
+    gone = cut(found.where("NOT kept").select("row_no"), "copies")
+    return without(rows, gone, "row_no").select(*names).toDF(*docs.columns)

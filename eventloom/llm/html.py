@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import Boosted
+from .common import chosen
 
 MODEL = Path(__file__).with_name("html_model.json")
 #: A tag with its quoted values whole, and one whose quotes are not closed; both match where they start or fail at once.
@@ -402,4 +403,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 texts = main_texts([h.as_py() or "" for h in batch.column(2)], cache[0])
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html")).mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+    own = chosen(pages, page_id=id_col, url=url_col, html=html_col)
+    return own.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), "html").mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")

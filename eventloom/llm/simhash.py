@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from .common import cut, map_rows, own_columns
+from .common import chosen, cut, map_rows, place_of, plain_names, without
 from .components import components
 
 SHINGLE, SEED = 3, 42
-MARK = "__eventloom_fp"
+#: Fingerprints that more than one row in HEAVY_SHARE has: this many at most, so their classes can be broadcast.
+HEAVY_SHARE = 1000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -44,25 +45,25 @@ def fingerprint(text: str) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fp (bigint, the 64 bits as they are) for every row; null text counts as empty."""
+    """doc_id and fp (bigint, the 64 bits as they are) for every row; null text counts as empty, a null id stays null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(t.as_py() or "") for t in batch.column(1)], pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
+    own = chosen(docs, doc_id=id_col, text=text_col)
+    return own.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def with_fingerprint(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of docs with one more column, MARK."""
-    place = docs.columns.index(text_col)
+def with_fingerprint(docs: DataFrame, place: int, name: str) -> DataFrame:
+    """The rows of docs with one more column: the fingerprint of the text at this place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = pa.array([fingerprint(t.as_py() or "") for t in batch.column(place)], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, prints], names=[*batch.schema.names, f"c{len(batch.columns)}"])
 
-    return map_rows(docs, run, StructField(MARK, LongType()))
+    return map_rows(docs, run, StructField(name, LongType()))
 
 
 def grid_point(fp: Column) -> Column:
@@ -72,17 +73,17 @@ def grid_point(fp: Column) -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """(a, b): representatives of linked fingerprints, from rows (fp, rep) with distinct fp; enough to connect all links."""
+    """(a, b): linked fingerprints, from rows (fp) that are distinct; enough to connect all links."""
     bit = F.array(*[F.lit(1 << k if k < 63 else -(1 << 63)).cast("bigint") for k in range(64)])
     # Bits to flip, nibble by nibble; flipping one bit of a nibble moves its count one step up or down.
     point = grid_point(F.col("fp"))
-    flips = prints.select("fp", "rep", point.alias("own"), F.explode(F.sequence(F.lit(-1), F.lit(31))).alias("step"))
+    flips = prints.select("fp", point.alias("own"), F.explode(F.sequence(F.lit(-1), F.lit(31))).alias("step"))
     # step -1 stays; steps 0..15 go up and 16..31 down in that nibble, where it has a clear or a set bit.
     nibble = (F.col("step") % 16).cast("int")
     size = F.call_function("shiftrightunsigned", F.col("own"), 4 * nibble).bitwiseAND(F.lit(15))
     unit = F.call_function("shiftleft", F.lit(1).cast("bigint"), 4 * nibble)
     visits = flips.where((F.col("step") < 0) | ((F.col("step") < 16) & (size < 4)) | ((F.col("step") >= 16) & (size > 0))).select(
-        "fp", "rep", "step", F.when(F.col("step") < 0, F.col("own")).when(F.col("step") < 16, F.col("own") + unit).otherwise(F.col("own") - unit).alias("point")
+        "fp", "step", F.when(F.col("step") < 0, F.col("own")).when(F.col("step") < 16, F.col("own") + unit).otherwise(F.col("own") - unit).alias("point")
     )
     shared = visits.withColumn("visitors", F.count(F.lit(1)).over(Window.partitionBy("point"))).where("visitors > 1")
     mine = F.when(F.col("step") < 0, F.array(F.col("fp"))).otherwise(
@@ -91,40 +92,55 @@ def links(prints: DataFrame) -> DataFrame:
             lambda b: F.col("fp").bitwiseXOR(b),
         )
     )
-    values = shared.select("fp", "rep", F.explode(mine).alias("value"))
-    near = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("rep", "fp")).alias("all")).where("n > 1")
+    values = shared.select("fp", F.explode(mine).alias("value"))
+    near = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.collect_list("fp").alias("all")).where("n > 1")
     star = near.select(F.array_min("all").alias("least"), F.explode("all").alias("one"))
-    checked = F.bit_count(F.col("one.fp").bitwiseXOR(F.col("least.fp"))) <= 2
-    return star.where(checked & (F.col("one.rep") != F.col("least.rep"))).select(F.col("one.rep").alias("a"), F.col("least.rep").alias("b")).distinct()
+    checked = F.bit_count(F.col("one").bitwiseXOR(F.col("least"))) <= 2
+    return star.where(checked & (F.col("one") != F.col("least"))).select(F.col("one").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable over links of at most 2 bits) for every row of docs.
 
-    Texts without words have fingerprint zero and link like any other. Rows may repeat an id: each row has its own
-    fingerprint, and an id links its rows. A row with a null id gets the component of the ids that it links to, null if
-    there are none. Equal fingerprints count once in the search; their rows meet in one combined aggregation.
+    Texts without words (null, empty) have fingerprint zero and link like any other. Rows may repeat an id: each row has
+    its own fingerprint. A row with a null id links like any other and gets the smallest id of its component, null if
+    all of its ids are null. An empty table gives no rows. Equal fingerprints count once in the search; their rows meet
+    in one combined aggregation.
     """
-    return classify(cut(fingerprints(docs, id_col, text_col), "fingerprints"))
+    return classify(cut(fingerprints(docs, id_col, text_col), "fingerprints")).select("doc_id", "fp", "component_id")
 
 
 def classify(rows: DataFrame) -> DataFrame:
-    """near_copies for rows (doc_id, fp) that are cheap to read again."""
+    """rows (doc_id, fp, ...) that are cheap to read again, with label (least fingerprint of the component) and component_id."""
     prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "prints")
-    # Nodes are fingerprints by their smallest id; a fingerprint of null ids alone links to others through none.
-    found = components(links(prints.where("rep IS NOT NULL").select("fp", "rep")))
-    classes = prints.join(found, F.col("rep") == F.col("node"), "left").withColumn("component_id", F.coalesce("component", "rep"))
-    # Most fingerprints stand for one row and link to none: these rows need no class from elsewhere.
-    known = classes.where("n > 1 OR component_id != rep").select("fp", "component_id")
-    return rows.join(known, "fp", "left").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    linked = prints.join(components(links(prints.select("fp"))), F.col("fp") == F.col("node"), "left").select("fp", "rep", "n", "component")
+    least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least"))
+    classes = cut(
+        linked.join(least, "component", "left").select("fp", "rep", "n", F.coalesce("component", "fp").alias("label"), F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id")),
+        "classes",
+    )
+    # Most fingerprints stand for one row and link to none: these rows need no class from elsewhere. Those of very many
+    # rows would be hot keys of a join, and there are few of them.
+    known = classes.where("n > 1 OR label != fp OR NOT rep <=> component_id")
+    often = (classes.agg(F.sum("n")).first()[0] or 0) // HEAVY_SHARE
+    heavy, light = (known.where(F.col("n") > often if big else F.col("n") <= often).select("fp", "label", "component_id") for big in (True, False))
+    settled = rows.join(F.broadcast(heavy), "fp")
+    rest = rows.join(F.broadcast(heavy.select("fp")), "fp", "left_anti").join(light, "fp", "left")
+    both = settled.unionByName(rest.select(*settled.columns))
+    return both.withColumns({"component_id": F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")), "label": F.coalesce("label", "fp")})
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with their own columns: of each component the row with the smallest id (then fingerprint)."""
-    marked = cut(with_fingerprint(docs, text_col), "marked")
-    rows = marked.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(MARK).alias("fp"))
-    best = classify(rows).groupBy(F.coalesce("component_id", "fp").alias("c"), F.col("component_id").isNull().alias("none")).agg(F.min(F.struct("doc_id", "fp")).alias("best"))
-    stays = best.select(F.col("best.doc_id").alias("__eventloom_id"), F.col("best.fp").alias("__eventloom_p"))
-    joined = marked.join(stays, F.col(id_col).cast("bigint").eqNullSafe(F.col("__eventloom_id")) & (F.col(MARK) == F.col("__eventloom_p")), "left_semi")
-    once = Window.partitionBy(id_col, MARK).orderBy(F.lit(0))
-    return joined.withColumn("__eventloom_n", F.row_number().over(once)).where("__eventloom_n = 1").select(*own_columns(docs))
+    """The rows that stay, with their own columns: of each component the row with the smallest id, then fingerprint.
+
+    Of rows that repeat both one stays; null ids come after all others; null and empty texts link like any other; an
+    empty table stays empty; columns may have any names. Rows are written once with number and fingerprint; what goes
+    is found by these and ids alone, and texts stay where they lie unless the numbers are too many to broadcast.
+    """
+    names = plain_names(len(docs.columns))
+    numbered = with_fingerprint(docs.toDF(*names), place_of(docs, text_col), "fp").withColumn("row_no", F.monotonically_increasing_id())
+    rows = cut(numbered, "marked")
+    found = cut(classify(rows.select("row_no", F.col(names[place_of(docs, id_col)]).cast("bigint").alias("doc_id"), "fp")), "classified")
+    stays = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "row_no")).alias("best")).select(F.col("best.row_no").alias("row_no"))
+    gone = cut(found.select("row_no").join(stays, "row_no", "left_anti"), "copies")
+    return without(rows, gone, "row_no").select(*names).toDF(*docs.columns)
