@@ -4,11 +4,13 @@ Every LENGTH-byte string of a text holds a sampled place, or anchor: the K-gram
 have equal anchors at equal offsets, so it is enough to sort suffixes that start at anchors, and of these only the
 ones whose K-gram occurs in more than one document.
 
-1. Each run (a few thousand documents) sends its distinct anchor hashes, sorted and in buckets; a bucket answers
+1. Each run (documents of some megabytes) sends its distinct anchor hashes, sorted and in buckets; a bucket answers
    each run with the hashes that other documents have as well. A frequent K-gram counts once for each run.
 2. Each run sorts the suffixes at its surviving anchors (K-gram, bytes to its right, bytes to its left reversed),
    keeps each once with the least and largest document id, and sends front-coded pieces of the sorted run to range
    buckets. Who holds them stays with the run, so a passage in a third of all documents is one entry for each run.
+   Through a K-gram that very many runs have, whole LENGTH-byte strings are sorted instead of suffixes: these need no
+   company of others with the same K-gram, so the contexts of a frequent K-gram are no group of one task.
 3. A bucket merges its runs with a loser tree that carries common-prefix lengths: of two candidates the one that
    shares more with the last winner is smaller, and only if they share as much are bytes compared, from there on.
    Suffixes of one K-gram come out side by side; each of the strings through the anchor gets the least document id.
@@ -18,27 +20,39 @@ ones whose K-gram occurs in more than one document.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_path, text_or_empty
+from eventloom.storage import fresh_path
+
+from .common import chosen, cut, text_or_empty
 
 LENGTH, K = 50, 24
 #: Bytes beside the K-gram that strings through it can reach, on either side; also K-grams in a string, less one.
 REACH = LENGTH - K
-#: Documents in a run (a power of two), anchor hashes in a bucket, bytes of text for each range bucket.
-RUN_BITS, HASHES_PER_BUCKET, TEXT_PER_RANGE = 12, 1_000_000, 24 << 20
-#: Share of documents from which the range buckets' bounds are estimated; the bounds decide balance, never results.
-BOUND_SAMPLE = 0.01
+#: Bytes of text in a run and documents in it, anchor hashes in a bucket, bytes of text for each range bucket.
+RUN_BYTES, RUN_ROWS, HASHES_PER_BUCKET, TEXT_PER_RANGE = 12 << 20, 1 << 16, 1_000_000, 24 << 20
+#: Most buckets of the table of texts; a bucket may hold any number of runs.
+MOST_BUCKETS = 20_000
+#: Runs that have a K-gram from which on whole strings through it are sorted.
+HOT_RUNS = 4096
+#: Most ranges, suffixes sampled for their bounds, and bytes of a bound; bounds decide balance, never results.
+#: Beyond MOST_RANGES each range has several buckets, by a hash of K-grams.
+MOST_RANGES, HEADS, HEAD = 4096, 200_000, 16
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _U29, _U32, _U16 = np.uint64(29), np.uint64(32), np.uint64(16)
 NO_ID = -(1 << 63)
+#: First bytes of what is sorted, and bytes that elements share which are settled together.
+SUFFIX, WHOLE = b"\0", b"\1"
+TOGETHER = {SUFFIX: 1 + K, WHOLE: 1 + LENGTH}
 
 
 def _sliding(a: np.ndarray, width: int, take) -> np.ndarray:
@@ -73,17 +87,24 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffix(raw: bytes, a: int) -> tuple[bytes, int]:
-    """K-gram at a, up to REACH bytes to its right, those to its left reversed, and one byte with the count to the right; first string's place."""
+    """SUFFIX, K-gram at a, up to REACH bytes to its right, those to its left reversed, and one byte with the count to the right; first string's place."""
     low = max(0, a - REACH)
     right = raw[a : a + LENGTH]
-    return right + raw[low:a][::-1] + bytes((len(right) - K,)), low
+    return SUFFIX + right + raw[low:a][::-1] + bytes((len(right) - K,)), low
+
+
+def whole_strings(raw: bytes, a: int) -> list[tuple[bytes, int]]:
+    """Each string through the K-gram at a, after WHOLE, with its place."""
+    return [(WHOLE + raw[i : i + LENGTH], i) for i in range(max(0, a - REACH), min(a, len(raw) - LENGTH) + 1)]
 
 
 def strings(element: bytes) -> list[bytes]:
-    """All LENGTH-byte strings through the K-gram of a suffix, from left to right."""
+    """All LENGTH-byte strings through the K-gram of a suffix, from left to right; a whole string is its only one."""
+    if element[:1] == WHOLE:
+        return [element[1:]]
     right = K + element[-1]
-    left = element[right:-1]
-    whole = left[::-1] + element[:right]
+    left = element[1 + right : -1]
+    whole = left[::-1] + element[1 : 1 + right]
     return [whole[i : i + LENGTH] for i in range(max(0, len(whole) - LENGTH + 1))]
 
 
@@ -188,7 +209,7 @@ def unpack(raw: bytes, kind: np.dtype) -> np.ndarray:
 
 
 HASHED = pa.schema([("run", pa.int64()), ("bucket", pa.int64()), ("hashes", pa.binary()), ("shared", pa.binary())])
-ANSWERED = pa.schema([("run", pa.int64()), ("hashes", pa.binary())])
+ANSWERED = pa.schema([("run", pa.int64()), ("hashes", pa.binary()), ("hot", pa.binary())])
 SORTED = pa.schema([
     ("run", pa.int64()), ("bucket", pa.int64()), ("first", pa.int64()), ("prefixes", pa.binary()), ("lengths", pa.binary()), ("tails", pa.binary()), ("ids", pa.binary()),
     ("row_no", pa.int64()), ("holders", pa.binary()),
@@ -240,24 +261,52 @@ def unplane(raw: bytes) -> np.ndarray:
     return wide.view("<u8").reshape(-1)
 
 
+def plane(hashes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
+
+
 def _answer(group: pa.Table) -> pa.Table:
-    """To each run the hashes of this bucket that more than one document has."""
+    """To each run the hashes of this bucket that more than one document has, and those of them that very many runs have."""
     parts = [unplane(h.as_py()) for h in group.column("hashes")]
     own = [np.unpackbits(np.frombuffer(s.as_py(), np.uint8), count=len(p)).astype(bool) for s, p in zip(group.column("shared"), parts, strict=True)]
     every = np.concatenate(parts)
     values, times = np.unique(every, return_counts=True)
     twice = np.union1d(values[times > 1], every[np.concatenate(own)])
+    often = values[times >= HOT_RUNS]
+    hot = lambda both: plane(both[np.isin(both, often, assume_unique=True)]) if len(often) else b""
     out = []
     for run, part in zip(group.column("run"), parts, strict=True):
         both = part[np.isin(part, twice, assume_unique=True)]
         if len(both):
-            out.append((run.as_py(), np.ascontiguousarray(both).view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()))
-    return pa.table({"run": pa.array([r for r, _ in out], pa.int64()), "hashes": pa.array([h for _, h in out], pa.binary())})
+            out.append((run.as_py(), plane(both), hot(both)))
+    return pa.table({"run": pa.array([o[0] for o in out], pa.int64()), "hashes": pa.array([o[1] for o in out], pa.binary()), "hot": pa.array([o[2] for o in out], pa.binary())})
+
+
+def _joined(column) -> np.ndarray:
+    return np.sort(np.concatenate([np.empty(0, np.uint64), *(unplane(h.as_py()) for h in column)]))
+
+
+def _among(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(hashes), bool)
+    at = np.searchsorted(known, hashes)
+    at[at == len(known)] = 0
+    return known[at] == hashes
 
 
-def _sort_run(bounds: np.ndarray):
+def _in_buckets(order: list[bytes], bounds: np.ndarray, parts: int) -> tuple[list[bytes], np.ndarray]:
+    """Sorted elements in the order of their buckets, in each of which they are sorted; what is settled together shares a bucket."""
+    buckets = np.searchsorted(bounds, np.array([e[:HEAD] for e in order], f"S{HEAD}"), side="right") * parts
+    if parts > 1:
+        buckets += np.array([zlib.crc32(e[: TOGETHER[e[:1]]]) % parts for e in order], np.int64)
+        by_bucket = np.argsort(buckets, kind="stable")
+        order, buckets = [order[k] for k in by_bucket.tolist()], buckets[by_bucket]
+    return order, buckets
+
+
+def _sort_run(sent):
     def work(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        wanted = np.sort(np.concatenate([unplane(h.as_py()) for h in answers.column("hashes")])) if answers.num_rows else np.empty(0, np.uint64)
+        wanted, often, (bounds, parts) = _joined(answers.column("hashes")), _joined(answers.column("hot")), sent.value
         rows: list[dict] = []
         entry: dict[bytes, list] = {}
         held: dict[int, list] = {}
@@ -267,35 +316,30 @@ def _sort_run(bounds: np.ndarray):
             places, hashes = anchors(raw)
             if not len(places):
                 continue
-            at = np.searchsorted(wanted, hashes)
-            at[at == len(wanted)] = 0
-            places = places[wanted[at] == hashes]
-            if len(places):
+            chosen_ = _among(wanted, hashes)
+            places, hot = places[chosen_].tolist(), _among(often, hashes[chosen_]).tolist()
+            if places:
                 own = doc_id.as_py() if doc_id.is_valid else NO_ID
                 held[row_no.as_py()] = mine = []
-                for a in places.tolist():
-                    element, low = suffix(raw, a)
-                    known = entry.get(element)
-                    if known is None:
-                        entry[element] = known = [own, own]
-                    elif own < known[0]:
-                        known[0] = own
-                    elif own > known[1]:
-                        known[1] = own
-                    mine.append((element, low))
-        order = sorted(entry)
+                for a, whole in zip(places, hot, strict=True):
+                    for element, low in whole_strings(raw, a) if whole else (suffix(raw, a),):
+                        known = entry.get(element)
+                        if known is None:
+                            entry[element] = known = [own, own]
+                        elif own < known[0]:
+                            known[0] = own
+                        elif own > known[1]:
+                            known[1] = own
+                        mine.append((element, low))
+        order, buckets = _in_buckets(sorted(entry), bounds, parts)
         number_of = {e: i for i, e in enumerate(order)}
         for row_no, mine in held.items():
             rows.append({"run": run, "row_no": row_no, "holders": pack(np.array([(number_of[e], low) for e, low in mine], HOLDER))})
-        if order:
-            heads = np.frombuffer(b"".join(e[:8] for e in order), ">u8").astype(np.uint64)
-            bucket = np.searchsorted(bounds, heads, side="right")
-            edges = np.searchsorted(bucket, np.arange(len(bounds) + 2))
-            for b, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
-                if j > i:
-                    prefixes, lengths, tails = front_code(order[i:j])
-                    ids = pack(np.array([entry[e] for e in order[i:j]], "<i8").reshape(-1).view(IDS))
-                    rows.append({"run": run, "bucket": b, "first": i, "prefixes": prefixes, "lengths": lengths, "tails": tails, "ids": ids})
+        edges = np.flatnonzero(np.diff(buckets, prepend=-1, append=-1)).tolist()
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            prefixes, lengths, tails = front_code(order[i:j])
+            ids = pack(np.array([entry[e] for e in order[i:j]], "<i8").reshape(-1).view(IDS))
+            rows.append({"run": run, "bucket": int(buckets[i]), "first": i, "prefixes": prefixes, "lengths": lengths, "tails": tails, "ids": ids})
         return pa.Table.from_pylist(rows, schema=SORTED)
 
     return work
@@ -336,7 +380,7 @@ def _merge(group: pa.Table) -> pa.Table:
 
     same: list[tuple[bytes, list[tuple[int, int]]]] = []
     for element, known, s in LoserTree(streams):
-        if known < K and same:
+        if same and known < TOGETHER[element[:1]]:
             settle(same)
             same = []
         if same and known == len(element) == len(same[-1][0]):
@@ -391,16 +435,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A byte goes if a LENGTH-byte string over it also starts in a document with a smaller id; strings are judged on the
     input. Null text counts as empty; a null id is smaller than every other; rows with the same id remove nothing from
-    each other. kept is the rest as text, without the bytes of characters that a span has cut in two; kept_sha256 is of the remaining bytes as they are.
+    each other; an empty table gives no rows. kept is the rest as text, without the bytes of characters that a span has
+    cut in two; kept_sha256 is of the remaining bytes as they are.
     """
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    numbered = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    rows = _bucketed(numbered.select(F.shiftright("row_no", RUN_BITS).alias("run"), "row_no", "doc_id", "text"), size)
+    own = chosen(docs, doc_id=id_col, text=text_col).select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("bigint"), text_or_empty("text").alias("text"))
+    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = _bucketed(own.select(_run().alias("run"), "row_no", "doc_id", "text"), size)
     hash_buckets = max(1, -(-2 * size // ((REACH + 2) * HASHES_PER_BUCKET)))
     hashed = rows.select("run", "text").mapInArrow(_hash_runs(hash_buckets), _ddl(HASHED))
     answers = hashed.groupBy("bucket").applyInArrow(_answer, _ddl(ANSWERED))
-    bounds = _range_bounds(rows, max(1, -(-size // TEXT_PER_RANGE)))
+    buckets = max(1, -(-size // TEXT_PER_RANGE))
+    bounds = docs.sparkSession.sparkContext.broadcast((_range_bounds(rows, min(buckets, MOST_RANGES), size), -(-buckets // MOST_RANGES)))
     made = cut(rows.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(_sort_run(bounds), _ddl(SORTED)), "suffixes")
     pieces = made.where("bucket IS NOT NULL").select("run", "bucket", "first", "prefixes", "lengths", "tails", "ids")
     marks = pieces.groupBy("bucket").applyInArrow(_merge, _ddl(MARKED))
@@ -409,34 +454,57 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return rows.groupBy("run").cogroup(found.groupBy("run")).applyInArrow(_cut_run(with_text), _ddl(CUT))
 
 
+def _run() -> Column:
+    """Neighbours share a run of RUN_BYTES and RUN_ROWS at most; a longer document is a run of its own. Its number is that of its first row.
+
+    Only row numbers and lengths go to Python; a task's rows come in the order of the scan, again if it is repeated.
+    """
+
+    @F.pandas_udf("bigint")
+    def number(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        run, held, rows = -1, 0, RUN_ROWS
+        for row_nos, lengths in batches:
+            out = []
+            for row_no, length in zip(row_nos.tolist(), lengths.tolist(), strict=True):
+                if held + length > RUN_BYTES or rows >= RUN_ROWS:
+                    run, held, rows = row_no, 0, 0
+                held, rows = held + length, rows + 1
+                out.append(run)
+            yield pd.Series(out, dtype="int64")
+
+    return number("row_no", F.octet_length("text"))
+
+
 def _bucketed(rows: DataFrame, size: int) -> DataFrame:
     """The texts as a table bucketed by run in the shared folder: they meet what other tasks say of them without a shuffle of their own."""
     spark = rows.sparkSession
-    buckets = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TEXT_PER_RANGE)), 20_000)
+    buckets = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TEXT_PER_RANGE)), MOST_BUCKETS)
     path = fresh_path(spark, "texts")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     rows.write.option("path", path).option("compression", "zstd").bucketBy(buckets, "run").sortBy("run").saveAsTable(name)
-    return spark.table(name)
+    made = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay, and the plan knows where they are
+    return made
 
 
-def _range_bounds(rows: DataFrame, buckets: int) -> np.ndarray:
-    """First eight bytes of suffixes that part the sorted order into buckets of like size."""
-    if buckets < 2:
-        return np.empty(0, np.uint64)
+def _range_bounds(rows: DataFrame, ranges: int, size: int) -> np.ndarray:
+    """First bytes of suffixes that part the sorted order into ranges of like size, from a sample of bounded size."""
+    if ranges < 2:
+        return np.empty(0, f"S{HEAD}")
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
         for batch in batches:
             for text in batch.column(0):
                 raw = text.as_buffer().to_pybytes()
-                places = anchors(raw)[0][::8]
-                if len(places):
-                    # The sign bit is flipped: signed order is then the order of the bytes.
-                    found = np.array([int.from_bytes(raw[a : a + 8], "big") - (1 << 63) for a in places.tolist()], np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(found)], names=["head"])
-
-    sample = rows.select("text").sample(BOUND_SAMPLE, 1).mapInArrow(heads, "head bigint")
-    found = sample.agg(F.percentile_approx("head", [k / buckets for k in range(1, buckets)], 10_000)).first()[0] or []
-    return np.unique(np.array([int(v) + (1 << 63) for v in found], np.uint64))
+                places = anchors(raw)[0]
+                found.extend(SUFFIX + raw[a : a + HEAD - 1] for a in places[:: max(8, len(places) // 1000)].tolist())
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join(found)], pa.binary())], names=["heads"])
+
+    share = min(1.0, 8 * (REACH + 2) / 2 * HEADS / max(size, 1))
+    joined = b"".join(r.heads for r in rows.select("text").sample(share, 1).mapInArrow(heads, "heads binary").toLocalIterator())
+    found = np.sort(np.frombuffer(joined, f"S{HEAD}"))
+    return np.unique(found[[len(found) * k // ranges for k in range(1, ranges)]]) if len(found) else found
 
 
 def suffix_report(found: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from eventloom.llm.exact_dedup import drop_exact_copies, exact_dedup
 from eventloom.llm.queries import ORACLES, QUERIES
 from eventloom.llm.simhash import drop_near_copies, fingerprint, near_copies
 from helpers import LOW, TEXTS, docs, empty
+from pyspark.sql import functions as F
 
 
 # Exact copies.
@@ -129,7 +130,7 @@ def spans(df, **how):
 
 @pytest.fixture()
 def small(monkeypatch):
-    for name, value in (("RUN_BITS", 5), ("TEXT_PER_RANGE", 5000), ("HASHES_PER_BUCKET", 500), ("BOUND_SAMPLE", 0.5)):
+    for name, value in (("RUN_ROWS", 32), ("RUN_BYTES", 6000), ("TEXT_PER_RANGE", 3000), ("HASHES_PER_BUCKET", 500), ("MOST_RANGES", 3), ("HOT_RUNS", 6)):
         monkeypatch.setattr(sd, name, value)
 
 
@@ -143,6 +144,20 @@ def test_repeats_against_brute_force(spark, small):
     assert spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
 
 
+def test_runs_are_bounded_by_bytes(spark, small):
+    rows = [(i, "é" * r) for i, r in enumerate([0, 10, 90, 100, 1500, 1600, 2999, 3001, 50_000] * 40)]
+    df = spark.createDataFrame(rows, "row_no long, text string").coalesce(2).select(sd._run().alias("run"), "text").groupBy("run").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    runs = df.collect()
+    assert all(r.bytes <= sd.RUN_BYTES and r.n <= sd.RUN_ROWS or r.n == 1 for r in runs) and len(runs) < 250
+
+
+def test_repeats_in_few_very_long_texts(spark):
+    long = "".join(random.Random(3).choices("abcdefgh ", k=3_000_000))
+    rows = [(1, long), (2, "x" + long[:2_000_000]), (3, "short " + long[5:80])]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in sd.suffix_report(sd.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got == {1: (0, 0), 2: (2_000_000, 1), 3: (75, 1)}
+
+
 def test_repeats_of_odd_rows(spark, small):
     texts = [*TEXTS, TEXTS[0] + " and more", "y" * 49, "y" * 50, "y" * 51]
     assert spans(docs(spark, texts)) == brute(list(enumerate(texts)))
