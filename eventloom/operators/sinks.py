@@ -30,9 +30,15 @@ def insert_ignore(target: DataFrame | None, batch: DataFrame, keys: list[str], o
 
 
 def append_ignore(batch: DataFrame, path: str, keys: list[str], batch_no: int | None = None) -> None:
-    """Appends what is new to a table of files. With batch_no the batch has a folder of its own, written over on a retry."""
+    """Appends what is new to a table of files. With batch_no the batch has a folder of its own, written over on a retry.
+
+    Where the time is part of the key, only the table's rows between the batch's first and last time are read.
+    """
     spark = batch.sparkSession
     target = spark.read.schema(batch.schema).option("recursiveFileLookup", "true").parquet(path) if path_exists(spark, path) else None
+    if target is not None and "timestamp_ms" in keys:
+        low, high = batch.agg(F.min("timestamp_ms"), F.max("timestamp_ms")).first()
+        target = target.where(F.col("timestamp_ms").between(low, high)) if low is not None else target.limit(0)
     if batch_no is None:
         insert_ignore(target, batch, keys).write.mode("append").parquet(path)
         return
@@ -99,11 +105,6 @@ def in_order(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(n) if n in df.columns else F.lit(None).alias(n) for n in names])
 
 
-def write_avro(df: DataFrame, path: str) -> None:
-    """Avro containers, where the connector is on the class path."""
-    df.write.format("avro").mode("overwrite").save(path)
-
-
 def write_kafka(df: DataFrame, topic: str, servers: str, key: str = "event_id", ms: str | None = None) -> None:
     """JSON records keyed by id, with a time of their own where one is given; needs the connector."""
     cols = [F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"), F.lit(topic).alias("topic")]

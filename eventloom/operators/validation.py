@@ -103,6 +103,8 @@ class Enforced:
     valid: DataFrame
     rejected: DataFrame
     metrics: DataFrame
+    #: Rows of both kinds with their reason.
+    judged: DataFrame
 
 
 def enforce(df: DataFrame, stream: str, schema: StructType, domains: dict[str, tuple[str, ...]] | None = None, extra: Column | None = None) -> Enforced:
@@ -129,7 +131,7 @@ def enforce(df: DataFrame, stream: str, schema: StructType, domains: dict[str, t
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("reason").isNull()).alias("passed"), F.count("reason").alias("rejected"), F.count_if(F.col("reason") == "version drift").alias("version_drift"),
         F.coalesce(F.bround(F.try_divide(F.count("reason") * 100.0, F.count(F.lit(1))), 4), F.lit(0.0)).alias("data_loss_pct"),
     )
-    return Enforced(valid, judged.where("reason IS NOT NULL"), metrics)
+    return Enforced(valid, judged.where("reason IS NOT NULL"), metrics, judged)
 
 
 def survives_exactly(x: Column) -> Column:
@@ -170,6 +172,12 @@ def label_checks(types: tuple[str, ...]) -> Column:
     return ((F.col("label") == 0) == a.isNull()) & F.coalesce(a.isin(*types), F.lit(True))
 
 
+def class_balance(df: DataFrame, by: str, wanted: float, tolerance: float = 0.003) -> DataFrame:
+    """by, n, share of label 1, balanced: whether the share is within tolerance (0.3 percentage points) of the wanted one."""
+    share = F.avg((F.col("label") == 1).cast("double"))
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), share.alias("share"), (F.abs(share - wanted) <= tolerance).alias("balanced"))
+
+
 def cleaned(df: DataFrame, now_ms: Column, dedup_ms: int = 10_000) -> DataFrame:
     """Drops rows without id and rows from over 5 s ahead; of rows that repeat an id within dedup_ms of the one before only the first stays."""
     from pyspark.sql import Window

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import q_fusion, q_quality, q_rollups, q_streaming
+from . import q_fusion, q_quality, q_records, q_rollups, q_streaming
 
-MODULES = (q_fusion, q_rollups, q_quality, q_streaming)
+MODULES = (q_fusion, q_rollups, q_quality, q_records, q_streaming)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

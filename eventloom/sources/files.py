@@ -43,11 +43,6 @@ def parquet_or_empty(spark: SparkSession, path: str, schema: StructType) -> Data
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def avro(spark: SparkSession, path: str) -> DataFrame:
-    """Avro containers; needs the connector on the class path."""
-    return spark.read.format("avro").load(path)
-
-
 def kafka_stream(spark: SparkSession, topics: str, servers: str, most_offsets: int = 50_000, starting_ms: int | None = None) -> DataFrame:
     """A stream of topics from now on, or from a time; most_offsets 0 sets no bound for a batch. Needs the connector."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topics).option("startingOffsets", "latest")
