@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranked import percentiles, running_sum
+
 from eventloom.functions.scalars import nearest_rank, time_bucket
 
 
@@ -119,9 +121,11 @@ def momentum(alpha: Column, p2: Column, p3: Column, p4: Column, clamp: bool = Fa
 
 
 def median_mad(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Median and median absolute deviation of each group; a deviation of 0 counts as 1."""
-    med = df.groupBy(by).agg(F.percentile(value, F.lit(0.5)).alias("med"))
-    return df.join(med, by).groupBy(by).agg(F.first("med").alias("med"), F.percentile(F.abs(F.col(value) - F.col("med")), F.lit(0.5)).alias("m")).select(by, "med", F.when(F.col("m") > 0, F.col("m")).otherwise(1.0).alias("mad"))
+    """Median and median absolute deviation of each group; a deviation of 0 counts as 1. Groups may be of any size."""
+    med = percentiles(df, [by], value, {"med": 0.5})
+    # Few groups are the rule here (features, parameters), but nothing bounds them: the join is the planner's.
+    away = df.join(med, by).select(by, F.abs(F.col(value) - F.col("med")).alias("away"))
+    return med.join(percentiles(away, [by], "away", {"m": 0.5}), by).select(by, "med", F.when(F.col("m") > 0, F.col("m")).otherwise(1.0).alias("mad"))
 
 
 def value_stats(df: DataFrame, by: str, value: str, normal: Column, train: Column) -> DataFrame:
@@ -140,8 +144,7 @@ def confusion(df: DataFrame, truth: Column, flagged: Column, *by: str) -> DataFr
 def roc_auc(df: DataFrame, score: str, truth: Column, *by: str) -> DataFrame:
     """Mann-Whitney area with ties as halves, from counts of each distinct score; null with one class only."""
     counts = df.groupBy(*by, score).agg(F.count_if(truth).alias("p"), F.count_if(~truth).alias("q"))
-    below = F.sum("q").over(Window.partitionBy(*by).orderBy(score).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("q")
-    won = counts.withColumn("won", F.col("p") * (below + F.col("q") / 2.0))
+    won = running_sum(counts, list(by), score, {"upto": "q"}).withColumn("won", F.col("p") * (F.col("upto") - F.col("q") / 2.0))
     return won.groupBy(*by).agg(F.try_divide(F.sum("won"), F.sum("p") * F.sum("q")).alias("auc"))
 
 
