@@ -49,6 +49,32 @@ def _(spark, sf):
     return last.groupBy(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type").agg(F.max("count").alias("count"))
 
 
+SLIDING = "generate_series(epoch_us(ts) // 1000000 // 600 * 600 - 3000, epoch_us(ts) // 1000000 // 600 * 600, 600)"
+
+
+@query("stream_sliding", f"WITH {E} SELECT make_timestamp(start * 1000000) AS window_start, event_type, count(*) AS count FROM (SELECT event_type, unnest({SLIDING}) AS start FROM e) GROUP BY 1, 2")
+def _(spark, sf):
+    # An hour's windows, one every ten minutes: each event is in six of them.
+    out = fresh_path(spark, "sliding")
+    counts = st.counts(stream(spark, sf), "ts", "event_type", "1 hour", slide="10 minutes")
+    to_end(counts.writeStream.outputMode("complete").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/{n}")).option("checkpointLocation", fresh_path(spark, "cp")).trigger(availableNow=True).start())
+    last = spark.read.option("recursiveFileLookup", "true").parquet(out)
+    return last.groupBy(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type").agg(F.max("count").alias("count"))
+
+
+@query("stream_updates", f"WITH {E} SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS count FROM e GROUP BY 1, 2")
+def _(spark, sf):
+    # Update mode: a batch gives the windows that it has changed, so the last update of each is the largest.
+    out = fresh_path(spark, "updates")
+    source = spark.readStream.schema(table(spark, sf, "events").schema).option("maxFilesPerTrigger", 1)
+    parts = fresh_path(spark, "parts")
+    table(spark, sf, "events").repartitionByRange(3, "ts").write.parquet(parts)
+    rows = source.parquet(parts).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    to_end(st.update_counts(st.counts(rows, "ts", "event_type", "1 hour", watermark="30 days"), out, fresh_path(spark, "cp"), trigger={"availableNow": True}))
+    seen = spark.read.option("recursiveFileLookup", "true").parquet(out)
+    return seen.groupBy(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type").agg(F.max("count").alias("count"))
+
+
 @query("stream_staging", f"WITH {E} SELECT event_id, '1.0' AS schema_version, 'validated' AS load_status FROM (SELECT lpad(CAST(event_id AS VARCHAR), 32, '0') AS event_id FROM e WHERE event_id % 7 <> 0)")
 def _(spark, sf):
     i = F.col("event_id")
@@ -59,16 +85,31 @@ def _(spark, sf):
     return spark.read.option("recursiveFileLookup", "true").parquet(out).select("event_id", "schema_version", "load_status")
 
 
-@query("stream_fusion", f"WITH {v.FUSED}, w AS (SELECT max(ms) AS top FROM e WHERE event_type <> 'purchase'), b AS (SELECT min(m) AS low FROM (SELECT max(ms) AS m FROM e GROUP BY event_type)) SELECT CAST(aid AS VARCHAR) AS alice_event_id, CAST(sid AS VARCHAR) AS sensor_event_id, a_ms AS timestamp_ms, sensor_type FROM fused WHERE a_ms < (SELECT low FROM b) - 3600000")
+def with_flush(spark, sf):
+    """The events as a stream of files, and after them rows of every type 60, 120 and 180 s past the end, one file each.
+
+    Matches come out once the slowest stream's watermark has passed them, so without later rows the last would be held back.
+    """
+    folder, raw = fresh_path(spark, "events"), table(spark, sf, "events")
+    raw.write.mode("append").parquet(folder)
+    top = raw.agg(F.max("ts")).first()[0]
+    kinds = [v.LEFT, *v.RIGHTS]
+    for k in (1, 2, 3):
+        rows = [(-(100 * k + i), kind) for i, kind in enumerate(kinds)]
+        flush = spark.createDataFrame(rows, "event_id long, event_type string").withColumns({"ts": F.lit(top).cast("timestamp_ntz") + F.expr(f"INTERVAL {60 * k} SECONDS")})
+        flush.select(*[F.col(f.name) if f.name in flush.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in raw.schema]).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return source.select("event_id", event_ms(F.col("ts")).alias("ms"), F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+
+
+@query("stream_fusion", f"WITH {v.FUSED} SELECT CAST(aid AS VARCHAR) AS alice_event_id, CAST(sid AS VARCHAR) AS sensor_event_id, a_ms AS timestamp_ms, sensor_type FROM fused")
 def _(spark, sf):
-    # Rows come out once the slowest stream's watermark has passed them; the last hour may still be held back.
-    e = stream(spark, sf)
+    e = with_flush(spark, sf)
     matches = st.fusion_stream(e.where(F.col("event_type") == v.LEFT), {k: e.where(F.col("event_type") == k) for k in v.RIGHTS}, v.WINDOW_MS)
     out, beats = fresh_path(spark, "fused"), fresh_path(spark, "status")
     to_end(st.write_fused(matches, out, beats, fresh_path(spark, "cp"), v.WINDOW_MS, trigger={"availableNow": True}, name=f"fusion-{out[-8:]}"))
-    low = events(spark, sf).groupBy("event_type").agg(F.max("ms").alias("m")).agg(F.min("m").alias("low"))
     rows = spark.read.schema(FUSED_EVENT).option("recursiveFileLookup", "true").parquet(out)
-    return rows.join(F.broadcast(low), F.col("timestamp_ms") < F.col("low") - 3_600_000).select("alice_event_id", "sensor_event_id", "timestamp_ms", "sensor_type")
+    return rows.where(~F.col("alice_event_id").startswith("-")).select("alice_event_id", "sensor_event_id", "timestamp_ms", "sensor_type")
 
 
 @query("stream_dedup", f"WITH {E} SELECT event_id, count(*) AS n FROM e GROUP BY 1")

@@ -23,6 +23,16 @@ def counts(stream: DataFrame, ts: str, by: str, width: str = "5 seconds", waterm
     return marked.groupBy(window, by).agg(F.count(F.lit(1)).alias("count")).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), by, "count")
 
 
+def update_counts(counted: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Writes what each batch has changed, in a folder for each batch: windows come again as often as they change."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = counted.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.queryName(name) if name else writer).trigger(**(trigger or {"processingTime": TRIGGER})).start()
+
+
 def fusion_stream(left: DataFrame, rights: dict[str, DataFrame], window_ms: int, watermark: str = WATERMARK, id_col: str = "event_id", ms_col: str = "ms") -> DataFrame:
     """Nearest matches of streams: each right stream has a watermark of its own before the union, and the slowest governs."""
     a = prepare_left(left, id_col, ms_col, window_ms, watermark)
@@ -39,8 +49,12 @@ def stage(stream: DataFrame, path: str, checkpoint: str, check, keys: tuple[str,
 
     def batch(df: DataFrame, number: int) -> None:
         passed: Enforced = check(df)
-        if not passed.valid.isEmpty():
-            append_ignore(with_audit(passed.valid, F.current_timestamp(), f"{name}-{number}", sensor), path, list(keys), number)
+        valid = passed.valid.persist()
+        try:
+            if not valid.isEmpty():
+                append_ignore(with_audit(valid, F.current_timestamp(), f"{name}-{number}", sensor), path, list(keys), number)
+        finally:
+            valid.unpersist()
 
     return stream.writeStream.queryName(name).foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": TRIGGER})).start()
 
