@@ -13,6 +13,7 @@ from eventloom.operators.sinks import fused_rows, heartbeats, patch_status, with
 from eventloom.operators.windows import ecdf_risk
 from eventloom.schemas import SENSOR_EVENT
 from eventloom.sources.files import events, table
+from eventloom.sources import generators as g
 from eventloom.sources.generators import ANOMALIES, generate, inject_lateness, numbered
 
 from . import dashboard as d
@@ -137,10 +138,18 @@ def _(spark, sf):
     return events(spark, sf).select("event_id", is_uuid(text).alias("ok"))
 
 
-@query("fused_conformance", f"WITH {FUSED} SELECT count(*) AS total, count(*) AS bad_alice_event_id, count(*) AS bad_sensor_event_id, CAST(count_if(sensor_type <> 'click') AS BIGINT) AS bad_sensor_type, 0 AS bad_latency_ms, 0 AS duplicate_ids FROM fused")
+@query("fused_conformance", f"""WITH {FUSED}, w AS (SELECT lpad(CAST(aid AS VARCHAR), 32, '0') AS alice_event_id, CASE WHEN sid % 3 = 0 THEN 'x' ELSE lpad(CAST(sid AS VARCHAR), 32, '0') END AS sensor_event_id, CASE WHEN aid % 4 = 0 THEN 0 ELSE a_ms END AS timestamp_ms, sensor_type, CASE WHEN aid % 5 = 0 THEN 250 ELSE 500 END AS fusion_window_ms,
+    CASE WHEN aid % 6 = 0 THEN 101 ELSE aid % 100 END AS data_loss_pct, CASE WHEN aid % 7 = 0 THEN -1 ELSE 5 END AS latency_ms, CASE WHEN aid % 8 = 0 THEN '2.0' ELSE '1.0' END AS schema_version, CASE WHEN aid % 9 = 0 THEN 1 END AS anomaly_label, lpad(CAST(aid // 2 AS VARCHAR), 32, '0') AS fused_event_id FROM fused)
+    SELECT count(*) AS total, 0 AS bad_fused_event_id, 0 AS bad_alice_event_id, CAST(count_if(sensor_event_id = 'x') AS BIGINT) AS bad_sensor_event_id, CAST(count_if(timestamp_ms <= 0) AS BIGINT) AS bad_timestamp_ms, CAST(count_if(fusion_window_ms <> 500) AS BIGINT) AS bad_fusion_window_ms,
+    CAST(count_if(sensor_type <> 'click') AS BIGINT) AS bad_sensor_type, CAST(count_if(data_loss_pct > 100) AS BIGINT) AS bad_data_loss_pct, CAST(count_if(latency_ms < 0) AS BIGINT) AS bad_latency_ms, CAST(count_if(schema_version <> '1.0') AS BIGINT) AS bad_schema_version, count(anomaly_label) AS set_anomaly_label, count(*) - count(DISTINCT fused_event_id) AS duplicate_ids FROM w""")
 def _(spark, sf):
-    rows = fused_rows(v.fused(spark, sf), v.WINDOW_MS, F.lit(NOW * 2))
-    return q.fused_conformance(rows, v.WINDOW_MS, ("click",)).select("total", "bad_alice_event_id", "bad_sensor_event_id", "bad_sensor_type", "bad_latency_ms", "duplicate_ids")
+    text = lambda c: F.lpad(c.cast("string"), 32, "0")
+    a, sid = F.col("aid"), F.col("sid")
+    rows = v.fused(spark, sf).select(
+        text(F.floor(a / 2)).alias("fused_event_id"), text(a).alias("alice_event_id"), F.when(sid % 3 == 0, "x").otherwise(text(sid)).alias("sensor_event_id"), F.when(a % 4 == 0, 0).otherwise(F.col("a_ms")).alias("timestamp_ms"), "sensor_type",
+        F.when(a % 5 == 0, 250).otherwise(500).alias("fusion_window_ms"), F.when(a % 6 == 0, 101).otherwise(a % 100).alias("data_loss_pct"), F.when(a % 7 == 0, -1).otherwise(5).alias("latency_ms"), F.when(a % 8 == 0, "2.0").otherwise("1.0").alias("schema_version"), F.when(a % 9 == 0, 1).alias("anomaly_label"),
+    )
+    return q.fused_conformance(rows, 500, ("click",))
 
 
 @query("score_constraints", f"WITH {SCORED} SELECT event_id, (anomaly_label IS NULL OR anomaly_label IN (0, 1)) AND (latency_ms / 100 <= 1) AS ok FROM scored")
@@ -266,21 +275,75 @@ def _(spark, sf):
 @query("isolation_forest_auc", "SELECT 'radar' AS stream, true AS good")
 def _(spark, sf):
     rows = QUERIES["isolation_forest"](spark, sf).withColumn("stream", F.lit("radar"))
-    return roc_auc(rows, "risk", F.col("label") == 1, "stream").select("stream", (F.col("auc") > 0.95).alias("good"))
-
-
-# Generators give rows only; what must hold of them is compared.
-@query("generated_radar")
+    return roc_auc(rows, "risk", F.col("label") == 1, "stream").select("stream", (F.col("auc") > 0.99).alias("good"))
+
+
+# Generators: the same draws in SQL.
+def unit_sql(what: str) -> str:
+    return f"(CAST('0x' || substr(md5('42:' || n || ':{what}'), 1, 13) AS BIGINT) / {float(1 << 52)})"
+
+
+def uniform_sql(what: str, low, high) -> str:
+    return f"(round({low} + ({high} - {low}) * {unit_sql(what)}, 2) + 0.0)"  # no negative zero
+
+
+def integer_sql(what: str, low: int, high: int) -> str:
+    return f"CAST(floor({unit_sql(what)} * {high - low + 1}) + {low} AS INTEGER)"
+
+
+def uuid_sql(what: str) -> str:
+    return "concat_ws('-', " + ", ".join(f"substr(md5('42:' || n || ':{what}'), {a}, {k})" for a, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + ")"
+
+
+def generated_sql(kind: str, count: int = 5000, base_ms: int = 1_700_000_000_000) -> str:
+    """Normal records, their mutations by anomaly type, and telemetry's counters after gaps, in DuckDB."""
+    own = {"event_id": uuid_sql(f"event {kind}"), "sensor_id": f"'{kind}-01'", "sensor_type": f"'{kind}'", "timestamp_ms": f"{base_ms} + (n + 1) * 1000", "schema_version": "'1.0'"}
+    own |= {name: uniform_sql(name, float(a), float(b)) for name, (a, b) in g.NORMAL.get(kind, {}).items()}
+    if kind == "RADAR":
+        own["target_id"] = f"'TARGET-' || lpad(CAST({integer_sql('target', 1, g.TARGETS)} AS VARCHAR), 4, '0')"
+    elif kind == "LIDAR":
+        own |= {"scan_id": uuid_sql("scan"), "point_count": integer_sql("point_count", *g.POINTS), "min_intensity": uniform_sql("min_intensity", float(g.LEAST_INTENSITY), f"least({float(g.MOST_LEAST_INTENSITY)}, {own['avg_intensity']})")}
+    else:
+        parameter = f"([{', '.join(repr(p) for p in g.PARAMETERS)}])[{integer_sql('parameter_name', 1, len(g.PARAMETERS))}]"
+        of = lambda k: "CASE " + parameter + " " + " ".join(f"WHEN '{p}' THEN {v[k]!r}" for p, v in g.PARAMETERS.items()) + " END"
+        own |= {"device_id": "'SENSOR-UNIT-01'", "parameter_name": parameter, "value": uniform_sql("value", of(1), of(2)), "unit": of(0), "sequence_number": "n + 1"}
+    sql_type = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT"}
+    cast = lambda f, x: f"CAST({x} AS {sql_type[f.dataType.simpleString()]})"
+    base = ", ".join(f"{cast(f, own.get(f.name, 'NULL'))} AS {f.name}" for f in SENSOR_EVENT)
+    kinds = ", ".join(repr(t) for t in ANOMALIES[kind])
+    new: dict[str, list] = {}
+    for (name, t), (a, b) in g.ANOMALOUS.items():
+        new.setdefault(name, []).append((t, uniform_sql(f"{t} {name}", float(a), float(b))))
+    for name, by in g.SHIFTS.items():
+        new.setdefault(name, []).append(("noise_burst", f"round(CAST({name} AS DOUBLE) + {uniform_sql(f'shift {name}', -float(by), float(by))}, 2)"))
+    new["velocity_ms"] = [("velocity_spike", f"round(CASE WHEN {unit_sql('sign')} < 0.5 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END * {uniform_sql('spike', *map(float, g.SPIKE))}, 2)")]
+    new["point_count"] = [("point_cloud_dropout", integer_sql("few", *g.FEW_POINTS)), ("ghost_point", str(g.GHOST_POINTS))]
+    new["value"] = [("out_of_range_value", "CASE parameter_name " + " ".join(f"WHEN '{p}' THEN {uniform_sql(f'far {p}', a, b)}" for p, (a, b) in g.OUT_OF_RANGE.items()) + " END")]
+    gap, moved = integer_sql("gap", *g.GAP), "0"
+    if kind == "TELEMETRY":
+        moved = f"coalesce(sum(CASE WHEN anomaly_type = 'missing_reading' THEN {gap} ELSE 0 END) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    new["timestamp_ms"] = [("timestamp_stall", "timestamp_ms - 1000")]
+    new["sequence_number"] = [("missing_reading", f"sequence_number + {gap}")]
+    out = []
+    for f in SENSOR_EVENT:
+        x = f"CASE anomaly_type {' '.join(f'WHEN {t!r} THEN {cast(f, v)}' for t, v in new[f.name])} ELSE {f.name} END" if f.name in new else f.name
+        more = {"timestamp_ms": f" + {moved} * 1000", "sequence_number": f" + {moved}"}.get(f.name, "")
+        out.append(f"{cast(f, x + more)} AS {f.name}")
+    return f"""WITH b AS (SELECT n, {base}, CASE WHEN {unit_sql('hit')} < {g.RATE} THEN ([{kinds}])[{integer_sql('kind', 1, 3)}] END AS anomaly_type FROM range({count}) t(n))
+        SELECT n, {', '.join(out)}, CAST(anomaly_type IS NOT NULL AS INTEGER) AS label, anomaly_type FROM b"""
+
+
+@query("generated_radar", generated_sql("RADAR"))
 def _(spark, sf):
     return generate(spark, "RADAR", 5000)
 
 
-@query("generated_lidar")
+@query("generated_lidar", generated_sql("LIDAR"))
 def _(spark, sf):
     return generate(spark, "LIDAR", 5000)
 
 
-@query("generated_telemetry")
+@query("generated_telemetry", generated_sql("TELEMETRY"))
 def _(spark, sf):
     return generate(spark, "TELEMETRY", 5000)
 

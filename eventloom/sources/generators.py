@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from eventloom.schemas import SENSOR_EVENT, SENSOR_TYPES
 
 RATE, INTERVAL_MS = 0.03, 1000
-# Normal ranges, and ranges under anomalies.
+# Normal ranges by sensor type, parameters of telemetry with unit and range, ranges under anomalies, devices.
+NORMAL = {
+    "RADAR": {"range_m": (50, 5000), "bearing_deg": (0, 360), "elevation_deg": (-30, 30), "velocity_ms": (-100, 300), "signal_strength_db": (-90, -20)},
+    "LIDAR": {"centroid_x_m": (-100, 100), "centroid_y_m": (-100, 100), "centroid_z_m": (-10, 50), "max_range_m": (50, 500), "avg_intensity": (80, 220)},
+}
+POINTS, LEAST_INTENSITY, MOST_LEAST_INTENSITY, TARGETS = (10_000, 200_000), 20, 100, 500
 PARAMETERS = {"cpu_temp_c": ("C", 35.0, 75.0), "battery_pct": ("%", 20.0, 100.0), "voltage_v": ("V", 11.0, 13.0)}
 OUT_OF_RANGE = {"cpu_temp_c": (125.0, 180.0), "battery_pct": (110.0, 150.0), "voltage_v": (20.0, 30.0)}
 ANOMALIES = {
@@ -19,6 +24,15 @@ ANOMALIES = {
     "LIDAR": ("noise_burst", "point_cloud_dropout", "ghost_point"),
     "TELEMETRY": ("out_of_range_value", "timestamp_stall", "missing_reading"),
 }
+#: (field, anomaly type): range of its values.
+ANOMALOUS = {
+    ("range_m", "ghost_target"): (7500, 12_000), ("bearing_deg", "ghost_target"): (380, 720), ("elevation_deg", "ghost_target"): (60, 90), ("signal_strength_db", "ghost_target"): (-145, -120), ("signal_strength_db", "sensor_dropout"): (-160, -145),
+    ("avg_intensity", "noise_burst"): (350, 600), ("min_intensity", "noise_burst"): (250, 340), ("min_intensity", "point_cloud_dropout"): (0, 5),
+    ("centroid_x_m", "ghost_point"): (600, 1000), ("centroid_y_m", "ghost_point"): (600, 1000), ("centroid_z_m", "ghost_point"): (300, 600), ("max_range_m", "ghost_point"): (10, 25),
+}
+#: By how much a noise burst moves a centroid, either way; speeds of a spike, either way; points left; gaps of a counter.
+SHIFTS = {"centroid_x_m": 300, "centroid_y_m": 300, "centroid_z_m": 150}
+SPIKE, FEW_POINTS, GHOST_POINTS, GAP = (800, 1500), (0, 10), 1, (2, 10)
 DEVICES = {"RADAR": 3, "LIDAR": 3, "TELEMETRY": 5}
 
 
@@ -28,8 +42,12 @@ class Draws:
     def __init__(self, seed: int, n: str = "n"):
         self.seed, self.n = seed, n
 
+    def digest(self, what: str) -> Column:
+        return F.md5(F.concat_ws(":", F.lit(self.seed), F.col(self.n).cast("string"), F.lit(what)))
+
     def unit(self, what: str) -> Column:
-        return F.pmod(F.xxhash64(F.lit(self.seed), F.col(self.n), F.lit(what)), F.lit(1 << 52)) / float(1 << 52)
+        """In [0, 1), by the first 52 bits of an MD5 that any engine can make."""
+        return F.conv(F.substring(self.digest(what), 1, 13), 16, 10).cast("bigint") / float(1 << 52)
 
     def uniform(self, what: str, low, high) -> Column:
         low, high = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
@@ -42,7 +60,7 @@ class Draws:
         return F.element_at(F.array(*map(F.lit, values)), self.integer(what, 1, len(values)))
 
     def uuid(self, what: str) -> Column:
-        h = F.md5(F.concat_ws(":", F.lit(self.seed), F.col(self.n).cast("string"), F.lit(what)))
+        h = self.digest(what)
         return F.concat_ws("-", *[F.substring(h, a, k) for a, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
@@ -54,14 +72,14 @@ def base_records(df: DataFrame, kind: str, base_ms: int, seed: int = 42, n: str
     device = d.integer("device", 1, devices or 1)
     # One device numbers its rows in a row; several share them out, each with a sequence of its own by numbered().
     if kind == "RADAR":
-        own = {"target_id": F.format_string("TARGET-%04d", d.integer("target", 1, 500)), "range_m": d.uniform("range", 50, 5000), "bearing_deg": d.uniform("bearing", 0, 360), "elevation_deg": d.uniform("elevation", -30, 30), "velocity_ms": d.uniform("velocity", -100, 300), "signal_strength_db": d.uniform("signal", -90, -20)}
+        own = {"target_id": F.format_string("TARGET-%04d", d.integer("target", 1, TARGETS))}
     elif kind == "LIDAR":
-        mean = d.uniform("mean", 80, 220)
-        own = {"scan_id": d.uuid("scan"), "point_count": d.integer("points", 10_000, 200_000), "centroid_x_m": d.uniform("x", -100, 100), "centroid_y_m": d.uniform("y", -100, 100), "centroid_z_m": d.uniform("z", -10, 50), "max_range_m": d.uniform("far", 50, 500), "avg_intensity": mean, "min_intensity": d.uniform("least", F.lit(20.0), F.least(F.lit(100.0), mean))}
+        own = {"scan_id": d.uuid("scan"), "point_count": d.integer("point_count", *POINTS), "min_intensity": d.uniform("min_intensity", F.lit(float(LEAST_INTENSITY)), F.least(F.lit(float(MOST_LEAST_INTENSITY)), d.uniform("avg_intensity", *NORMAL[kind]["avg_intensity"])))}
     else:
-        parameter = d.choice("parameter", list(PARAMETERS))
+        parameter = d.choice("parameter_name", list(PARAMETERS))
         of = lambda k: F.coalesce(*[F.when(parameter == p, F.lit(v[k])) for p, v in PARAMETERS.items()])
         own = {"device_id": F.format_string("SENSOR-UNIT-%02d", device), "parameter_name": parameter, "value": d.uniform("value", of(1), of(2)), "unit": of(0), "sequence_number": F.col(n) + 1}
+    own |= {name: d.uniform(name, *span) for name, span in NORMAL.get(kind, {}).items()}
     common = {"event_id": d.uuid(f"event {kind}"), "sensor_id": F.format_string(f"{kind}-%02d", device), "sensor_type": F.lit(kind), "timestamp_ms": F.lit(base_ms) + (F.col(n) + 1) * INTERVAL_MS, "schema_version": F.lit("1.0")}
     fields = common | own
     return df.select(F.col(n).alias("n"), *[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SENSOR_EVENT], F.lit(0).alias("label"), F.lit(None).cast("string").alias("anomaly_type"))
@@ -79,18 +97,17 @@ def inject(df: DataFrame, kind: str, rate: float = RATE, seed: int = 42) -> Data
 def mutate(df: DataFrame, seed: int = 42) -> DataFrame:
     """Applies the mutation that anomaly_type names to each row."""
     d, t = Draws(seed), F.col("anomaly_type")
-    u = d.uniform
-    shift = lambda c, by: F.round(F.col(c) + u(f"shift {c}", -by, by), 2)
+    new: dict[str, list] = {}
+    for (name, kind), span in ANOMALOUS.items():
+        new.setdefault(name, []).append((kind, d.uniform(f"{kind} {name}", *span)))
+    for name, by in SHIFTS.items():
+        new.setdefault(name, []).append(("noise_burst", F.round(F.col(name) + d.uniform(f"shift {name}", -by, by), 2)))
     sign = F.when(d.unit("sign") < 0.5, -1.0).otherwise(1.0)
-    far = F.coalesce(*[F.when(F.col("parameter_name") == p, u(f"far {p}", *r)) for p, r in OUT_OF_RANGE.items()])
-    new = {
-        "range_m": [("ghost_target", u("ghost range", 7500, 12_000))], "bearing_deg": [("ghost_target", u("ghost bearing", 380, 720))], "elevation_deg": [("ghost_target", u("ghost elevation", 60, 90))],
-        "signal_strength_db": [("ghost_target", u("ghost signal", -145, -120)), ("sensor_dropout", u("dropout", -160, -145))], "velocity_ms": [("velocity_spike", F.round(sign * u("spike", 800, 1500), 2))],
-        "avg_intensity": [("noise_burst", u("burst mean", 350, 600))], "min_intensity": [("noise_burst", u("burst least", 250, 340)), ("point_cloud_dropout", u("faint", 0, 5))],
-        "centroid_x_m": [("noise_burst", shift("centroid_x_m", 300)), ("ghost_point", u("ghost x", 600, 1000))], "centroid_y_m": [("noise_burst", shift("centroid_y_m", 300)), ("ghost_point", u("ghost y", 600, 1000))],
-        "centroid_z_m": [("noise_burst", shift("centroid_z_m", 150)), ("ghost_point", u("ghost z", 300, 600))], "point_count": [("point_cloud_dropout", d.integer("few", 0, 10)), ("ghost_point", F.lit(1))], "max_range_m": [("ghost_point", u("ghost far", 10, 25))],
-        "value": [("out_of_range_value", far)], "timestamp_ms": [("timestamp_stall", F.col("timestamp_ms") - INTERVAL_MS)], "sequence_number": [("missing_reading", F.col("sequence_number") + d.integer("gap", 2, 10))],
-    }
+    new["velocity_ms"] = [("velocity_spike", F.round(sign * d.uniform("spike", *SPIKE), 2))]
+    new["point_count"] = [("point_cloud_dropout", d.integer("few", *FEW_POINTS)), ("ghost_point", F.lit(GHOST_POINTS))]
+    new["value"] = [("out_of_range_value", F.coalesce(*[F.when(F.col("parameter_name") == p, d.uniform(f"far {p}", *r)) for p, r in OUT_OF_RANGE.items()]))]
+    new["timestamp_ms"] = [("timestamp_stall", F.col("timestamp_ms") - INTERVAL_MS)]
+    new["sequence_number"] = [("missing_reading", F.col("sequence_number") + d.integer("gap", *GAP))]
     out = {}
     for name, cases in new.items():
         value = F.col(name)
@@ -102,7 +119,7 @@ def mutate(df: DataFrame, seed: int = 42) -> DataFrame:
 
 def resync(df: DataFrame, device: str = "device_id", n: str = "n", seed: int = 42) -> DataFrame:
     """Telemetry whose counter goes on from where a gap has left it: numbers and times move by the sum of gaps before."""
-    gap = F.when(F.col("anomaly_type") == "missing_reading", Draws(seed).integer("gap", 2, 10)).otherwise(0)
+    gap = F.when(F.col("anomaly_type") == "missing_reading", Draws(seed).integer("gap", *GAP)).otherwise(0)
     w = Window.partitionBy(device).orderBy(n).rowsBetween(Window.unboundedPreceding, -1)
     shifted = df.withColumn("__moved", F.coalesce(F.sum(gap).over(w), F.lit(0)))
     return shifted.withColumns({"sequence_number": F.col("sequence_number") + F.col("__moved"), "timestamp_ms": F.col("timestamp_ms") + F.col("__moved") * INTERVAL_MS}).drop("__moved")
