@@ -1,8 +1,8 @@
 """Quality classifier: random Fourier features over document statistics, ridge by normal equations, isotonic scores.
 
 Statistics come from whole texts, never from ids, language or source. Each partition sums its share of the normal
-equations; a second level adds these sums up before a fixed number of small matrices reaches the driver, whatever
-the number of rows. All labelled training rows take part; none are sampled.
+equations; a tree of tasks, each with a few sums, adds these up until some small matrices are left for the driver,
+whatever the number of rows. All labelled training rows take part; none are sampled.
 """
 
 from __future__ import annotations
@@ -15,18 +15,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows
+from .common import chosen, cut, map_rows, place_of
 
 #: Random features, their seed, the kernel's width in standard deviations, and the ridge penalty for each row.
 FEATURES, SEED, WIDTH, RIDGE = 256, 7, 3.0, 1e-4
 #: Places where raw scores are counted before calibration.
 SCORE_BINS = 4096
 THRESHOLD = 0.3
-#: Rows of sums that reach the driver at most.
-SUM_TASKS = 8
+#: Sums that one task adds up, and that reach the driver at most.
+FAN_IN = 16
 
 _UPPER, _DIGIT = string.ascii_uppercase.encode(), string.digits.encode()
 _LETTER = string.ascii_letters.encode() + bytes(range(0x80, 0x100))
@@ -92,7 +93,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             made = [statistics(t.as_py() or "") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id bigint, x array<double>")
+    return chosen(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, x array<double>")
 
 
 def held_out(id_col: str = "doc_id"):
@@ -110,7 +111,7 @@ def fit(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     Repeated labels of a row each count. Without labels of both kinds every score is the share of 1 (0.5 without labels).
     """
     width = len(STATISTICS)
-    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("double").alias("y"))
+    known = chosen(labels, doc_id=id_col, y=label_col).where(F.col("y").isin(0, 1)).select(F.col("doc_id").cast("bigint"), F.col("y").cast("double"))
     train = cut(rows.join(known.where(~held_out()), "doc_id").select("x", "y"), "train")
     sums = train.agg(F.count(F.lit(1)), F.avg("y"), *[F.avg(F.col("x")[k]) for k in range(width)], *[F.stddev_pop(F.col("x")[k]) for k in range(width)]).first()
     n, share = sums[0], sums[1]
@@ -121,24 +122,34 @@ def fit(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     scale[scale < 1e-9] = 1.0
     size = FEATURES + width + 1
 
+    def sums(place: int, total: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([place], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["place", "sums"])
+
     def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, size + 1))
+        total = None
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
+                total = np.zeros((size, size + 1)) if total is None else total
                 part = batch.slice(at, 4096)
                 z = lift((_matrix(part.column(0), width) - mean) / scale)
                 y = part.column(1).to_numpy(zero_copy_only=False)
                 total += z.T @ np.column_stack([z, y])
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+        if total is not None:
+            yield sums(TaskContext.get().partitionId() // FAN_IN, total)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size, size + 1))
         for batch in batches:
-            for one in batch.column(0):
+            for one in batch.column(1):
                 total += np.frombuffer(one.as_buffer()).reshape(size, size + 1)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
-
-    parts = train.mapInArrow(equations, "sums binary").repartition(SUM_TASKS).mapInArrow(add, "sums binary").collect()
+        yield sums(TaskContext.get().partitionId() // FAN_IN, total)
+
+    shape = "place int, sums binary"
+    made, tasks = train.mapInArrow(equations, shape), train.rdd.getNumPartitions()
+    while tasks > FAN_IN:
+        tasks = -(-tasks // FAN_IN)
+        made = made.repartitionById(tasks, F.col("place")).mapInArrow(add, shape)
+    parts = made.collect()
     total = sum(np.frombuffer(r.sums).reshape(size, size + 1) for r in parts)
     penalty = np.full(size, RIDGE * n)
     penalty[-1] = 0.0
@@ -176,7 +187,11 @@ def isotonic(at: list[float], n: list[float], good: list[float]) -> tuple[np.nda
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of docs. Rows may repeat; null ids are scored and never teach."""
+    """doc_id, held_out, score, predicted for every row of docs, nulls, empty texts and repeated rows included.
+
+    A null or empty text has statistics of zero and gets the score that these have; rows with a null id are scored and
+    never teach; an empty table gives no rows, and one without labels a score of 0.5 throughout.
+    """
     rows = cut(document_statistics(docs, id_col, text_col), "statistics")
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, id_col, label_col))
 
@@ -190,11 +205,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """The rows whose score reaches the threshold, with their own columns; texts are not shuffled."""
+    """The rows whose score reaches the threshold, with their own columns, whatever these are called; texts are not shuffled.
+
+    Null and empty texts are scored like all others, rows that repeat share their fate, null ids never teach; an empty
+    table stays empty, and without labels every row stays (its score is 0.5).
+    """
     rows = document_statistics(docs, id_col, text_col)
     # Fitting joins statistics, a few numbers a row, with labels; texts are read again to be scored where they are.
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, labels, id_col, label_col))
-    place = docs.columns.index(text_col)
+    place = place_of(docs, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

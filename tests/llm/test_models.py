@@ -48,6 +48,28 @@ def test_held_out_rows_teach_nothing(spark):
     assert df.where(held_out()).count() == sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(120))
 
 
+def test_sums_in_a_tree_equal_a_direct_fit(spark, monkeypatch):
+    """Weights against a ridge fit of all training rows in one place, and calibration against pools found by trying all cuts."""
+    import eventloom.llm.quality as q
+
+    monkeypatch.setattr(q, "FAN_IN", 2)
+    r = np.random.default_rng(4)
+    x = r.normal(size=(600, len(STATISTICS)))
+    y = (x[:, 0] + x[:, 1] ** 2 + r.normal(size=600) > 1).astype(float)
+    rows = spark.createDataFrame([(i, a.tolist()) for i, a in enumerate(x)], "doc_id long, x array<double>").repartition(9)
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, quality int")
+    monkeypatch.setattr(q, "cut", lambda df, name: df.repartition(9).persist())
+    model = q.fit(rows, labels)
+    train = np.array([i for i in range(600) if zlib.crc32(str(i).encode()) % 5])
+    xs, ys = x[train], y[train]
+    z = q.lift((xs - xs.mean(axis=0)) / xs.std(axis=0))
+    penalty = np.full(z.shape[1], q.RIDGE * len(z))
+    penalty[-1] = 0.0
+    beta = np.linalg.solve(z.T @ z + np.diag(penalty + 1e-9 * len(z)), z.T @ ys)
+    assert np.allclose(model.beta, beta, atol=1e-6) and np.allclose(model.raw(x[:50]), q.lift((x[:50] - xs.mean(axis=0)) / xs.std(axis=0)) @ beta, atol=1e-6)
+    assert (np.diff(model.levels) >= 0).all() and (np.diff(model.score(x[np.argsort(model.raw(x))])) >= -1e-12).all()
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
