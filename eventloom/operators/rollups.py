@@ -17,11 +17,18 @@ def anomaly_rate(label: Column) -> Column:
     return F.avg(F.when(label == 1, 1.0).when(label == 0, 0.0))
 
 
-def summary_5min(df: DataFrame, ms: str = "timestamp_ms", kind: str = "sensor_type", loss: str = "data_loss_pct", latency: str = "latency_ms", label: str = "anomaly_label", width_ms: int = 300_000) -> DataFrame:
-    return df.groupBy(time_bucket(F.col(ms), width_ms).alias("bucket"), F.col(kind).alias("sensor_type")).agg(
-        F.count(F.lit(1)).alias("event_count"), F.avg(loss).alias("avg_data_loss"), F.avg(latency).alias("avg_latency"),
-        F.percentile(latency, F.lit(0.95)).alias("p95_latency"), anomaly_rate(F.col(label)).alias("anomaly_rate"),
-    )
+def summary_5min(df: DataFrame, ms: str = "timestamp_ms", kind: str = "sensor_type", loss: str = "data_loss_pct", latency: str = "latency_ms", label: str = "anomaly_label", width_ms: int = 300_000, wide: bool = False) -> DataFrame:
+    """One row for each bucket and sensor type. p95 is exact: from a buffer of the group's distinct values, or with wide (groups
+    of very many distinct values, as over whole days) from counts over ranges of them.
+    """
+    named = df.withColumns({"bucket": time_bucket(F.col(ms), width_ms), "sensor_type": F.col(kind)})
+    means = [F.count(F.lit(1)).alias("event_count"), F.avg(loss).alias("avg_data_loss"), F.avg(latency).alias("avg_latency")]
+    rate = anomaly_rate(F.col(label)).alias("anomaly_rate")
+    if not wide:
+        return named.groupBy("bucket", "sensor_type").agg(*means, F.percentile(latency, F.lit(0.95)).alias("p95_latency"), rate)
+    p95 = percentiles(named, ["bucket", "sensor_type"], latency, {"p95_latency": 0.95}).toDF("__bucket", "__type", "p95_latency")
+    joined = named.groupBy("bucket", "sensor_type").agg(*means, rate).join(p95, F.col("bucket").eqNullSafe(F.col("__bucket")) & F.col("sensor_type").eqNullSafe(F.col("__type")), "left")
+    return joined.select("bucket", "sensor_type", "event_count", "avg_data_loss", "avg_latency", "p95_latency", "anomaly_rate")
 
 
 def summary_5min_plain(df: DataFrame, ms: str, label: str, risk: str, width_ms: int = 300_000) -> DataFrame:

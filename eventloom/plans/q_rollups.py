@@ -51,6 +51,11 @@ def _(spark, sf):
     return rounded(r.summary_5min(v.scored(spark, sf), width_ms=HOUR), "avg_data_loss", "avg_latency", "p95_latency", "anomaly_rate")
 
 
+@query("summary_wide", f"WITH {SCORED} {SUMMARY.format(w=24 * HOUR)}")
+def _(spark, sf):
+    return rounded(r.summary_5min(v.scored(spark, sf), width_ms=24 * HOUR, wide=True), "avg_data_loss", "avg_latency", "p95_latency", "anomaly_rate")
+
+
 @query("continuous_percentile", f"WITH {E} SELECT event_type, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95 FROM e GROUP BY 1")
 def _(spark, sf):
     return events(spark, sf).groupBy("event_type").agg(F.percentile("value", F.lit(0.5)).alias("p50"), F.percentile("value", F.lit(0.95)).alias("p95"))
