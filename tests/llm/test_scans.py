@@ -164,12 +164,23 @@ def test_contamination_query(spark):
 def names(text):
     w = re.findall("[a-z0-9]+", (text or "").translate(LOW))
     sh = [" ".join(w[k : k + 5]) for k in range(len(w) - 4)]
-    out = set()
+    found = []
     for t in licenses.prepare():
         per = t.size - 4
-        if any(len(set(t.shingles) & set(sh[a : a + per])) >= 0.8 * len(t.shingles) for a in range(max(1, len(sh) - per + 1))):
-            out.add(t.name)
-    return ",".join(sorted(out))
+        for a in range(max(1, len(sh) - per + 1)):
+            shared = [k for k in range(a, min(len(sh), a + per)) if sh[k] in t.shingles]
+            if (held := len({sh[k] for k in shared}) / len(t.shingles)) >= 0.8:
+                found.append((shared[0], held, t.name))
+    best = {}
+    for start, held, _ in found:
+        best[start] = max(held, best.get(start, 0))
+    return ",".join(sorted({name for start, held, name in found if held == best[start]}))
+
+
+def test_versions_of_a_license(spark):
+    texts = ["This work is licensed under the GNU General Public License, version 2.", "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC-SA 4.0", "Distributed under the MIT License"]
+    got = {x.doc_id: x.licenses for x in licenses.licenses_report(licenses.scan_licenses(docs(spark, texts))).collect()}
+    assert got == {0: "GPL-2.0", 1: "GPL-3.0", 2: "CC-BY-NC-SA-4.0", 3: "MIT"}
 
 
 def test_licenses(spark):
