@@ -359,6 +359,14 @@ def _merge(group: pa.Table) -> pa.Table:
         owners = [ids[s][e] for _, holders in same for s, e in holders]
         if min(o[0] for o in owners) == max(o[1] for o in owners):
             return
+        if len(same) == 1:  # one suffix, so all strings through it have its holders
+            (element, holders), low = same[0], min(o[0] for o in owners)
+            last = 0 if element[:1] == WHOLE else len(element) - 2 - LENGTH
+            if last >= 0:
+                for s, e in holders:
+                    if low < ids[s][e][1]:
+                        marks[s].append((firsts[s] + e, 0, last, low))
+            return
         least: dict[bytes, int] = {}
         through = []
         for element, holders in same:
