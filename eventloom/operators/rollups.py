@@ -155,6 +155,23 @@ def roc_auc(df: DataFrame, score: str, truth: Column, *by: str) -> DataFrame:
     return won.groupBy(*by).agg(F.try_divide(F.sum("won"), F.sum("p") * F.sum("q")).alias("auc"))
 
 
+def evaluation(df: DataFrame, truth: Column, flagged: Column, score: str, by: str, pooled: str = "pooled") -> DataFrame:
+    """Area, rates and counts of each stream, and of all rows together under the name pooled."""
+    every = df.unionByName(df.withColumn(by, F.lit(pooled)))
+    counts = every.groupBy(by).agg(F.count(F.lit(1)).alias("n_test"), F.count_if(truth).alias("n_anomalies"))
+    return roc_auc(every, score, truth, by).join(confusion(every, truth, flagged, by), by).join(counts, by)
+
+
+def variants(df: DataFrame, truth: Column, detectors: dict[str, str], rule: Column, line: float = 0.99) -> DataFrame:
+    """variant, fpr, recall, precision of each detector (name: its risk) with and without rules, and of both: either alarms at the line, or at half the budget."""
+    risks = [F.col(c) for c in detectors.values()]
+    either, half = F.greatest(*risks), 1.0 - (1.0 - line) / 2
+    hits = {name: (F.col(c) >= line) | rule for name, c in detectors.items()} | {f"{name}_no_rules": F.col(c) >= line for name, c in detectors.items()}
+    hits |= {"either": (either >= line) | rule, "either_half_budget": (either >= half) | rule}
+    long = df.select(truth.alias("truth"), F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), h.alias("hit")) for n, h in hits.items()])).alias("v")).select("truth", "v.*")
+    return confusion(long, F.col("truth"), F.col("hit"), "variant")
+
+
 def alarm_sources(df: DataFrame, reason: str, truth: Column) -> DataFrame:
     parts = df.where(F.col(reason) != "").select(truth.alias("truth"), F.explode(F.split(reason, r"\+")).alias("part"))
     return parts.groupBy(F.split_part("part", F.lit(":"), F.lit(1)).alias("source")).agg(F.count_if("truth").alias("true_alarms"), F.count_if(~F.col("truth")).alias("false_alarms"))

@@ -86,3 +86,38 @@ def report(alerts: DataFrame, fused: DataFrame, **filters) -> dict[str, DataFram
 def snapshot_key(df: DataFrame, *filters: str) -> DataFrame:
     """Key and expiry of a cached report: SHA-256 of its filters, a day from created_ms."""
     return df.withColumns({"filter_hash": filter_hash(*[F.col(c) for c in filters]), "expires_at_ms": F.col("created_ms") + SNAPSHOT_HOURS * 3_600_000})
+
+
+def snapshot_lookup(snapshots: DataFrame, asked: DataFrame, now_ms: int, *filters: str) -> DataFrame:
+    """For each request (its filters) the newest snapshot of the same filters that has not run out, or null: made anew then."""
+    live = snapshots.where(F.col("expires_at_ms") > now_ms).groupBy("filter_hash").agg(F.max_by("snapshot_id", F.struct("expires_at_ms", "snapshot_id")).alias("snapshot_id"))
+    return asked.withColumn("filter_hash", filter_hash(*[F.col(c) for c in filters])).join(live, "filter_hash", "left")
+
+
+def socket_events(df: DataFrame) -> DataFrame:
+    """Texts of the live table of events; a label or a risk that is null is left out."""
+    return stream_json(df, ["event_id", "timestamp_ms", "source_type", "anomaly_label", "risk_score", "quality_flag", "latency_ms", "data_loss_pct"])
+
+
+def socket_fusion(status: DataFrame) -> DataFrame:
+    """Texts of heartbeats in the contract's names."""
+    named = F.coalesce(*[F.when(F.col("status") == k, v) for k, v in ONLINE.items()], F.col("status")).alias("status")
+    return stream_json(status.select("source_type", "quality_score", "contribution_weight", F.col("data_loss").alias("data_loss_pct"), F.col("latency").alias("latency_ms"), named), ["source_type", "quality_score", "contribution_weight", "data_loss_pct", "latency_ms", "status"])
+
+
+def upstream_health(events: DataFrame, fused: DataFrame, now_ms: int, stale_ms: int = 60_000) -> DataFrame:
+    """One row: what the tables say of each module. Events are the topic's, so their delay stands for its lag; nothing scored yet is warming."""
+    rows = events.agg(F.max("timestamp_ms").alias("newest"), F.count_if(F.col("timestamp_ms") > now_ms - stale_ms).alias("recent"))
+    scores = fused.agg(F.max("timestamp_ms").alias("fused_newest"), F.count(F.lit(1)).alias("n"), F.count("anomaly_label").alias("scored"))
+    fresh = lambda c: F.when(F.col(c) > now_ms - stale_ms, "ok").otherwise("error")
+    return rows.crossJoin(F.broadcast(scores)).select(  # two single rows
+        F.lit("ok").alias("db"), fresh("newest").alias("kafka"), F.greatest(now_ms - F.col("newest"), F.lit(0)).alias("kafka_lag_ms"), fresh("fused_newest").alias("spark"), (F.col("recent") * 1000 / stale_ms).alias("spark_throughput_evt_sec"),
+        F.when(F.col("n") == 0, "error").when(F.col("scored") == 0, "warming").otherwise("ok").alias("ai_model"),
+    )
+
+
+def health(upstream: DataFrame) -> DataFrame:
+    """healthy if every module is ok, down without the database, degraded else."""
+    ok = lambda c: F.col(c) == "ok"
+    status = F.when(~ok("db"), "down").when(ok("kafka") & ok("spark") & ok("ai_model"), "healthy").otherwise("degraded")
+    return upstream.select(status.alias("status"), "db", "kafka", "spark", "ai_model")
