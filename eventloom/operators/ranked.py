@@ -21,24 +21,58 @@ def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return ok
 
 
-def running_sum(df: DataFrame, by: list[str], order: str, values: dict[str, str], ranges: int = RANGES) -> DataFrame:
-    """Adds, for each (name, column) of values, the sum of the column over the group's rows up to and with each row.
-
-    order is a number that is unique inside a group; null comes first, NaN last. Null values add nothing.
-    """
+def in_ranges(df: DataFrame, by: list[str], order: str, ranges: int = RANGES) -> DataFrame:
+    """Adds __range: the place of each row's range among those of its group; null comes first, NaN last."""
     parts = [k / ranges for k in range(1, ranges)]
     cuts = df.groupBy(*by).agg(F.percentile_approx(F.col(order).cast("double"), parts, 1000).alias("__cuts")).select(*[F.col(n).alias(f"__{n}") for n in by], "__cuts")
     placed = df.join(cuts, _same(df, cuts, by), "left") if by else df.crossJoin(F.broadcast(cuts))
     at = F.aggregate(F.coalesce("__cuts", F.array().cast("array<double>")), F.lit(0), lambda n, c: n + F.when(F.col(order).cast("double") > c, 1).otherwise(0))
-    placed = placed.withColumn("__range", F.when(F.col(order).isNull(), -1).otherwise(at)).drop("__cuts", *[f"__{n}" for n in by])
-    inside = Window.partitionBy(*by, "__range").orderBy(F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = placed.withColumns({f"__in_{name}": F.sum(c).over(inside) for name, c in values.items()})
-    totals = placed.groupBy(*by, "__range").agg(*[F.sum(c).alias(name) for name, c in values.items()])
+    return placed.withColumn("__range", F.when(F.col(order).isNull(), -1).otherwise(at)).drop("__cuts", *[f"__{n}" for n in by])
+
+
+def _running(df: DataFrame, by: list[str], order: str, values: dict[str, str], fold, both, last: int, ranges: int) -> DataFrame:
+    """fold over each range up to the last-th row from each one, and over the ranges before; both puts the two together."""
+    placed = in_ranges(df, by, order, ranges)
+    inside = Window.partitionBy(*by, "__range").orderBy(F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, last)
+    folded = placed.withColumns({f"__in_{name}": fold(c).over(inside) for name, c in values.items()})
+    totals = placed.groupBy(*by, "__range").agg(*[fold(c).alias(name) for name, c in values.items()])
     # A row for each range of each group.
     before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*[F.col(n).alias(f"__{n}") for n in (*by, "__range")], *[F.coalesce(F.sum(name).over(before), F.lit(0)).alias(f"__off_{name}") for name in values])
-    joined = summed.join(offsets, _same(summed, offsets, [*by, "__range"]), "left")
-    return joined.select(*df.columns, *[(F.coalesce(f"__in_{name}", F.lit(0)) + F.coalesce(f"__off_{name}", F.lit(0))).alias(name) for name in values])
+    offsets = totals.select(*[F.col(n).alias(f"__{n}") for n in (*by, "__range")], *[fold(name).over(before).alias(f"__off_{name}") for name in values])
+    joined = folded.join(offsets, _same(folded, offsets, [*by, "__range"]), "left")
+    return joined.select(*df.columns, *[both(F.col(f"__in_{name}"), F.col(f"__off_{name}")).alias(name) for name in values])
+
+
+def running_sum(df: DataFrame, by: list[str], order: str, values: dict[str, str], ranges: int = RANGES) -> DataFrame:
+    """Adds, for each (name, column) of values, the sum of the column over the group's rows up to and with each row.
+
+    order is a number; rows that share one take an order of their own. Null comes first, NaN last; null values add nothing.
+    """
+    return _running(df, by, order, values, F.sum, lambda x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)), Window.currentRow, ranges)
+
+
+def running_max_before(df: DataFrame, by: list[str], order: str, values: dict[str, str], ranges: int = RANGES) -> DataFrame:
+    """The same with the largest value of the rows before each row; null where there is none."""
+    return _running(df, by, order, values, F.max, F.greatest, -1, ranges)
+
+
+def _ranked_counts(df: DataFrame, by: list[str], value: str, ranges: int) -> DataFrame:
+    """by, __v (distinct values), __upto (rows up to and with it), __total (rows of the group)."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    upto = running_sum(counts, by, "__v", {"__upto": "__n"}, ranges)
+    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__total")).select(*[F.col(n).alias(f"__{n}") for n in by], "__total")
+    return upto.join(sizes, _same(upto, sizes, by)) if by else upto.crossJoin(F.broadcast(sizes))
+
+
+def _at(rank: Column) -> Column:
+    """The value at a rank (from 0): the least one up to which more rows than that lie."""
+    return F.min(F.when(F.col("__upto") > rank, F.col("__v")))
+
+
+def nearest_ranks(df: DataFrame, by: list[str], value: str, ps: dict[str, float], ranges: int = RANGES) -> DataFrame:
+    """by, and for each (name, p) the value (double) at rank round-half-even(p * (n - 1)); nulls don't count, groups may be of any size."""
+    ranked = _ranked_counts(df, by, value, ranges)
+    return ranked.groupBy(*by).agg(*[_at(F.bround(F.lit(p) * (F.col("__total") - 1))).alias(name) for name, p in ps.items()])
 
 
 def percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float], ranges: int = RANGES) -> DataFrame:
@@ -47,17 +81,10 @@ def percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float],
     Rows meet their group only as counts with map-side combining, so a group may be of any size. Groups without a value
     have no row.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    upto = running_sum(counts, by, "__v", {"__upto": "__n"}, ranges)
-    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__total")).select(*[F.col(n).alias(f"__{n}") for n in by], "__total")
-    ranked = upto.join(sizes, _same(upto, sizes, by)) if by else upto.crossJoin(F.broadcast(sizes))
-    picked = []
+    ranked, picked = _ranked_counts(df, by, value, ranges), []
     for name, p in ps.items():
         place = F.lit(p) * (F.col("__total") - 1)
-        for part, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            # The value at a rank is the least one up to which more rows than that lie.
-            picked.append(F.min(F.when(F.col("__upto") > rank, F.col("__v"))).alias(f"__{part}_{name}"))
-        picked.append(F.max(place - F.floor(place)).alias(f"__share_{name}"))
+        picked += [_at(F.floor(place)).alias(f"__lo_{name}"), _at(F.ceil(place)).alias(f"__hi_{name}"), F.max(place - F.floor(place)).alias(f"__share_{name}")]
     found = ranked.groupBy(*by).agg(*picked)
     between = lambda n: (F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__share_{n}")).alias(n)
     return found.select(*by, *[between(n) for n in ps])

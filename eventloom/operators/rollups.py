@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranked import percentiles, running_sum
+from .ranked import nearest_ranks, percentiles, running_sum
 
 from eventloom.functions.scalars import nearest_rank, time_bucket
 
@@ -92,10 +92,9 @@ def alignment_summary(df: DataFrame, dt: str, window_ms: int) -> DataFrame:
 
 
 def nearest_rank_percentiles(df: DataFrame, value: str, by: str, ps: tuple[float, ...] = (0.5, 0.9, 0.95, 0.99)) -> DataFrame:
-    """Exact nearest-rank percentiles of groups, by row numbers: groups are sorted, not gathered into a list."""
-    group = Window.partitionBy(by)
-    ranked = df.where(F.col(value).isNotNull()).select(by, value, (F.row_number().over(group.orderBy(value)) - 1).alias("r"), F.count(F.lit(1)).over(group).alias("n"))
-    return ranked.groupBy(by).agg(*[F.max(F.when(F.col("r") == F.bround(F.lit(p) * (F.col("n") - 1)), F.col(value))).alias(f"p{round(p * 100)}") for p in ps])
+    """Exact nearest-rank percentiles of groups of any size."""
+    found = nearest_ranks(df, [by], value, {f"p{round(p * 100)}": p for p in ps})
+    return found.select(by, *[F.col(f"p{round(p * 100)}").cast(df.schema[value].dataType).alias(f"p{round(p * 100)}") for p in ps])
 
 
 def small_nearest_rank(df: DataFrame, value: str, by: str, p: float) -> DataFrame:

@@ -248,10 +248,9 @@ def _(spark, sf):
     return pooled(parts)
 
 
-@query("stratified_split", f"WITH {E} SELECT event_type, CAST(round(count(*) * 0.2) AS BIGINT) AS n_test, count(*) AS n FROM e GROUP BY 1")
+@query("stratified_split", f"WITH {E}, r AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY CAST('0x' || substr(md5('42:' || event_id), 1, 15) AS BIGINT), event_id) AS k, count(*) OVER (PARTITION BY event_type) AS n FROM e) SELECT event_id, event_type, k <= round(n * 0.2) AS is_test FROM r")
 def _(spark, sf):
-    split = stratified_split(events(spark, sf), "event_id", F.col("event_type"))
-    return split.groupBy("event_type").agg(F.count_if("is_test").alias("n_test"), F.count(F.lit(1)).alias("n"))
+    return stratified_split(events(spark, sf), "event_id", F.col("event_type")).select("event_id", "event_type", "is_test")
 
 
 @query("time_buckets", f"WITH {E} SELECT event_id, ms // 300000 * 300000 AS bucket, ms // 86400000 * 86400000 AS day FROM e")
