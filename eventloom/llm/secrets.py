@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import chosen, cut, running_sums, text_or_empty
 
 # Fixed patterns of the contract.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -78,40 +78,38 @@ LENGTH_CLASSES = (24, 32, 40, 64, 1 << 30)
 BINS_PER_DECADE, MOST_DECADES = 20, 50
 
 
-def running_sums(lengths: Column) -> Column:
-    """Sums of an array of ints up to each place, by blocks of about the root of its size: n^1.5 steps instead of n^2."""
-    none = F.array().cast("array<int>")
-    grow = lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x)).alias("out"))
-    summed = lambda a: F.aggregate(a, F.struct(F.lit(0).alias("at"), none.alias("out")), grow, lambda acc: acc["out"])
-    wide = F.ceil(F.sqrt(F.size(lengths))).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), wide - 1), lambda k: summed(F.slice(lengths, k * wide + 1, wide)))
-    ends = summed(F.transform(blocks, lambda s: F.coalesce(F.get(s, F.size(s) - 1), F.lit(0))))
-    return F.flatten(F.zip_with(blocks, F.concat(F.array(F.lit(0)), ends), lambda s, before: F.transform(F.coalesce(s, none), lambda x: x + before)))
+#: Array of a pattern's matches: start in code points from 0, and text.
+MATCHES = "array<struct<start:int,text:string>>"
 
 
-def matches_at(text: Column, pattern: str) -> Column:
-    """array<struct<start:int, text:string>> of all leftmost non-overlapping matches, start in code points from 0."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    ends = running_sums(F.zip_with(gaps, found, lambda g, hit: F.length(g) + F.length(hit)))
-    placed = F.zip_with(ends, found, lambda end, hit: F.struct((end - F.length(hit)).alias("start"), hit.alias("text")))
-    return F.when(F.size(found) > 0, placed).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
+def with_matches(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+    """Adds, under each name, all leftmost non-overlapping matches of its pattern in the column text.
 
+    Step by step, each on columns that the one before has made, so that no pattern is evaluated again inside a loop: a text
+    without matches is searched once for each pattern, one with matches is also split by it.
+    """
+    found, steps, ends = (lambda k: F.col(f"__found_{k}")), (lambda k: F.col(f"__steps_{k}")), (lambda k: F.col(f"__ends_{k}"))
+    some = lambda k, x: F.when(F.size(found(k)) > 0, x)
+    out = df.withColumns({f"__found_{k}": F.regexp_extract_all(text, F.lit(p), F.lit(0)) for k, p in patterns.items()})
+    out = out.withColumns({f"__steps_{k}": some(k, F.zip_with(F.slice(F.split(text, p, -1), 1, F.size(found(k))), found(k), lambda g, hit: F.length(g) + F.length(hit))) for k, p in patterns.items()})
+    out = out.withColumns({f"__ends_{k}": some(k, running_sums(steps(k))) for k in patterns})
+    placed = lambda k: F.zip_with(ends(k), found(k), lambda end, hit: F.struct((end - F.length(hit)).alias("start"), hit.alias("text")))
+    return out.select(*df.columns, *[F.coalesce(some(k, placed(k)), F.array().cast(MATCHES)).alias(k) for k in patterns])
+
+
+#: The longest runs of the last two kinds are their matches, so a least length in the pattern drops the same ones.
+PATTERNS = {"assign": ASSIGN, "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 
-def base_spans(text: Column) -> Column:
-    """array<struct<start, kind (place in KINDS), end>> of the three fixed kinds."""
 
-    def spans(kind: str, found: Column, length) -> Column:
-        kept = F.filter(found, lambda m: length(m["text"]) >= LEAST[kind])
+def base_spans() -> Column:
+    """array<struct<start, kind (place in KINDS), end>> of the three fixed kinds, from columns of their matches."""
+
+    def spans(kind: str, length) -> Column:
+        kept = F.filter(kind, lambda m: length(m["text"]) >= LEAST[kind])
         return F.transform(kept, lambda m: F.struct(m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (m["start"] + F.length(m["text"])).alias("end")))
 
     value = lambda t: F.length(F.regexp_extract(t, "^" + ASSIGN + "$", 2))
-    # The longest runs of these two kinds are their matches, so a least length in the pattern drops the same ones.
-    return F.concat(
-        spans("assign", matches_at(text, ASSIGN), value),
-        spans("access", matches_at(text, r"AKIA[A-Z0-9]{14,}"), F.length),
-        spans("hex", matches_at(text, r"[0-9a-f]{16,}"), F.length),
-    )
+    return F.concat(spans("assign", value), spans("access", F.length), spans("hex", F.length))
 
 
 def infer_encoding(token: Column) -> Column:
@@ -192,14 +190,14 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     kind is the place in KINDS; code points from 0, end exclusive. Null text counts as empty, rows may repeat and ids
     may be null; each row is judged by itself, but for the threshold of random strings, which all texts share.
-    Where the method finds a string that a fixed pattern covers at the same place, only the fixed span is given.
+    An empty table gives no rows. Where the method finds a string that a fixed pattern covers at the same place, only the fixed span is given.
     """
-    text = text_or_empty(text_col)
     wide = "array<struct<start:int,kind:int,end:int>>"
-    rows = docs.select(F.monotonically_increasing_id().alias("row_no"), F.col(id_col).alias("doc_id"), text.alias("text"))
+    rows = chosen(docs, doc_id=id_col, text=text_col).select(F.monotonically_increasing_id().alias("row_no"), "doc_id", text_or_empty("text").alias("text"))
     # The encoding is stored with its candidate: the battery's loops over symbols would infer it again at each.
-    tokens = F.transform(matches_at(F.col("text"), CANDIDATE), lambda m: F.struct(m["start"].alias("start"), m["text"].alias("text"), infer_encoding(m["text"]).alias("encoding")))
-    scanned = cut(rows.select("row_no", "doc_id", base_spans(F.col("text")).cast(wide).alias("base"), tokens.alias("tokens")), "spans")
+    tokens = F.transform("candidates", lambda m: F.struct(m["start"].alias("start"), m["text"].alias("text"), infer_encoding(m["text"]).alias("encoding")))
+    matched = with_matches(rows, "text", PATTERNS | {"candidates": CANDIDATE})
+    scanned = cut(matched.select("row_no", "doc_id", base_spans().cast(wide).alias("base"), tokens.alias("tokens")), "spans")
     single = scanned.where(F.size("tokens") > 0).select("row_no", F.explode("tokens").alias("t")).select(
         "row_no", F.col("t.start").alias("start"), F.col("t.text").alias("token"), F.col("t.encoding").alias("encoding")
     )
