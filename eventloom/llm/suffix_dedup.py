@@ -14,7 +14,9 @@ ones whose K-gram occurs in more than one document.
 3. A bucket merges its runs with a loser tree that carries common-prefix lengths: of two candidates the one that
    shares more with the last winner is smaller, and only if they share as much are bytes compared, from there on.
    Suffixes of one K-gram come out side by side; each of the strings through the anchor gets the least document id.
-4. The answers go back to the runs, which mark bytes and cut them out.
+   Beyond MOST_RANGES ranges, merging has two levels: pieces that runs send would hold a suffix or two if they were cut
+   finer, so groups of runs are first merged within each range, and their joint runs are cut.
+4. The answers go back to the runs (by way of joint runs, if there are any), which mark bytes and cut them out.
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ MOST_BUCKETS = 20_000
 #: Runs that have a K-gram from which on whole strings through it are sorted.
 HOT_RUNS = 4096
 #: Most ranges, suffixes sampled for their bounds, and bytes of a bound; bounds decide balance, never results.
-#: Beyond MOST_RANGES each range has several buckets, by a hash of K-grams.
+#: Beyond MOST_RANGES each range has several buckets, by a hash of K-grams, and as many groups of runs.
 MOST_RANGES, HEADS, HEAD = 4096, 200_000, 16
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -214,6 +216,11 @@ SORTED = pa.schema([
     ("run", pa.int64()), ("bucket", pa.int64()), ("first", pa.int64()), ("prefixes", pa.binary()), ("lengths", pa.binary()), ("tails", pa.binary()), ("ids", pa.binary()),
     ("row_no", pa.int64()), ("holders", pa.binary()),
 ])
+#: run is a joint run here; entries has the number in it of each entry that origin sent to its range, from first on.
+COMBINED = pa.schema([
+    ("run", pa.int64()), ("bucket", pa.int64()), ("first", pa.int64()), ("prefixes", pa.binary()), ("lengths", pa.binary()), ("tails", pa.binary()), ("ids", pa.binary()),
+    ("origin", pa.int64()), ("entries", pa.binary()),
+])
 MARKED = pa.schema([("run", pa.int64()), ("marks", pa.binary())])
 MARK = np.dtype([("entry", "<u4"), ("from", "<i2"), ("to", "<i2"), ("least", "<i8")])
 HOLDER = np.dtype([("entry", "<u4"), ("place", "<u4")])
@@ -294,19 +301,73 @@ def _among(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return known[at] == hashes
 
 
-def _in_buckets(order: list[bytes], bounds: np.ndarray, parts: int) -> tuple[list[bytes], np.ndarray]:
-    """Sorted elements in the order of their buckets, in each of which they are sorted; what is settled together shares a bucket."""
-    buckets = np.searchsorted(bounds, np.array([e[:HEAD] for e in order], f"S{HEAD}"), side="right") * parts
-    if parts > 1:
-        buckets += np.array([zlib.crc32(e[: TOGETHER[e[:1]]]) % parts for e in order], np.int64)
+def _pieces(order: list[bytes], buckets: np.ndarray, ids: list) -> Iterator[dict]:
+    """Front-coded pieces of elements that lie in the order of their buckets and are sorted in each."""
+    edges = np.flatnonzero(np.diff(buckets, prepend=-1, append=-1)).tolist()
+    for i, j in zip(edges[:-1], edges[1:], strict=True):
+        prefixes, lengths, tails = front_code(order[i:j])
+        yield {"bucket": int(buckets[i]), "first": i, "prefixes": prefixes, "lengths": lengths, "tails": tails, "ids": pack(np.array(ids[i:j], "<i8").reshape(-1).view(IDS))}
+
+
+def _streams(group: pa.Table) -> list[Iterator[tuple[bytes, int]]]:
+    return [front_decode(*(group.column(c)[k].as_py() for c in ("prefixes", "lengths", "tails"))) for k in range(group.num_rows)]
+
+
+def _combine(parts: int):
+    """Merges a group of runs within a range into one joint run, and cuts it into the range's buckets."""
+
+    def work(group: pa.Table) -> pa.Table:
+        joint, range_ = group.column("joint")[0].as_py(), group.column("bucket")[0].as_py()
+        ids = [unpack(i.as_py(), IDS).tolist() for i in group.column("ids")]
+        order: list[bytes] = []
+        owners: list[list] = []
+        places: list[list[int]] = [[] for _ in ids]
+        for element, known, s in LoserTree(_streams(group)):
+            low, high = ids[s][len(places[s])]
+            if order and known == len(element) == len(order[-1]):
+                owners[-1] = [min(owners[-1][0], low), max(owners[-1][1], high)]
+            else:
+                order.append(element)
+                owners.append([low, high])
+            places[s].append(len(order) - 1)
+        buckets = range_ * parts + np.array([zlib.crc32(e[: TOGETHER[e[:1]]]) % parts for e in order], np.int64)
         by_bucket = np.argsort(buckets, kind="stable")
-        order, buckets = [order[k] for k in by_bucket.tolist()], buckets[by_bucket]
-    return order, buckets
+        number = np.empty(len(order), "<u4")
+        number[by_bucket] = np.arange(len(order))
+        rows = [{"run": joint, **piece} for piece in _pieces([order[k] for k in by_bucket.tolist()], buckets[by_bucket], [owners[k] for k in by_bucket.tolist()])]
+        rows += [{"run": joint, "origin": run.as_py(), "first": first.as_py(), "entries": pack(number[mine])} for run, first, mine in zip(group.column("run"), group.column("first"), places, strict=True)]
+        return pa.Table.from_pylist(rows, schema=COMBINED)
+
+    return work
+
+
+def _marks_of(column) -> np.ndarray:
+    marks = np.concatenate([np.empty(0, MARK), *(unpack(m.as_py(), MARK) for m in column if m.is_valid)])
+    return marks[np.argsort(marks["entry"], kind="stable")]
+
+
+def _matches(marks: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (mark, entry) by place, for every mark of every entry."""
+    low, high = np.searchsorted(marks["entry"], entries, "left"), np.searchsorted(marks["entry"], entries, "right")
+    times = high - low
+    return np.repeat(low - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum()), np.repeat(np.arange(len(entries)), times)
+
+
+def _spread(maps: pa.Table, found: pa.Table) -> pa.Table:
+    """Marks of a joint run as marks of the runs that it is made of."""
+    marks, out = _marks_of(found.column("marks")), []
+    for origin, first, entries in zip(maps.column("origin"), maps.column("first"), maps.column("entries"), strict=True) if len(marks) else ():
+        which, place = _matches(marks, unpack(entries.as_py(), np.dtype("<u4")))
+        if len(which):
+            own = marks[which]
+            own["entry"] = first.as_py() + place
+            out.append((origin.as_py(), pack(own)))
+    return pa.table({"run": pa.array([r for r, _ in out], pa.int64()), "marks": pa.array([m for _, m in out], pa.binary())})
 
 
 def _sort_run(sent):
     def work(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        wanted, often, (bounds, parts) = _joined(answers.column("hashes")), _joined(answers.column("hot")), sent.value
+        wanted, often, bounds = _joined(answers.column("hashes")), _joined(answers.column("hot")), sent.value
         rows: list[dict] = []
         entry: dict[bytes, list] = {}
         held: dict[int, list] = {}
@@ -331,15 +392,13 @@ def _sort_run(sent):
                         elif own > known[1]:
                             known[1] = own
                         mine.append((element, low))
-        order, buckets = _in_buckets(sorted(entry), bounds, parts)
+        order = sorted(entry)
         number_of = {e: i for i, e in enumerate(order)}
         for row_no, mine in held.items():
             rows.append({"run": run, "row_no": row_no, "holders": pack(np.array([(number_of[e], low) for e, low in mine], HOLDER))})
-        edges = np.flatnonzero(np.diff(buckets, prepend=-1, append=-1)).tolist()
-        for i, j in zip(edges[:-1], edges[1:], strict=True):
-            prefixes, lengths, tails = front_code(order[i:j])
-            ids = pack(np.array([entry[e] for e in order[i:j]], "<i8").reshape(-1).view(IDS))
-            rows.append({"run": run, "bucket": int(buckets[i]), "first": i, "prefixes": prefixes, "lengths": lengths, "tails": tails, "ids": ids})
+        # A bound is as long as the first bytes of an element, which are within its K-gram: what is settled together shares a range.
+        ranges = np.searchsorted(bounds, np.array([e[:HEAD] for e in order], f"S{HEAD}"), side="right")
+        rows.extend({"run": run, **piece} for piece in _pieces(order, ranges, [entry[e] for e in order]))
         return pa.Table.from_pylist(rows, schema=SORTED)
 
     return work
@@ -350,7 +409,6 @@ def _merge(group: pa.Table) -> pa.Table:
     runs = [r.as_py() for r in group.column("run")]
     firsts = [f.as_py() for f in group.column("first")]
     ids = [unpack(i.as_py(), IDS).tolist() for i in group.column("ids")]
-    streams = [front_decode(*(group.column(c)[k].as_py() for c in ("prefixes", "lengths", "tails"))) for k in range(len(runs))]
     place = [0] * len(runs)
     marks: list[list[tuple]] = [[] for _ in runs]
 
@@ -387,7 +445,7 @@ def _merge(group: pa.Table) -> pa.Table:
                 marks[s].extend((firsts[s] + e, i, j, low) for i, j, low in spans if low < most)
 
     same: list[tuple[bytes, list[tuple[int, int]]]] = []
-    for element, known, s in LoserTree(streams):
+    for element, known, s in LoserTree(_streams(group)):
         if same and known < TOGETHER[element[:1]]:
             settle(same)
             same = []
@@ -404,9 +462,8 @@ def _merge(group: pa.Table) -> pa.Table:
 
 def _cut_run(with_text: bool):
     def work(docs: pa.Table, found: pa.Table) -> pa.Table:
-        marks = np.concatenate([np.empty(0, MARK), *(unpack(m.as_py(), MARK) for m in found.column("marks") if m.is_valid)])
+        marks = _marks_of(found.column("marks"))
         held = {r.as_py(): h for r, h in zip(found.column("row_no"), found.column("holders"), strict=True) if h.is_valid}
-        marks = marks[np.argsort(marks["entry"], kind="stable")]
         out = {f.name: [] for f in CUT}
         for doc in docs.to_batches():
             for row_no, doc_id, text in zip(*(doc.column(doc.schema.get_field_index(c)) for c in ("row_no", "doc_id", "text")), strict=True):
@@ -415,10 +472,8 @@ def _cut_run(with_text: bool):
                 if holders is not None and len(marks):
                     own = NO_ID if not doc_id.is_valid else doc_id.as_py()
                     mine = unpack(holders.as_py(), HOLDER)
-                    low, high = np.searchsorted(marks["entry"], mine["entry"], "left"), np.searchsorted(marks["entry"], mine["entry"], "right")
-                    times = high - low
-                    which = np.repeat(low - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
-                    place = np.repeat(mine["place"].astype(np.int64), times)
+                    which, at = _matches(marks, mine["entry"])
+                    place = mine["place"].astype(np.int64)[at]
                     hit = marks["least"][which] < own
                     if hit.any():
                         which, place = which[hit], place[hit]
@@ -453,10 +508,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hashed = rows.select("run", "text").mapInArrow(_hash_runs(hash_buckets), _ddl(HASHED))
     answers = hashed.groupBy("bucket").applyInArrow(_answer, _ddl(ANSWERED))
     buckets = max(1, -(-size // TEXT_PER_RANGE))
-    bounds = docs.sparkSession.sparkContext.broadcast((_range_bounds(rows, min(buckets, MOST_RANGES), size), -(-buckets // MOST_RANGES)))
+    parts = -(-buckets // MOST_RANGES)
+    bounds = docs.sparkSession.sparkContext.broadcast(_range_bounds(rows, min(buckets, MOST_RANGES), size))
     made = cut(rows.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(_sort_run(bounds), _ddl(SORTED)), "suffixes")
     pieces = made.where("bucket IS NOT NULL").select("run", "bucket", "first", "prefixes", "lengths", "tails", "ids")
-    marks = pieces.groupBy("bucket").applyInArrow(_merge, _ddl(MARKED))
+    if parts > 1:
+        grouped = pieces.withColumn("joint", F.col("bucket") * parts + F.pmod(F.xxhash64("run"), F.lit(parts)))
+        joint = cut(grouped.groupBy("joint").applyInArrow(_combine(parts), _ddl(COMBINED)), "joint")
+        marks = joint.where("prefixes IS NOT NULL").select("run", "bucket", "first", "prefixes", "lengths", "tails", "ids").groupBy("bucket").applyInArrow(_merge, _ddl(MARKED))
+        maps = joint.where("entries IS NOT NULL").select("run", "origin", "first", "entries")
+        marks = maps.groupBy("run").cogroup(marks.groupBy("run")).applyInArrow(_spread, _ddl(MARKED))
+    else:
+        marks = pieces.groupBy("bucket").applyInArrow(_merge, _ddl(MARKED))
     held = made.where("holders IS NOT NULL").select("run", "row_no", "holders", F.lit(None).cast("binary").alias("marks"))
     found = held.unionByName(marks.select("run", F.lit(None).cast("bigint").alias("row_no"), F.lit(None).cast("binary").alias("holders"), "marks"))
     return rows.groupBy("run").cogroup(found.groupBy("run")).applyInArrow(_cut_run(with_text), _ddl(CUT))
