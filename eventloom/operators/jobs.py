@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from eventloom.sources.files import numbered_lines
 from eventloom.storage import discard, fresh_path, path_exists, stored
 
 from .detectors import StreamModel, apply_scores, score_batch
-from .records import is_json, typed
+from .records import examples, field_counts, findings, is_json, quality_report, typed
 from .rollups import summary_5min
 from .sinks import append_ignore, with_audit
 from .validation import staging_physics, staging_sensor
@@ -34,6 +35,14 @@ def ingest_ndjson(spark: SparkSession, path: str, target: str, schema: StructTyp
     return {**{k: seen.get[k] for k in ("malformed", "rejected", "valid")}, "inserted": rows() - before}
 
 
+def quality_of_files(spark: SparkSession, path: str, schema: StructType, sensor: bool = True, most: int = 20) -> dict[str, DataFrame]:
+    """The report on lines of JSON under path: totals, counts by field, and the first examples with file and line."""
+    lines = numbered_lines(spark, path)
+    found = stored(findings(lines, "value", schema, sensor).drop("value"), "findings")
+    place = F.struct("file", "line")
+    return {"report": quality_report(found), "fields": field_counts(found), "examples": examples(found.withColumn("place", place), "place", most).select("line.file", "line.line", "check", "message")}
+
+
 def refresh_rollups(fused: DataFrame, path: str) -> DataFrame:
     """Computes the whole 5-minute rollup anew, puts it in place of the one at path, and returns it."""
     spark = fused.sparkSession

@@ -414,8 +414,11 @@ def decode_payload(df: DataFrame, payload: str, schema: str | dict, tolerant: bo
     return chosen.mapInArrow(run, plain).toDF(*[f.name for f in others], *names)
 
 
-def encode_payload(df: DataFrame, schema: str | dict, keep: tuple[str, ...] = (), name: str = "value") -> DataFrame:
-    """Columns keep and the record of the schema's fields, by name, as a binary column."""
+def encode_payload(df: DataFrame, schema: str | dict, keep: tuple[str, ...] = (), name: str = "value", tolerant: bool = False) -> DataFrame:
+    """Columns keep and the record of the schema's fields, by name, as a binary column.
+
+    A record that doesn't fit its schema ends the job, or has a null payload if tolerant, so that failures can be counted.
+    """
     fields = [f["name"] for f in resolved(schema)["fields"]]
     plain = StructType([*(StructField(f"c{k}", df.schema[c].dataType) for k, c in enumerate(keep)), StructField("payload", BinaryType())])
 
@@ -423,7 +426,14 @@ def encode_payload(df: DataFrame, schema: str | dict, keep: tuple[str, ...] = ()
         own = Codec(schema)
         for batch in batches:
             values = [batch.column(len(keep) + k).to_pylist() for k in range(len(fields))]
-            made = [own.encode(dict(zip(fields, row, strict=True))) for row in zip(*values, strict=True)]
+            made = []
+            for row in zip(*values, strict=True):
+                try:
+                    made.append(own.encode(dict(zip(fields, row, strict=True))))
+                except AvroError:
+                    if not tolerant:
+                        raise
+                    made.append(None)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(made, pa.binary())], names=plain.names)
 
     return df.select(*keep, *fields).mapInArrow(run, plain).toDF(*keep, name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -27,6 +27,18 @@ def ndjson(spark: SparkSession, path: str, schema: StructType, corrupt: str = "_
     return parsed.where(F.col(f"r.{corrupt}").isNull()).select("r.*").drop(corrupt), parsed.where(F.col(f"r.{corrupt}").isNotNull()).select("value")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 1), value of every line that isn't blank; blank ones count in the numbers.
+
+    Lines are numbered inside each split of a file and moved by what the splits before it hold, so a file is no task of its own.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__id"))
+    inside = raw.withColumn("__n", F.row_number().over(Window.partitionBy("file", "__block").orderBy("__id")))
+    counts = raw.groupBy("file", "__block").agg(F.count(F.lit(1)).alias("__here"))  # a row for each split
+    before = counts.select("file", "__block", (F.sum("__here").over(Window.partitionBy("file").orderBy("__block")) - F.col("__here")).alias("__before"))
+    return inside.join(before, ["file", "__block"]).where(F.trim("value") != "").select("file", (F.col("__n") + F.col("__before")).alias("line"), "value")
+
+
 def ndjson_counts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """(total, invalid_json) of a file, in one pass."""
     wide = StructType([*schema.fields, StructField("_bad", StringType())])

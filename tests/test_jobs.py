@@ -26,6 +26,68 @@ def test_ingestion(spark, tmp_path):
     assert staged.count() == 20 and {(r.batch_id, r.load_status, r.label) for r in staged.select("batch_id", "load_status", "label").distinct().collect()} == {("b1", "validated", 0)}
 
 
+def test_report_on_files(spark, tmp_path):
+    good = {"event_id": "f47ac10b58cc4372a5670e02b2c3d479", "sensor_id": "R-01", "sensor_type": "RADAR", "timestamp_ms": 5, "target_id": "T", "range_m": 1.5, "bearing_deg": 10.0, "elevation_deg": 3.0, "velocity_ms": 1.0, "signal_strength_db": -50.0, "schema_version": "1.0"}
+    lines = [json.dumps(good), "", "{torn", json.dumps(good | {"bearing_deg": 400.0}), json.dumps({n: v for n, v in good.items() if n != "range_m"}), json.dumps(good | {"target_id": None, "sensor_type": "RADAR"})]
+    (tmp_path / "q.jsonl").write_text("\n".join(lines))
+    got = jobs.quality_of_files(spark, f"file://{tmp_path}/q.jsonl", SENSOR_EVENT)
+    assert got["report"].first().asDict() == {"total_records": 5, "invalid_json": 1, "schema_failures": 0, "missing_required": 1, "required_nulls": 2, "range_violations": 1}
+    assert {(r.check, r.field, r.n) for r in got["fields"].collect()} == {("missing", "range_m", 1), ("null", "range_m", 1), ("null", "target_id", 1), ("range", "bearing_deg", 1), ("sensor_type", "RADAR", 4)}
+    assert [(r.line, r.check) for r in got["examples"].collect()] == [(3, "JSON"), (4, "Range"), (5, "Completeness"), (5, "Null"), (6, "Null")]
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    from eventloom.sources.files import numbered_lines
+
+    (tmp_path / "a.txt").write_text("".join(f"a{i}\n" if i % 7 else "\n" for i in range(1, 3000)))
+    (tmp_path / "b.txt").write_text("b1\nb2")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = {(r.file.rsplit("/", 1)[-1], r.line): r.value for r in numbered_lines(spark, f"file://{tmp_path}").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {("a.txt", i): f"a{i}" for i in range(1, 3000) if i % 7} | {("b.txt", 1): "b1", ("b.txt", 2): "b2"}
+
+
+def test_topic_adapters():
+    """Options of the topic source, with a reader that only notes them: the connector is not here."""
+    from types import SimpleNamespace
+
+    from eventloom.sources.files import kafka_stream
+
+    class Reader:
+        def __init__(self):
+            self.seen = {}
+
+        def format(self, kind):
+            self.seen["format"] = kind
+            return self
+
+        def option(self, key, value):
+            self.seen[key] = value
+            return self
+
+        def load(self):
+            return self.seen
+
+    plain = kafka_stream(SimpleNamespace(readStream=Reader()), "a,b", "host:9092")
+    assert plain == {"format": "kafka", "kafka.bootstrap.servers": "host:9092", "subscribe": "a,b", "startingOffsets": "latest", "maxOffsetsPerTrigger": 50_000}
+    timed = kafka_stream(SimpleNamespace(readStream=Reader()), "a", "host:9092", most_offsets=0, starting_ms=7)
+    assert "maxOffsetsPerTrigger" not in timed and (timed["startingTimestamp"], timed["startingOffsetsByTimestampStrategy"]) == (7, "latest")
+
+
+def test_late_rows_in_shuffled_blocks(spark):
+    from eventloom.sources.generators import inject_lateness
+
+    rows = spark.range(1000).select(F.col("id").alias("event_id"), (F.col("id") * 1000).alias("ms"), F.col("id").alias("arrival"))
+    got = inject_lateness(rows, "ms", "event_id", 0.1, 1000, 5000, buffer=50).collect()
+    assert all(r.arrival // 50 == r.event_id // 50 for r in got) and 40 < sum(r.shift_ms > 0 for r in got) < 160
+    assert all((r.shift_ms == 0 or 1000 <= r.shift_ms <= 5000) and r.ms == r.event_id * 1000 - r.shift_ms for r in got)
+    order = [r.event_id for r in sorted(got, key=lambda r: r.arrival)]
+    assert order != sorted(order)
+
+
 def test_batch_scoring_job(spark, tmp_path):
     rows = stored(generate(spark, "RADAR", 3000), "radar")
     corpus = stored(d.load_corpus(rows, "radar", rows.where("n % 5 = 0").select(F.col("event_id").alias("id")), None), "corpus")

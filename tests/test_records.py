@@ -117,6 +117,21 @@ def test_tolerant_payloads(spark):
         avro.decode_payload(rows, "value", schema).collect()
 
 
+def test_payloads_of_a_stream(spark, tmp_path):
+    schema = avro.avro_schema(PHYSICS_EVENT, "alice_event")
+    rows = spark.createDataFrame([tuple(GOOD.values()), (*list(GOOD.values())[:1], None, *list(GOOD.values())[2:])], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PHYSICS_EVENT))
+    sent = avro.encode_payload(rows, schema, tolerant=True).withColumn("topic", F.lit("alice"))
+    assert sent.where("value IS NULL").count() == 1  # the one with a null that its schema forbids
+    with pytest.raises(Exception, match="run_number"):
+        avro.encode_payload(rows, schema).collect()
+    sent.where("value IS NOT NULL").write.parquet(f"file://{tmp_path}/topic")
+    stream = spark.readStream.schema("value binary, topic string").parquet(f"file://{tmp_path}/topic")
+    q = avro.decode_payload(stream, "value", schema).writeStream.format("memory").queryName("decoded").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = spark.table("decoded").collect()
+    assert [(r.topic, r.event_id, r.track_count, r.total_energy_gev) for r in got] == [("alice", GOOD["event_id"], 3, 89.5)]
+
+
 def test_written_containers(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(avro, "FILE_BYTES", 2000)
     schema = avro.avro_schema(SENSOR_EVENT, "sensor_event", {"sensor_type": SENSOR_TYPES})
