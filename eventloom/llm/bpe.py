@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from .common import place_of, plain_names
-from .tokens import Memo, cut_pieces
+from .tokens import Memo, cut_pieces, is_word
 
 #: How byte-level vocabularies split text before merging; white space is the Unicode property.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -93,8 +93,9 @@ class BytePairCodec:
         return array("I", [s for s in symbol if s >= 0])
 
     def _piece(self, piece: str) -> bytes:
-        words = SPLIT.findall(piece)
-        return self.merge(piece.encode()).tobytes() if len(words) == 1 else b"".join(map(self.memo.__getitem__, words))
+        if is_word(piece) or len(words := SPLIT.findall(piece)) == 1:
+            return self.merge(piece.encode()).tobytes()
+        return b"".join(map(self.memo.__getitem__, words))
 
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.memo.__getitem__, cut_pieces(text) or SPLIT.findall(text)))

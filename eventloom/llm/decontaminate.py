@@ -169,7 +169,11 @@ def contamination_report(found: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pattern_chars: int = PATTERN_CHARS) -> DataFrame:
-    """The rows whose text holds no window of any item, with their own columns: a filter for each block, no shuffle."""
+    """The rows whose text holds no window of any item, with their own columns, whatever these are called: a filter for each block, no shuffle.
+
+    Null and wordless texts stay; null items and items without words drop nothing; rows that repeat share their fate; an
+    empty table stays empty, and without items every row stays.
+    """
     spark, place = docs.sparkSession, place_of(docs, text_col)
 
     def keeper(sent, key: str):

@@ -10,6 +10,7 @@ A file holds, in this order (integers big-endian in the header, little-endian el
     document ids zlib of int64; the null mask follows as bytes
     ids          u unsigned integers of 2 or 4 bytes
 
+A task also writes how many ids each of its files has, so that places among all ids need no look into these.
 A boundary takes l + 2 bits or so (plus half a bit of samples) instead of 64. Spark's own writer and committer
 put the bytes into place, so that any store works and a repeated task leaves no second copy.
 """
@@ -18,22 +19,34 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventloom.storage import fresh_path
+
 from .bpe import SPLIT, byte_symbols
-from .common import fresh_path
-from .tokens import Memo, cut_pieces
+from .common import chosen
+from .tokens import Memo, cut_pieces, is_word
 
 MAGIC, HEADER = b"ELTK", struct.Struct(">4siqqqiiqqqq")
 SAMPLE = 64
-#: UTF-8 bytes of text for each writing task, and most ids in a file.
-TEXT_PER_TASK, IDS_PER_FILE, MOST_TASKS = 32 << 20, 2_000_000, 20_000
+#: UTF-8 bytes of text for each writing task, and most of these tasks.
+TEXT_PER_TASK, MOST_TASKS = 32 << 20, 50_000
+#: Ids that may have rows enough for several tasks.
+HOT_IDS = 100
+#: Ids in a file (8 MB of them), most files, and ids that are given out at once when it is read.
+IDS_PER_FILE, MOST_FILES, IDS_PER_BATCH = 4_000_000, 4_000_000, 500_000
+#: A file of counts: magic, order of the first file counted, number of files, and the ids of each.
+COUNTS_MAGIC, COUNTS, COUNTS_PER_FILE = b"ELTC", struct.Struct(">4sqi"), 4096
 
 
 class EliasFano:
@@ -117,6 +130,11 @@ def to_file(order: int, doc_ids: list, arrays: list[bytes], width: int) -> bytes
     return b"".join([head, coded.low, coded.high, samples, names, *arrays])
 
 
+def to_counts(first: int, counts: list[int]) -> bytes:
+    """The bytes of a file of counts; first is the order of the first file counted."""
+    return COUNTS.pack(COUNTS_MAGIC, first, len(counts)) + np.array(counts, ">i8").tobytes()
+
+
 _encoders: dict = {}
 
 
@@ -130,13 +148,16 @@ def library_encoder(path: str, width: int):
     whole, kind = Tokenizer.from_file(path), f"<u{width}"
     whole.no_truncation()
     whole.no_padding()
-    model, shown = whole.model, str.maketrans({chr(b): c for c, b in byte_symbols().items()})
+    tokenize, shown = whole.model.tokenize, str.maketrans({chr(b): c for c, b in byte_symbols().items()})
+    # An array's bytes are the machine's; where these are not little-endian, numpy turns them.
+    code = {2: "H", 4: "I"}[width] if sys.byteorder == "little" else None
+    bytes_of = (lambda ids: array(code, ids).tobytes()) if code else (lambda ids: np.array(ids, kind).tobytes())
     added = [t.content for t in whole.get_added_tokens_decoder().values()]
 
     def piece(text: str) -> bytes:
-        if len(words := SPLIT.findall(text)) > 1:
+        if not is_word(text) and len(words := SPLIT.findall(text)) != 1:
             return b"".join(map(memo.__getitem__, words))
-        return np.array([t.id for t in model.tokenize(text.encode().decode("latin-1").translate(shown))], kind).tobytes()
+        return bytes_of([t.id for t in tokenize(text.encode().decode("latin-1").translate(shown))])
 
     memo = Memo(piece)
 
@@ -150,80 +171,140 @@ def library_encoder(path: str, width: int):
     return encode
 
 
-def write_token_files(docs: DataFrame, folder: str, vocab_path: str, end_id: int, width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
+@dataclass
+class Places:
+    """Which writing task gets an id: tasks are in the order of ids, and ids of very many rows (null too) have several."""
+
+    #: First ids of all intervals but the first two, which are for null and for what is smaller than the first cut.
+    cuts: np.ndarray
+    #: The first task of each interval, and how many it has.
+    first: np.ndarray
+    tasks: np.ndarray
+
+    @classmethod
+    def of(cls, own: DataFrame, tasks: int, rows: int, nulls: int, often: list[tuple[int, int]]) -> Places:
+        """Cuts from the ids alone, with a range of its own for every id of often (id, rows) that would fill one."""
+        fair = max(1.0, rows / tasks)
+        hot = {i: n for i, n in often if i is not None and n > 2 * fair}
+        known = own.where(F.col("doc_id").isNotNull() & ~F.col("doc_id").isin(*hot)) if hot else own.where("doc_id IS NOT NULL")
+        ranged = known.select("doc_id").repartitionByRange(tasks, "doc_id").groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("low"))
+        lows = [r.low for r in ranged.collect()] if tasks > 1 else []  # one number for each task
+        most = (1 << 63) - 1
+        cuts = np.unique(np.array([*lows, *hot, *(i + 1 for i in hot if i < most)], np.int64))
+        counts = np.ones(len(cuts) + 2, np.int64)
+        counts[0] = -(-nulls // int(fair)) or 1
+        for i, n in hot.items():
+            counts[np.searchsorted(cuts, i) + 2] = -(-n // int(fair))
+        return cls(cuts, np.concatenate(([0], np.cumsum(counts)[:-1])), counts)
+
+    def place(self, ids: pa.Array, coded: list[bytes]) -> np.ndarray:
+        """The task of each row; rows of an id with several tasks are spread by a hash of what they encode to."""
+        at = np.searchsorted(self.cuts, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right") + 1
+        at[ids.is_null().to_numpy(zero_copy_only=False)] = 0
+        spread = np.array([zlib.crc32(c) if n > 1 else 0 for c, n in zip(coded, self.tasks[at].tolist(), strict=True)], np.int64)
+        return self.first[at] + (spread * self.tasks[at] >> 32)
+
+    def __len__(self) -> int:
+        return int(self.tasks.sum())
+
+
+def write_token_files(docs: DataFrame, folder: str, vocab_path: str, end_id: int, width: int = 2, id_col: str = "doc_id", text_col: str = "text", tasks: int | None = None) -> None:
     """Encodes every whole text, appends end_id, and writes the ids in ascending order of id.
 
-    The order's bounds come from quantiles of the id column alone, so texts are read and encoded once and only ids
-    (``width`` bytes each) are shuffled. Nulls: an empty text, which keeps its end id; a null id, first in the order.
-    Rows that repeat an id follow each other in the order of their ids' bytes. An empty table gives no file.
+    Texts are read and encoded once and only ids (width bytes each) are shuffled, by ranges whose bounds come from the id
+    column alone. tasks is the number of ranges, by default one for TEXT_PER_TASK bytes and MOST_TASKS at most; beyond
+    that a task writes more files, and sorts on disk. A file grows beyond IDS_PER_FILE only where there would be more than
+    MOST_FILES of them. Nulls: an empty text, which keeps its end id; a null id, first in the order. Rows that repeat an
+    id follow each other in the order of their ids' bytes, or of a hash of these and then of the bytes where they are so
+    many that they fill several tasks. An empty table gives no file.
     """
-    size = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first().n or 0
-    tasks = int(min(max(1, -(-size // TEXT_PER_TASK)), MOST_TASKS))
-    bounds = docs.stat.approxQuantile(id_col, [k / tasks for k in range(1, tasks)], 0.1 / tasks) if tasks > 1 else []
-    bounds = np.unique(np.array(bounds, np.float64)).astype(np.int64)
+    own = chosen(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), "text")
+    facts = own.agg(F.sum(F.octet_length("text")).alias("size"), F.count(F.lit(1)).alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.expr(f"approx_top_k(doc_id, {HOT_IDS}, {HOT_IDS * 100})").alias("often")).first()
+    size = facts.size or 0
+    tasks = tasks or int(min(max(1, -(-size // TEXT_PER_TASK)), MOST_TASKS))
+    most_ids = max(IDS_PER_FILE, size // MOST_FILES)
+    places = own.sparkSession.sparkContext.broadcast(Places.of(own, tasks, facts.n, facts.nulls, [(t["item"], t["count"]) for t in facts.often or []]))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = library_encoder(vocab_path, width), end_id.to_bytes(width, "little")
+        code, end = library_encoder(vocab_path, width), end_id.to_bytes(width, "little")
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                place = np.searchsorted(bounds, batch.column(0).fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
-                coded = [own(t.as_py() or "") + end for t in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(place, pa.int32()), pa.array(coded, pa.binary())], names=["doc_id", "place", "ids"])
+                coded = [code(t.as_py() or "") + end for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places.value.place(batch.column(0), coded), pa.int32()), pa.array(coded, pa.binary())], names=["doc_id", "place", "ids"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, names, arrays, held, files = 0, [], [], 0, 0
+        place = TaskContext.get().partitionId()
+        names, arrays, held, counts = [], [], 0, []
+        row = lambda content: pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["content"])
 
-        def made():
-            return pa.RecordBatch.from_arrays([pa.array([to_file((place << 20) + files, names, arrays, width)], pa.binary())], names=["content"])
+        def made() -> pa.RecordBatch:
+            counts.append(held)
+            return row(to_file(place << 32 | len(counts) - 1, names, arrays, width))
 
         for batch in batches:
-            for name, at, ids in zip(*(batch.column(k) for k in range(3)), strict=True):
-                if arrays and (at.as_py() != place or held >= IDS_PER_FILE):
+            for name, ids in zip(batch.column(0), batch.column(1), strict=True):
+                if arrays and held >= most_ids:
                     yield made()
-                    files = files + 1 if at.as_py() == place else 0
                     names, arrays, held = [], [], 0
-                place = at.as_py()
                 names.append(name.as_py())
                 arrays.append(ids.as_py())
                 held += len(arrays[-1]) // width
         if arrays:
             yield made()
+        for at in range(0, len(counts), COUNTS_PER_FILE):
+            yield row(to_counts(place << 32 | at, counts[at : at + COUNTS_PER_FILE]))
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(encode, "doc_id bigint, place int, ids binary")
-    placed = rows.repartitionById(len(bounds) + 1, F.col("place")).sortWithinPartitions("place", F.asc_nulls_first("doc_id"), "ids")
+    rows = own.mapInArrow(encode, "doc_id bigint, place int, ids binary")
+    placed = rows.repartitionById(len(places.value), F.col("place")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "ids").select("doc_id", "ids")
     files = placed.mapInArrow(pack, "content binary")
     # The text writer puts a string's bytes out as they are: this makes it a writer of binary files, one for each row.
     files.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(folder)
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens, ids (little-endian unsigned 32-bit) from all files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).where("length > 8").select("content")
+    """doc_id, start (ids of all documents before), n_tokens, ids (little-endian unsigned 32-bit) from all files.
+
+    Counts of ids lie in small files beside the others, which their length tells apart before anything is read; only
+    these are summed up. There are MOST_FILES sums and one for each writing task at most, so they are broadcast.
+    """
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     number = lambda at: F.conv(F.hex(F.substring("content", at, 8)), 16, 10).cast("bigint")
-    heads = files.select(number(9).alias("order"), number(25).alias("n_ids"))
-    # One row for each file, so one task can sum them up.
-    before = heads.select("order", (F.sum("n_ids").over(Window.orderBy("order")) - F.col("n_ids")).alias("first"))
+    magic = F.substring("content", 1, 4)
+    listed = every.where(F.col("length") <= COUNTS.size + 8 * COUNTS_PER_FILE + 1).select("content").where(magic == F.lit(COUNTS_MAGIC))
+    counts = listed.select(number(5).alias("first"), F.explode(F.sequence(F.lit(0), F.conv(F.hex(F.substring("content", 13, 4)), 16, 10).cast("int") - 1)).alias("k"), "content").select(
+        (F.col("first") + F.col("k")).alias("order"), F.conv(F.hex(F.expr(f"substring(content, {COUNTS.size + 1} + 8 * k, 8)")), 16, 10).cast("bigint").alias("n_ids")
+    ).withColumn("place", F.shiftright("order", 32))
+    # Sums for each writing task first, so that the window without keys is over as many rows as there were tasks.
+    places = counts.groupBy("place").agg(F.sum("n_ids").alias("n"))
+    offsets = places.select("place", (F.sum("n").over(Window.orderBy("place")) - F.col("n")).alias("offset"))
+    inside = F.sum("n_ids").over(Window.partitionBy("place").orderBy("order")) - F.col("n_ids")
+    before = counts.withColumn("inside", inside).join(offsets, "place").select("order", (F.col("inside") + F.col("offset")).alias("first"))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, raw in zip(batch.column(0), batch.column(1), strict=True):
                 file = TokenFile(raw.as_buffer())
-                at = 0
-                for begin in range(0, file.n, 250):
-                    places = range(begin, min(file.n, begin + 250))
-                    starts, arrays = [], []
-                    for i in places:
+                at = begin = 0
+                while begin < file.n:
+                    starts, arrays, held = [], [], 0
+                    for i in range(begin, file.n):
                         end = file.offset(i + 1)
                         starts.append(first.as_py() + at)
                         arrays.append(file.ids[at:end].astype("<u4").tobytes())
+                        held += end - at
                         at = end
+                        if held >= IDS_PER_BATCH:
+                            break
+                    some = slice(begin, begin + len(arrays))
+                    begin = some.stop
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(file.doc_ids[places.start : places.stop], mask=file.null[places.start : places.stop]), pa.array(starts, pa.int64()), pa.array([len(a) // 4 for a in arrays], pa.int64()), pa.array(arrays, pa.binary())],
+                        [pa.array(file.doc_ids[some], mask=file.null[some]), pa.array(starts, pa.int64()), pa.array([len(a) // 4 for a in arrays], pa.int64()), pa.array(arrays, pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    joined = files.withColumn("order", number(9)).join(F.broadcast(before), "order").select("first", "content")
+    content = every.where("length > 8").select("content").where(magic == F.lit(MAGIC))
+    joined = content.withColumn("order", number(9)).join(F.broadcast(before), "order").select("first", "content")
     return joined.mapInArrow(unpack, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 

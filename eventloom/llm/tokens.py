@@ -18,10 +18,15 @@ MEMO_PIECE = 64
 
 
 def cut_pieces(text: str) -> list[str] | None:
-    """Pieces whose encodings concatenate to that of the text, or None where the cut isn't sure to be right."""
+    """Pieces, empty ones among them, whose encodings concatenate to that of the text, or None where the cut isn't sure to be right."""
     if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or ODD_SPACE.search(text):
         return None
-    return [p for p in text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00") if p]
+    return text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00")
+
+
+def is_word(piece: str) -> bool:
+    """Whether a piece is letters alone, but for a space before them: the pattern keeps these whole."""
+    return piece.isalpha() or (piece[:1] == " " and piece[1:].isalpha())
 
 
 class Memo(dict):

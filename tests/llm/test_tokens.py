@@ -77,6 +77,25 @@ def test_files_of_odd_rows(spark, library, monkeypatch):
     assert token_file_round_trip(empty(spark), tokenizer_path()).count() == 0
 
 
+def test_files_of_hot_ids(spark, library, monkeypatch):
+    """Ids of very many rows, null among them, are spread over tasks, and the order is still that of ids."""
+    import eventloom.llm.token_file as tf
+
+    monkeypatch.setattr(tf, "TEXT_PER_TASK", 300)
+    texts = [f"text {i} of it" for i in range(400)]
+    ids = [None if i % 3 == 0 else 7 if i % 3 == 1 else i for i in range(400)]
+    df = docs(spark, texts, ids)
+    own = df.select("doc_id", "text")
+    places = tf.Places.of(own, 20, 400, sum(i is None for i in ids), [(7, ids.count(7))])
+    assert places.tasks[0] > 3 and len(places) > 20 and max(places.tasks[1:]) > 3
+    rows = token_file_round_trip(df, tokenizer_path()).collect()
+    rows.sort(key=lambda r: r.start)
+    order = [float("-inf") if r.doc_id is None else r.doc_id for r in rows]
+    assert order == sorted(order) and len(rows) == 400 and [r.start for r in rows[1:]] == np.cumsum([r.n_tokens for r in rows])[:-1].tolist() and rows[0].start == 0
+    want = sorted((str(i), np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()) for i, t in zip(ids, texts, strict=True))
+    assert sorted((str(r.doc_id), bytes(r.ids)) for r in rows) == want
+
+
 @pytest.mark.parametrize("name", ["op1_bpe", "op2_token_file"])
 def test_queries(spark, name):
     df = QUERIES[name](spark, "/root/testdata/sf0.001")
