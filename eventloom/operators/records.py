@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType, LongType, StringType, StructField, StructType
 
 from eventloom.schemas import DEFAULTED, SCHEMA_VERSION, SENSOR_REQUIRED, SENSOR_TYPES, STREAM_VERSIONS, TYPE_REQUIRED
 
@@ -145,8 +145,13 @@ def check_records(df: DataFrame, raw: str, schema: StructType, policy: Policy =
     return found.select(*df.columns, "reason", "stamped")
 
 
-def typed(df: DataFrame, raw: str, schema: StructType) -> DataFrame:
-    """The record as typed columns; what is absent, of another type or too large for it is null. Keeps df's other columns."""
+def typed(df: DataFrame, raw: str, schema: StructType, doubles: bool = False) -> DataFrame:
+    """The record as typed columns; what is absent, of another type or too large for it is null. Keeps df's other columns.
+
+    With doubles, floats are as the line has them, before anything is rounded to 32 bits.
+    """
+    if doubles:
+        schema = StructType([StructField(f.name, DoubleType() if isinstance(f.dataType, FloatType) else f.dataType, f.nullable) for f in schema])
     held = lambda f: _fits(f.name, f.dataType) & ~_float_check(f.name, "rounded") if isinstance(f.dataType, FloatType) else _fits(f.name, f.dataType)
     cols = [F.when(held(f), F.try_variant_get(value(f.name), "$", f.dataType.simpleString())).alias(f.name) for f in schema]
     taken = {f.name for f in schema}
@@ -174,7 +179,7 @@ def findings(df: DataFrame, raw: str, schema: StructType, sensor: bool = True) -
     fields = required(schema, sensor)
     domains = {"sensor_type": SENSOR_TYPES} if sensor else {}
     own = df.toDF(*[f"__own_{n}" for n in df.columns])  # df's columns may be called like the record's
-    wide = typed(own, f"__own_{raw}", schema).withColumn("schema_reason", F.when(is_json(), first_failure(record_checks(schema, domains, LENIENT))))
+    wide = typed(own, f"__own_{raw}", schema, doubles=True).withColumn("schema_reason", F.when(is_json(), first_failure(record_checks(schema, domains, LENIENT))))
     none = F.array().cast("array<string>")
     object_ = F.col(KEYS).isNotNull()
     return wide.withColumns({

@@ -152,7 +152,6 @@ def range_sql() -> str:
     v = lambda name: f"({n(name)})"
     low = lambda kind, name: f"CASE WHEN {t} = '{kind}' AND {v(name)} < 0 THEN '{name}: must be greater than or equal to 0' END"
     between = lambda name, a, b: f"CASE WHEN {t} = 'RADAR' AND {v(name)} NOT BETWEEN {a} AND {b} THEN '{name}: must be between {a} and {b}' END"
-    # Numbers beyond 32 bits are no numbers of their field's type, and floats are compared as 32-bit ones on either side of bounds that these hold.
     rules = [
         f"CASE WHEN {t} IS NULL OR {t} NOT IN ('RADAR', 'LIDAR', 'TELEMETRY') THEN 'sensor_type: unsupported sensor type' END", f"CASE WHEN {v('timestamp_ms')} <= 0 THEN 'timestamp_ms: must be greater than 0' END",
         "CASE WHEN json_extract_string(r, '$.schema_version') IS DISTINCT FROM '1.0' THEN 'schema_version: must equal 1.0' END", low("RADAR", "range_m"), between("bearing_deg", 0, 360), between("elevation_deg", -90, 90),
