@@ -12,6 +12,8 @@ from eventloom.storage import fresh_path
 
 #: Row numbers (8 bytes, some 40 in a hash table) that are broadcast at most; more meet the rows in a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Rows of a narrow table (ids, digests, links) that one task writes, and tasks that write even the smallest.
+ROWS_PER_TASK, LEAST_TASKS = 200_000, 12
 
 
 def plain_names(n: int) -> list[str]:
@@ -30,11 +32,18 @@ def chosen(df: DataFrame, **names: str) -> DataFrame:
     return plain.select(*[plain[f"c{place_of(df, name)}"].alias(new) for new, name in names.items()])
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """df in no more tasks than rows of a narrow table call for: a small one isn't written as hundreds of files."""
+    return df.coalesce(max(LEAST_TASKS, -(-rows // ROWS_PER_TASK)))
+
+
+def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back, so that nothing before is computed again.
 
-    A lost executor costs its own tasks only; the table outlives it. Columns may differ in case only.
+    A lost executor costs its own tasks only; the table outlives it. Columns may differ in case only. rows, for narrow
+    tables whose rows are known to be no more, decides how many tasks write at most.
     """
+    df = df if rows is None else few_tasks(df, rows)
     plain = df.toDF(*plain_names(len(df.columns)))
     path = fresh_path(df.sparkSession, name)
     plain.write.option("compression", "zstd").parquet(path)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from eventloom.storage import discard, fresh_path
 
+from .common import few_tasks
+
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One step over edges (a, b): each node links its larger (large) or its smaller neighbours to the least around it."""
@@ -33,15 +35,17 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
 
-    def written(df: DataFrame) -> tuple[DataFrame, str]:
+    def written(df: DataFrame, rows: int | None = None) -> tuple[DataFrame, str]:
         path = fresh_path(spark, "links")
+        df = df if rows is None else few_tasks(df, rows)
         df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path), path
 
     now, path = written(edges.where("a IS NOT NULL AND b IS NOT NULL AND a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = None
+    state = (now.count(),)
     while True:
-        following, its_path = written(_stars(_stars(now, True), False))
+        # A round leaves as many links as there are nodes that aren't the least of theirs: no more than twice the links before.
+        following, its_path = written(_stars(_stars(now, True), False), 2 * state[0])
         discard(spark, path)
         now, path = following, its_path
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -46,7 +46,7 @@ def settle(rows: DataFrame, heavy_items: int = HEAVY_ITEMS, counters: int = SKET
         .where("group_size > 1")
     )
     # As many rows as the sketch reports at most (more only if two digests share a 64-bit key).
-    heavy = cut(heavy, "heavy")
+    heavy = cut(heavy, "heavy", heavy_items)
     settled = rows.join(F.broadcast(heavy), "digest")
     group = Window.partitionBy("digest")
     rest = (
@@ -70,5 +70,5 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     doc_id, text = names[place_of(docs, id_col)], names[place_of(docs, text_col)]
     rows = cut(docs.toDF(*names).withColumns({"row_no": F.monotonically_increasing_id(), "digest": text_digest(text)}), "numbered")
     found = settle(rows.select("row_no", F.col(doc_id).alias("doc_id"), "digest"))
-    gone = cut(found.where("NOT kept").select("row_no"), "copies")
+    gone = cut(found.where("NOT kept").select("row_no"), "copies", rows.count())
     return without(rows, gone, "row_no").select(*names).toDF(*docs.columns)

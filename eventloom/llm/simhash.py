@@ -112,12 +112,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def classify(rows: DataFrame) -> DataFrame:
     """rows (doc_id, fp, ...) that are cheap to read again, with label (least fingerprint of the component) and component_id."""
-    prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "prints")
+    prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "prints", rows.count())
+    distinct = prints.count()
     linked = prints.join(components(links(prints.select("fp"))), F.col("fp") == F.col("node"), "left").select("fp", "rep", "n", "component")
     least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least"))
     classes = cut(
         linked.join(least, "component", "left").select("fp", "rep", "n", F.coalesce("component", "fp").alias("label"), F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id")),
-        "classes",
+        "classes", distinct,
     )
     # Most fingerprints stand for one row and link to none: these rows need no class from elsewhere. Those of very many
     # rows would be hot keys of a join, and there are few of them.
@@ -140,7 +141,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     names = plain_names(len(docs.columns))
     numbered = with_fingerprint(docs.toDF(*names), place_of(docs, text_col), "fp").withColumn("row_no", F.monotonically_increasing_id())
     rows = cut(numbered, "marked")
-    found = cut(classify(rows.select("row_no", F.col(names[place_of(docs, id_col)]).cast("bigint").alias("doc_id"), "fp")), "classified")
+    total = rows.count()
+    found = cut(classify(rows.select("row_no", F.col(names[place_of(docs, id_col)]).cast("bigint").alias("doc_id"), "fp")), "classified", total)
     stays = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "row_no")).alias("best")).select(F.col("best.row_no").alias("row_no"))
-    gone = cut(found.select("row_no").join(stays, "row_no", "left_anti"), "copies")
+    gone = cut(found.select("row_no").join(stays, "row_no", "left_anti"), "copies", total)
     return without(rows, gone, "row_no").select(*names).toDF(*docs.columns)
