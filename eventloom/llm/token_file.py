@@ -40,7 +40,7 @@ from .tokens import Memo, cut_pieces, is_word
 MAGIC, HEADER = b"ELTK", struct.Struct(">4siqqqiiqqqq")
 SAMPLE = 64
 #: UTF-8 bytes of text for each writing task, and most of these tasks.
-TEXT_PER_TASK, MOST_TASKS = 32 << 20, 50_000
+TEXT_PER_TASK, MOST_TASKS = 48 << 20, 50_000
 #: Ids that may have rows enough for several tasks.
 HOT_IDS = 100
 #: Ids in a file (8 MB of them), most files, and ids that are given out at once when it is read.
@@ -171,6 +171,11 @@ def library_encoder(path: str, width: int):
     return encode
 
 
+def forget_encoders() -> None:
+    """Gives back a worker's vocabulary and memo, some 200 MB, when it goes on to steps that don't encode."""
+    _encoders.clear()
+
+
 @dataclass
 class Places:
     """Which writing task gets an id: tasks are in the order of ids, and ids of very many rows (null too) have several."""
@@ -234,6 +239,7 @@ def write_token_files(docs: DataFrame, folder: str, vocab_path: str, end_id: int
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places.value.place(batch.column(0), coded), pa.int32()), pa.array(coded, pa.binary())], names=["doc_id", "place", "ids"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         place = TaskContext.get().partitionId()
         names, arrays, held, counts = [], [], 0, []
         row = lambda content: pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["content"])
@@ -282,6 +288,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     before = counts.withColumn("inside", inside).join(offsets, "place").select("order", (F.col("inside") + F.col("offset")).alias("first"))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         for batch in batches:
             for first, raw in zip(batch.column(0), batch.column(1), strict=True):
                 file = TokenFile(raw.as_buffer())
