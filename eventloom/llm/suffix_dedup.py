@@ -24,6 +24,8 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -425,21 +427,17 @@ def _merge(group: pa.Table) -> pa.Table:
                     if low < ids[s][e][1]:
                         marks[s].append((firsts[s] + e, 0, last, low))
             return
-        least: dict[bytes, int] = {}
-        through = []
-        for element, holders in same:
-            own = min(ids[s][e][0] for s, e in holders)
-            through.append(mine := strings(element))
-            for text in mine:
-                if (before := least.get(text)) is None or own < before:
-                    least[text] = own
-        for (_, holders), mine in zip(same, through, strict=True):
-            spans, begin = [], 0
-            lows = [least[t] for t in mine]
-            for i in range(1, len(lows) + 1):
-                if i == len(lows) or lows[i] != lows[begin]:
-                    spans.append((begin, i - 1, lows[begin]))
-                    begin = i
+        # In the order of ids, whoever has a string first has it for good.
+        first = {}.setdefault
+        for own, element, holders in sorted(((min(ids[s][e][0] for s, e in holders), element, holders) for element, holders in same), key=itemgetter(0)):
+            lows, spans, begin = list(map(first, strings(element), repeat(own))), [], 0
+            if lows and lows.count(lows[0]) == len(lows):
+                spans.append((0, len(lows) - 1, lows[0]))
+            else:
+                for i in range(1, len(lows) + 1):
+                    if i == len(lows) or lows[i] != lows[begin]:
+                        spans.append((begin, i - 1, lows[begin]))
+                        begin = i
             for s, e in holders:
                 most = ids[s][e][1]
                 marks[s].extend((firsts[s] + e, i, j, low) for i, j, low in spans if low < most)
