@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import repeat
 from operator import itemgetter
@@ -39,6 +40,8 @@ from eventloom.storage import fresh_path
 from .common import chosen, cut, text_or_empty
 
 LENGTH, K = 50, 24
+#: Places of a text that are hashed, and anchors that are looked at or marked, at once.
+PIECE, STEP = 1 << 20, 1 << 16
 #: Bytes beside the K-gram that strings through it can reach, on either side; also K-grams in a string, less one.
 REACH = LENGTH - K
 #: Bytes of text in a run and documents in it, anchor hashes in a bucket, bytes of text for each range bucket.
@@ -70,16 +73,25 @@ def _sliding(a: np.ndarray, width: int, take) -> np.ndarray:
 
 
 def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the anchors in a text and 48 bits of their K-grams' hashes; every LENGTH-byte string holds one."""
+    """Places of the anchors in a text and 48 bits of their K-grams' hashes; every LENGTH-byte string holds one.
+
+    A text is looked at in pieces that reach as far beside their own places as a string through them does.
+    """
     n = len(raw)
     if n < LENGTH:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     word = np.ndarray((n - 7,), "<u8", raw, 0, (1,))  # the 8 bytes at each place
     count = n - K + 1
-    h = word[:count] * _C[0]
-    h += word[8 : 8 + count] * _C[1]
+    found = [_anchors(word, max(0, at - REACH), min(count, at + PIECE + REACH), at, min(count, at + PIECE)) for at in range(0, count, PIECE)]
+    return np.concatenate([places for places, _ in found]), np.concatenate([hashes for _, hashes in found])
+
+
+def _anchors(word: np.ndarray, low: int, high: int, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors from begin to before end, from the K-grams from low to before high."""
+    h = word[low:high] * _C[0]
+    h += word[low + 8 : high + 8] * _C[1]
     h ^= h >> _U29
-    h += word[16 : 16 + count] * _C[2]
+    h += word[low + 16 : high + 16] * _C[2]
     h ^= h >> _U32
     h *= _C[3]
     h ^= h >> _U29
@@ -87,7 +99,8 @@ def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     padded = np.zeros(len(least) + 2 * REACH, np.uint64)
     padded[REACH : REACH + len(least)] = least
     places = np.flatnonzero(_sliding(padded, REACH + 1, np.maximum) == h)
-    return places, h[places] >> _U16
+    own = places[(places >= begin - low) & (places < end - low)]
+    return own + low, h[own] >> _U16
 
 
 def suffix(raw: bytes, a: int) -> tuple[bytes, int]:
@@ -303,7 +316,7 @@ def _among(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return known[at] == hashes
 
 
-def _pieces(order: list[bytes], buckets: np.ndarray, ids: list) -> Iterator[dict]:
+def _pieces(order: list[bytes], buckets: np.ndarray, ids) -> Iterator[dict]:
     """Front-coded pieces of elements that lie in the order of their buckets and are sorted in each."""
     edges = np.flatnonzero(np.diff(buckets, prepend=-1, append=-1)).tolist()
     for i, j in zip(edges[:-1], edges[1:], strict=True):
@@ -371,8 +384,10 @@ def _sort_run(sent):
     def work(docs: pa.Table, answers: pa.Table) -> pa.Table:
         wanted, often, bounds = _joined(answers.column("hashes")), _joined(answers.column("hot")), sent.value
         rows: list[dict] = []
-        entry: dict[bytes, list] = {}
-        held: dict[int, list] = {}
+        # Elements are numbered as they come; a holder is two numbers, however often its element comes again.
+        entry: dict[bytes, int] = {}
+        least, most = array("q"), array("q")
+        held: dict[int, tuple[array, array]] = {}
         run = docs.column("run")[0].as_py() if docs.num_rows else None
         for row_no, doc_id, text in zip(docs.column("row_no"), docs.column("doc_id"), docs.column("text"), strict=True) if len(wanted) else ():
             raw = text.as_buffer().to_pybytes()
@@ -380,27 +395,35 @@ def _sort_run(sent):
             if not len(places):
                 continue
             chosen_ = _among(wanted, hashes)
-            places, hot = places[chosen_].tolist(), _among(often, hashes[chosen_]).tolist()
-            if places:
+            places, hot = places[chosen_], _among(often, hashes[chosen_])
+            if len(places):
                 own = doc_id.as_py() if doc_id.is_valid else NO_ID
-                held[row_no.as_py()] = mine = []
-                for a, whole in zip(places, hot, strict=True):
-                    for element, low in whole_strings(raw, a) if whole else (suffix(raw, a),):
-                        known = entry.get(element)
-                        if known is None:
-                            entry[element] = known = [own, own]
-                        elif own < known[0]:
-                            known[0] = own
-                        elif own > known[1]:
-                            known[1] = own
-                        mine.append((element, low))
+                held[row_no.as_py()] = numbers, lows = array("I"), array("I")
+                for at in range(0, len(places), STEP):
+                    for a, whole in zip(places[at : at + STEP].tolist(), hot[at : at + STEP].tolist(), strict=True):
+                        for element, low in whole_strings(raw, a) if whole else (suffix(raw, a),):
+                            number = entry.setdefault(element, len(least))
+                            if number == len(least):
+                                least.append(own)
+                                most.append(own)
+                            elif own < least[number]:
+                                least[number] = own
+                            elif own > most[number]:
+                                most[number] = own
+                            numbers.append(number)
+                            lows.append(low)
         order = sorted(entry)
-        number_of = {e: i for i, e in enumerate(order)}
-        for row_no, mine in held.items():
-            rows.append({"run": run, "row_no": row_no, "holders": pack(np.array([(number_of[e], low) for e, low in mine], HOLDER))})
+        came = np.array([entry[e] for e in order], np.int64)
+        place_of = np.empty(len(order), "<u4")
+        place_of[came] = np.arange(len(order))
+        for row_no, (numbers, lows) in held.items():
+            holders = np.empty(len(numbers), HOLDER)
+            holders["entry"], holders["place"] = place_of[np.frombuffer(numbers, "<u4")], np.frombuffer(lows, "<u4")
+            rows.append({"run": run, "row_no": row_no, "holders": pack(holders)})
+        ids = np.stack((np.array(least, np.int64)[came], np.array(most, np.int64)[came]), 1)
         # A bound is as long as the first bytes of an element, which are within its K-gram: what is settled together shares a range.
         ranges = np.searchsorted(bounds, np.array([e[:HEAD] for e in order], f"S{HEAD}"), side="right")
-        rows.extend({"run": run, **piece} for piece in _pieces(order, ranges, [entry[e] for e in order]))
+        rows.extend({"run": run, **piece} for piece in _pieces(order, ranges, ids))
         return pa.Table.from_pylist(rows, schema=SORTED)
 
     return work
@@ -470,15 +493,18 @@ def _cut_run(with_text: bool):
                 if holders is not None and len(marks):
                     own = NO_ID if not doc_id.is_valid else doc_id.as_py()
                     mine = unpack(holders.as_py(), HOLDER)
-                    which, at = _matches(marks, mine["entry"])
-                    place = mine["place"].astype(np.int64)[at]
-                    hit = marks["least"][which] < own
-                    if hit.any():
-                        which, place = which[hit], place[hit]
-                        change = np.zeros(len(raw) + 1, np.int64)
-                        np.add.at(change, place + marks["from"][which], 1)
-                        np.add.at(change, place + marks["to"][which] + LENGTH, -1)
-                        gone = np.cumsum(change[:-1]) > 0
+                    change = None
+                    for begin in range(0, len(mine), STEP):
+                        part = mine[begin : begin + STEP]
+                        which, at = _matches(marks, part["entry"])
+                        hit = marks["least"][which] < own
+                        if hit.any():
+                            which, place = which[hit], part["place"].astype(np.int64)[at[hit]]
+                            change = np.zeros(len(raw) + 1, np.int32) if change is None else change
+                            np.add.at(change, place + marks["from"][which], 1)
+                            np.add.at(change, place + marks["to"][which] + LENGTH, -1)
+                    if change is not None:
+                        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
                         edge = np.diff(np.concatenate(([0], gone, [0])).astype(np.int8))
                         starts, ends = np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()
                         left = raw[~gone]

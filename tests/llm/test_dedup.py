@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import eventloom.llm.suffix_dedup as sd
 import pytest
@@ -158,6 +159,56 @@ def test_repeats_in_few_very_long_texts(spark):
     assert got == {1: (0, 0), 2: (2_000_000, 1), 3: (75, 1)}
 
 
+REPETITIVE = {"one": "x", "two": "ab", "thirty": "a line of thirty bytes, again\n", "seventy": "a line that is longer than the strings that are looked for, again.\n!!"}
+
+
+@pytest.mark.parametrize("unit", REPETITIVE.values(), ids=REPETITIVE)
+def test_repeats_in_long_repetitive_texts(spark, unit):
+    text = (unit * (1_200_000 // len(unit)))[:1_200_000]
+    rows = [(2, text), (1, "before " + text[:900_000]), (5, text[17:400_017]), (4, None), (9, unit)]
+    assert spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)) == brute(rows)
+
+
+@pytest.mark.parametrize("unit", REPETITIVE.values(), ids=REPETITIVE)
+def test_memory_of_repetitive_runs(unit):
+    """Two documents of 12 MB in one run, through each step that sees whole texts, within 1 GB."""
+    import subprocess
+    import sys
+
+    code = f"""
+import resource, types, numpy as np, pyarrow as pa
+from eventloom.llm import suffix_dedup as sd
+unit = {unit!r}
+texts = [(unit * (12_000_000 // len(unit) + 1))[:12_000_000] for _ in range(2)]
+docs = pa.table({{"run": pa.array([0, 0], pa.int64()), "row_no": pa.array([0, 1], pa.int64()), "doc_id": pa.array([5, 6], pa.int64()), "text": pa.array(texts)}})
+del texts
+hashed = pa.Table.from_batches(sd._hash_runs(1)(docs.select(["run", "text"]).to_batches()))
+answers = sd._answer(hashed)
+made = sd._sort_run(types.SimpleNamespace(value=np.empty(0, f"S{{sd.HEAD}}")))(docs, answers)
+pieces = made.filter(made.column("bucket").is_valid())
+marks = sd._merge(pieces).append_column("row_no", pa.nulls(1, pa.int64())).append_column("holders", pa.nulls(1, pa.binary()))
+held = made.filter(made.column("holders").is_valid()).select(["run", "row_no", "holders"]).append_column("marks", pa.nulls(2, pa.binary()))
+found = pa.concat_tables([held, marks.select(held.column_names)])
+out = sd._cut_run(False)(docs, found).to_pylist()
+assert [sum(r["ends"]) - sum(r["starts"]) for r in out] == [0, 12_000_000], out
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[2], timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout) < 1000
+
+
+def test_anchors_in_pieces(monkeypatch):
+    r = random.Random(8)
+    texts = [bytes(r.choice(b"abc ") for _ in range(r.randint(50, 900))) for _ in range(20)] + [b"x" * 333]
+    whole = [sd.anchors(t) for t in texts]
+    for piece in (1, 7, 26, 100):
+        monkeypatch.setattr(sd, "PIECE", piece)
+        for t, (places, hashes) in zip(texts, whole, strict=True):
+            got = sd.anchors(t)
+            assert got[0].tolist() == places.tolist() and got[1].tolist() == hashes.tolist()
+
+
 def test_repeats_of_odd_rows(spark, small):
     texts = [*TEXTS, TEXTS[0] + " and more", "y" * 49, "y" * 50, "y" * 51]
     assert spans(docs(spark, texts)) == brute(list(enumerate(texts)))
