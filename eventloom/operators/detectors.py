@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators import scoring as s
 from eventloom.operators.forest import Forest, fit_forest, score_forest
+from eventloom.operators.ordered import numbered
 from eventloom.operators.sinks import write_back
 from eventloom.operators.windows import ecdf_risk, rules_for, sequence_rules
 from eventloom.storage import stored
@@ -122,4 +123,5 @@ def parameter_stats(corpus: DataFrame) -> DataFrame:
 
 
 def arrival(df: DataFrame, order: str) -> DataFrame:
-    return df.withColumn("arrival_no", F.row_number().over(Window.partitionBy("sensor_type").orderBy(order)))
+    """Adds each row's place in its stream; a stream of any size is split."""
+    return numbered(df, ["sensor_type"], [order], "arrival_no")

@@ -1,10 +1,12 @@
-"""Interval join and nearest match: the same expressions serve tables and streams."""
+"""Interval join and nearest match: the same expressions serve tables and streams; tables have a linear way as well."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import neighbours
+
 
 def prepare_left(df: DataFrame, id_col: str, ms_col: str, window_ms: int, watermark: str | None = None) -> DataFrame:
     """(aid, a_ms, a_time, bucket): each row goes to the one or two buckets of twice the window that its interval touches."""
@@ -50,6 +52,29 @@ def fuse(left: DataFrame, rights: list[DataFrame], window_ms: int) -> DataFrame:
     return nearest_match(interval_join(left, union_all(rights), window_ms))
 
 
+def nearest_in_order(left: DataFrame, right: DataFrame, window_ms: int) -> DataFrame:
+    """nearest_match of tables without pairs: (aid, a_ms, sid, s_ms, sensor_type, abs_dt) from left (aid, a_ms) and right (sid, s_ms, sensor_type).
+
+    Of right rows of one time the smallest id stands for all, so the nearest is the last row at or before a left row or the
+    first one after it. Both sides go through one order of times, split into ranges even within one time, so the work is
+    linear in their rows however wide the window and however dense a burst. Left rows that repeat are answered each;
+    null times have no partner.
+    """
+    left, right = left.where("a_ms IS NOT NULL"), right.where("s_ms IS NOT NULL")
+    one = right.groupBy("s_ms").agg(F.min(F.struct("sid", "sensor_type")).alias("m"))
+    mark = F.struct("s_ms", F.col("m.sid").alias("sid"), F.col("m.sensor_type").alias("sensor_type"))
+    aid = F.lit(None).cast(left.schema["aid"].dataType).alias("aid")
+    marks = one.select(F.col("s_ms").alias("t"), F.lit(0).alias("side"), aid, mark.alias("mark"))
+    asked = left.select(F.col("a_ms").alias("t"), F.lit(1).alias("side"), "aid", F.lit(None).cast(marks.schema["mark"].dataType).alias("mark"))
+    order = ["t", "side", "aid"]
+    like = asked.select(*order).unionByName(right.select(F.col("s_ms").alias("t"), F.lit(0).alias("side"), aid))
+    rows = neighbours(asked.unionByName(marks), order, "mark", "before", "after", like).where("side = 1")
+    away = lambda m: F.abs(F.col("t") - F.col(f"{m}.s_ms"))
+    best = rows.withColumn("best", F.when(F.col("after").isNull() | (away("before") <= away("after")), F.col("before")).otherwise(F.col("after")))
+    found = best.select("aid", F.col("t").alias("a_ms"), "best.*", away("best").alias("abs_dt"))
+    return found.where(F.col("abs_dt") <= window_ms).select("aid", "a_ms", "sid", "s_ms", "sensor_type", "abs_dt")
+
+
 def match_rate(fused: DataFrame, left: DataFrame) -> DataFrame:
     """(matched, total, rate); rows without a partner are no loss, only no match."""
     return fused.agg(F.count(F.lit(1)).alias("matched")).crossJoin(left.agg(F.count(F.lit(1)).alias("total"))).withColumn("rate", F.try_divide("matched", "total"))

@@ -81,7 +81,8 @@ def alignment_summary(df: DataFrame, dt: str, window_ms: int) -> DataFrame:
     Percentiles take exact ranks of value counts: one row for each distinct distance, never a list of all samples.
     """
     counts = df.groupBy(F.col(dt).alias("dt")).agg(F.count(F.lit(1)).alias("here"))
-    ordered = counts.withColumns({"upto": F.sum("here").over(Window.orderBy("dt")), "n": F.sum("here").over(Window.partitionBy())})
+    total = counts.agg(F.sum("here").alias("n"))  # one row
+    ordered = running_sum(counts, [], "dt", {"upto": "here"}).crossJoin(F.broadcast(total))
     at = lambda p: F.min(F.when(F.col("upto") > F.bround(F.lit(p) * (F.col("n") - 1)), F.col("dt")))
     within = lambda c: F.coalesce(F.sum(F.when(c, F.col("here"))), F.lit(0))
     return ordered.agg(

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from eventloom.functions.scalars import time_bucket
-from eventloom.operators.fusion import interval_join, match_rate, payload_audit, prepare_left, prepare_right, union_all
+from eventloom.operators.fusion import interval_join, match_rate, nearest_in_order, payload_audit, prepare_left, prepare_right, union_all
+from eventloom.operators.ordered import numbered
 from eventloom.operators.ordering import page, pooled, recent, strata_left, top_features
 from eventloom.operators.scoring import stratified_split
 from eventloom.operators.sinks import insert_ignore, promote, write_back
-from eventloom.operators.windows import ecdf_risk, inter_arrival, lateness, latest, rolling_rate, rules_for, sequence_rules
+from eventloom.operators.windows import ecdf_risk, inter_arrival, lateness, latest, rolling_rate, rules_for, sequence_rules, sliding_counts
 from eventloom.sources.files import decode_json, events, replay, table
 
 from . import views as v
@@ -35,6 +36,25 @@ def _(spark, sf):
     return v.fused(spark, sf)
 
 
+#: Lines of an order against all orders within three days: some hundred pairs for each line at 0.1 of the scale, and no pair is made.
+DENSE = """
+    l AS (SELECT l_orderkey * 8 + l_linenumber AS aid, epoch_ms(l_shipdate) + l_orderkey * 7 % 24 * 3600000 AS a_ms FROM lineitem),
+    o AS (SELECT epoch_ms(o_orderdate) + o_orderkey % 24 * 3600000 AS s_ms, min(o_orderkey) AS sid FROM orders GROUP BY 1),
+    low AS (SELECT aid, a_ms, sid, s_ms FROM l ASOF LEFT JOIN o ON a_ms >= s_ms),
+    d AS (SELECT DISTINCT a_ms FROM l),
+    high AS (SELECT a_ms, sid, s_ms FROM d ASOF JOIN o ON a_ms < s_ms),
+    best AS (SELECT low.aid, low.a_ms, low.s_ms IS NOT NULL AND (high.s_ms IS NULL OR low.a_ms - low.s_ms <= high.s_ms - low.a_ms) AS first, low.sid AS sid0, low.s_ms AS s0, high.sid AS sid1, high.s_ms AS s1 FROM low LEFT JOIN high ON low.a_ms = high.a_ms)"""
+
+
+@query("fusion_nearest_dense", f"WITH {DENSE} SELECT aid, a_ms, CASE WHEN first THEN sid0 ELSE sid1 END AS sid, CASE WHEN first THEN s0 ELSE s1 END AS s_ms, abs(CASE WHEN first THEN s0 ELSE s1 END - a_ms) AS abs_dt FROM best WHERE abs(CASE WHEN first THEN s0 ELSE s1 END - a_ms) <= 259200000")
+def _(spark, sf):
+    hour = 3_600_000
+    at = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
+    left = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("aid"), (at("l_shipdate") + F.col("l_orderkey") * 7 % 24 * hour).alias("a_ms"))
+    right = v.orders(spark, sf).select(F.col("o_orderkey").alias("sid"), (at("o_orderdate") + F.col("o_orderkey") % 24 * hour).alias("s_ms"), F.lit("order").alias("sensor_type"))
+    return nearest_in_order(left, right, 72 * hour).drop("sensor_type")
+
+
 @query("interval_pairs", f"WITH {FUSED} SELECT aid, sid, a_ms, s_ms, sensor_type FROM pairs")
 def _(spark, sf):
     left, right = v.sides(spark, sf)
@@ -163,7 +183,7 @@ def _(spark, sf):
     fused = v.fused(spark, sf).withColumnsRenamed({"a_ms": "timestamp_ms", "sid": "sensor_event_id"})
     span = fused.agg(F.min("timestamp_ms").alias("lo"), F.max("timestamp_ms").alias("hi"))
     around = events(spark, sf).join(F.broadcast(span), (F.col("ms") >= F.col("lo") - 60_000) & (F.col("ms") <= F.col("hi"))).drop("lo", "hi")
-    stream = around.withColumn("seq", F.row_number().over(Window.partitionBy("user_id").orderBy("ms", "event_id")) * (1 + F.col("event_id") % 2))
+    stream = numbered(around, ["user_id"], ["ms", "event_id"], "seq").withColumn("seq", F.col("seq") * (1 + F.col("event_id") % 2))
     return rules_for(fused, stream, "user_id", "seq", "ms").select("aid", F.col("sensor_event_id").alias("sid"), "rule")
 
 
@@ -186,8 +206,8 @@ def _(spark, sf):
 
 @query("sliding_rate", f"WITH {E}, k AS (SELECT ms, unnest(range(0, 60)) AS i FROM e WHERE event_type = 'error') SELECT make_timestamp(((ms // 1000) - i) * 1000000) AS window_start, count(*) AS n FROM k GROUP BY 1")
 def _(spark, sf):
-    e = events(spark, sf).where("event_type = 'error'").select(F.timestamp_millis("ms").alias("t"))
-    return e.groupBy(F.window("t", "60 seconds", "1 second")).agg(F.count(F.lit(1)).alias("n")).select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n")
+    e = events(spark, sf).where("event_type = 'error'")
+    return sliding_counts(e, "ms").select(F.timestamp_seconds("window_start_s").cast("timestamp_ntz").alias("window_start"), "n")
 
 
 @query("inter_arrival", f"WITH {E} SELECT event_id, ms - lag(ms) OVER (PARTITION BY event_type ORDER BY ms, event_id) AS gap_ms FROM e")
@@ -202,7 +222,7 @@ def _(spark, sf):
 
 @query("arrival_order", f"WITH {E} SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS arrival_no FROM e")
 def _(spark, sf):
-    return events(spark, sf).select("event_id", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")).cast("bigint").alias("arrival_no"))
+    return numbered(events(spark, sf), ["event_type"], ["event_id"], "arrival_no").select("event_id", "arrival_no")
 
 
 # Order, pages, sets.

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventloom.operators import ordered as in_order
 from eventloom.schemas import SENSOR_EVENT, SENSOR_TYPES
 
 RATE, INTERVAL_MS = 0.03, 1000
@@ -136,8 +137,8 @@ def generate_stream(spark: SparkSession, kind: str, per_second: int, base_ms: in
 
 
 def numbered(df: DataFrame, device: str, order: str) -> DataFrame:
-    """A sequence of its own for each device."""
-    return df.withColumn("sequence_number", F.row_number().over(Window.partitionBy(device).orderBy(order)).cast("bigint"))
+    """A sequence of its own for each device, of any size."""
+    return in_order.numbered(df, [device], [order], "sequence_number")
 
 
 def inject_lateness(df: DataFrame, ms: str, id_col: str, share: float, least_ms: int, most_ms: int, buffer: int = 0, seed: int = 42) -> DataFrame:
