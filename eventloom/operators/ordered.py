@@ -8,7 +8,7 @@ for each key that goes on from an earlier range. A row is shuffled once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -16,32 +16,32 @@ from pyspark.sql.types import ArrayType, StructType
 ROWS_PER_RANGE, LEAST_RANGES, MOST_RANGES, SAMPLED = 1_000_000, 64, 16_384, 32
 
 
-def _bounds(df: DataFrame, columns: list[str], ranges: int, rows: int) -> Column | None:
-    """Rows that part the order of the columns into ranges, as a constant array; None if there are too few rows for any."""
-    share = min(1.0, SAMPLED * ranges / max(1, rows))
-    kept = df.select(*columns)
-    sample = kept.sample(share, 1) if share < 1 else kept
-    # SAMPLED * MOST_RANGES short rows at most.
-    seen = [r[0] for r in sample.orderBy(*columns).select(F.to_json(F.struct(*columns))).collect()]
-    picked = list(dict.fromkeys(seen[len(seen) * k // ranges] for k in range(1, ranges))) if seen else []
-    return F.from_json(F.lit(f"[{','.join(picked)}]"), ArrayType(StructType([kept.schema[c] for c in columns]))) if picked else None
+def _sample(df: DataFrame, columns: list[str], most: int) -> tuple[list[str], int]:
+    """So many rows at most, drawn evenly, in order and as JSON; and how many rows there are. One pass, some thousand short rows."""
+    seen = Observation()
+    drawn = df.select(*columns).observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("__draw", F.rand(1)).orderBy("__draw").limit(most)
+    rows = drawn.sortWithinPartitions(*columns).select(F.to_json(F.struct(*columns))).collect()  # a limit leaves one partition
+    return [r[0] for r in rows], seen.get["rows"]
 
 
-def placed(df: DataFrame, columns: list[str], like: DataFrame | None = None, least: int = LEAST_RANGES) -> DataFrame:
-    """Adds __range: which range of the order of the columns (nulls first) a row is in.
+def placed(df: DataFrame, columns: list[str], like: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """df with __range, the range of the order of the columns (nulls first) that a row is in, and the number of ranges.
 
-    df, or a cheaper table like it, is read twice more for that, by these columns only.
+    df, or a cheaper table like it, is read once more for that, by these columns only (twice, if it has very many rows).
     """
     like = df if like is None else like
-    rows = like.count()
-    ranges = max(least, min(MOST_RANGES, -(-rows // ROWS_PER_RANGE)))
-    bounds = _bounds(like, columns, ranges, rows)
-    if bounds is None:
-        return df.withColumn("__range", F.lit(0))
-    own, steps = F.struct(*columns), [1 << k for k in reversed(range(ranges.bit_length()))]
+    sample, rows = _sample(like, columns, SAMPLED * LEAST_RANGES)
+    ranges = max(LEAST_RANGES, min(MOST_RANGES, -(-rows // ROWS_PER_RANGE)))
+    if ranges > LEAST_RANGES and rows > len(sample):
+        sample, _ = _sample(like, columns, SAMPLED * ranges)
+    picked = list(dict.fromkeys(sample[len(sample) * k // ranges] for k in range(1, ranges))) if sample else []
+    if not picked:
+        return df.withColumn("__range", F.lit(0)), 1
+    bounds = F.from_json(F.lit(f"[{','.join(picked)}]"), ArrayType(StructType([like.schema[c] for c in columns])))
+    own, steps = F.struct(*columns), [1 << k for k in reversed(range(len(picked).bit_length()))]
     # How many bounds are at or below the row, by binary search; past the end there is none.
     at = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda i, s: i + F.when(F.get(bounds, i + s - 1) <= own, s).otherwise(0))
-    return df.withColumn("__range", at)
+    return df.withColumn("__range", at), len(picked) + 1
 
 
 def _same_type(df: DataFrame, names: dict[str, Column]) -> list[Column]:
@@ -62,7 +62,7 @@ def lagged(df: DataFrame, by: list[str], order: list[str], values: dict[str, str
     Nulls come first in the order; a null key is a key. Rows that are equal in all of the order come in any order. An empty
     table stays empty.
     """
-    rows = placed(df, [*by, *order])
+    rows, _ = placed(df, [*by, *order])
     names = [f"__v{k}" for k in range(len(values))]
     rows = rows.withColumns(dict(zip(names, (F.col(c) for c in values.values()), strict=True)))
     last = F.max_by(F.struct(*names), F.struct(*order))
@@ -76,7 +76,7 @@ def lagged(df: DataFrame, by: list[str], order: list[str], values: dict[str, str
 
 def numbered(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
     """Adds each row's number, from 1, in the order within its key; rows that are equal in all of the order get theirs in any order."""
-    rows = placed(df, [*by, *order])
+    rows, _ = placed(df, [*by, *order])
     before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     carry = _carried(rows, by, F.count(F.lit(1)), F.sum("__own").over(before))
     front = carry.select(*_same_type(rows, {"__range": F.col("__range")} | {c: F.col(c) for c in by}), F.lit(True).alias("__front"), F.col("__carry").alias("__n"))
@@ -90,14 +90,15 @@ def neighbours(df: DataFrame, order: list[str], mark: str, before: str, after: s
 
     order must tell any two rows with a mark apart; mark is of any type. What a range hears of the others is a row from either side.
     """
-    rows = placed(df, order, like)
+    rows, ranges = placed(df, order, like)
     own = rows.where(F.col(mark).isNotNull()).groupBy("__range").agg(F.max_by(mark, F.struct(*order)).alias("__last"), F.min_by(mark, F.struct(*order)).alias("__first"))
-    every = rows.select("__range").distinct().join(own, "__range", "left")  # a row for each range
-    up, down = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("__range").rowsBetween(1, Window.unboundedFollowing)
-    heard = every.select("__range", F.last("__last", True).over(up).alias("__l"), F.first("__first", True).over(down).alias("__f"))
+    every = df.sparkSession.range(ranges).select(F.col("id").cast("int").alias("__range")).join(F.broadcast(own), "__range", "left")  # a row for each range
+    # What follows is what comes before in the other direction: a frame that ends with the last row is summed up anew for each row.
+    up, down = (Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1) for c in (F.asc("__range"), F.desc("__range")))
+    heard = every.select("__range", F.last("__last", True).over(up).alias("__l"), F.last("__first", True).over(down).alias("__f"))
     ends = heard.select("__range", F.explode(F.array(F.struct(F.lit(0).alias("place"), F.col("__l").alias("m")), F.struct(F.lit(2).alias("place"), F.col("__f").alias("m")))).alias("e")).where("e.m IS NOT NULL")
     both = rows.withColumn("__place", F.lit(1)).unionByName(ends.select(*_same_type(rows, {"__range": F.col("__range"), mark: F.col("e.m")}), F.col("e.place").alias("__place")))
-    w = Window.partitionBy("__range").orderBy("__place", *order)
+    w, back = Window.partitionBy("__range").orderBy("__place", *order), Window.partitionBy("__range").orderBy(F.desc("__place"), *[F.desc(c) for c in order])
     last = F.last(mark, True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    first = F.first(mark, True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    first = F.last(mark, True).over(back.rowsBetween(Window.unboundedPreceding, -1))
     return both.withColumns({before: last, after: first}).where("__place = 1").select(*df.columns, before, after)

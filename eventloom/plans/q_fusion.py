@@ -32,6 +32,14 @@ def query(name: str, sql: str | None = None):
 
 
 @query("fusion_nearest", f"WITH {FUSED} SELECT aid, a_ms, sid, s_ms, sensor_type, abs_dt FROM fused")
+def _(spark, sf):
+    e = events(spark, sf)
+    left = e.where(F.col("event_type") == v.LEFT).select(F.col("event_id").alias("aid"), F.col("ms").alias("a_ms"))
+    right = e.where(F.col("event_type").isin(*v.RIGHTS)).select(F.col("event_id").alias("sid"), F.col("ms").alias("s_ms"), F.col("event_type").alias("sensor_type"))
+    return nearest_in_order(left, right, WINDOW_MS)
+
+
+@query("fusion_nearest_pairs", f"WITH {FUSED} SELECT aid, a_ms, sid, s_ms, sensor_type, abs_dt FROM fused")
 def _(spark, sf):
     return v.fused(spark, sf)
 
