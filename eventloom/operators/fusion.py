@@ -34,11 +34,14 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def interval_join(left: DataFrame, right: DataFrame, window_ms: int) -> DataFrame:
-    """All pairs at most window_ms apart, ends included, each once: an equi-join on buckets, so that it shuffles by key."""
+def interval_join(left: DataFrame, right: DataFrame, window_ms: int, how: str = "inner") -> DataFrame:
+    """All pairs at most window_ms apart, ends included, each once: an equi-join on buckets, so that it shuffles by key.
+
+    With left_outer each of a left row's buckets without a partner gives a row of nulls; nearest_or_none puts them together.
+    """
     reach = F.expr(f"INTERVAL {window_ms} MILLISECONDS")
     near = (F.col("s_time") >= F.col("a_time") - reach) & (F.col("s_time") <= F.col("a_time") + reach)
-    return left.join(right, (F.col("bucket") == F.col("s_bucket")) & near)
+    return left.join(right, (F.col("bucket") == F.col("s_bucket")) & near, how)
 
 
 def nearest_match(pairs: DataFrame) -> DataFrame:
@@ -48,6 +51,13 @@ def nearest_match(pairs: DataFrame) -> DataFrame:
     return best.select("aid", "a_ms", F.col("best.sid").alias("sid"), F.col("best.s_ms").alias("s_ms"), F.col("best.sensor_type").alias("sensor_type"), F.col("best.abs_dt").alias("abs_dt"))
 
 
+def nearest_or_none(pairs: DataFrame) -> DataFrame:
+    """nearest_match of an outer join: left rows without a partner stay, with nulls."""
+    order = F.struct(F.abs(F.col("s_ms") - F.col("a_ms")).alias("abs_dt"), F.col("s_ms"), F.col("sid"), F.col("sensor_type"))
+    best = pairs.groupBy("aid", "a_ms", "a_time").agg(F.min(F.when(F.col("sid").isNotNull(), order)).alias("best"))
+    return best.select("aid", "a_ms", "best.sid", "best.s_ms", "best.sensor_type", "best.abs_dt")
+
+
 def fuse(left: DataFrame, rights: list[DataFrame], window_ms: int) -> DataFrame:
     return nearest_match(interval_join(left, union_all(rights), window_ms))
 

@@ -8,8 +8,10 @@ from eventloom.functions.scalars import event_ms
 from eventloom.operators.validation import enforce
 from eventloom.schemas import FUSED_EVENT, SENSOR_EVENT
 from eventloom.sources.files import events, table
+from eventloom.session import state_beyond_memory
 from eventloom.storage import fresh_path
 from eventloom.streaming import queries as st
+from eventloom.streaming import state as keyed
 
 from . import views as v
 from .views import E
@@ -85,8 +87,8 @@ def _(spark, sf):
     return spark.read.option("recursiveFileLookup", "true").parquet(out).select("event_id", "schema_version", "load_status")
 
 
-def with_flush(spark, sf):
-    """The events as a stream of files, and after them rows of every type 60, 120 and 180 s past the end, one file each.
+def with_flush(spark, sf, step_s: int = 60):
+    """The events as a stream of files, and after them rows of every type one, two and three steps past the end, one file each.
 
     Matches come out once the slowest stream's watermark has passed them, so without later rows the last would be held back.
     """
@@ -96,7 +98,7 @@ def with_flush(spark, sf):
     kinds = [v.LEFT, *v.RIGHTS]
     for k in (1, 2, 3):
         rows = [(-(100 * k + i), kind) for i, kind in enumerate(kinds)]
-        flush = spark.createDataFrame(rows, "event_id long, event_type string").withColumns({"ts": F.lit(top).cast("timestamp_ntz") + F.expr(f"INTERVAL {60 * k} SECONDS")})
+        flush = spark.createDataFrame(rows, "event_id long, event_type string").withColumns({"ts": F.lit(top).cast("timestamp_ntz") + F.expr(f"INTERVAL {step_s * k} SECONDS")})
         flush.select(*[F.col(f.name) if f.name in flush.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in raw.schema]).coalesce(1).write.mode("append").parquet(folder)
     source = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     return source.select("event_id", event_ms(F.col("ts")).alias("ms"), F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
@@ -118,3 +120,59 @@ def _(spark, sf):
     out = fresh_path(spark, "dedup")
     to_end(st.deduplicated(e.unionByName(e), "event_id", "ts").writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_path(spark, "cp")).trigger(availableNow=True).start())
     return spark.read.parquet(out).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def outer_matches(spark, sf):
+    """What the outer fusion of the events has written: matched and unmatched rows, and the rate of each batch."""
+    e = with_flush(spark, sf, 2 * v.WINDOW_MS // 1000)  # a row without a partner waits until its whole window has passed
+    rows = st.fusion_outer_stream(e.where(F.col("event_type") == v.LEFT), {k: e.where(F.col("event_type") == k) for k in v.RIGHTS}, v.WINDOW_MS)
+    out, rates = fresh_path(spark, "outer"), fresh_path(spark, "rates")
+    with state_beyond_memory(spark):
+        to_end(st.write_match_rate(rows, out, rates, fresh_path(spark, "cp"), trigger={"availableNow": True}, name=f"rate-{out[-8:]}"))
+    found = spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(out)
+    return found.where("aid >= 0"), spark.read.option("recursiveFileLookup", "true").parquet(rates)
+
+
+@query("stream_match_rate", f"WITH {v.FUSED} SELECT (SELECT count(*) FROM fused) AS matched, (SELECT count(*) FROM a) AS total, (SELECT count(*) FROM fused) / (SELECT count(*) FROM a) AS rate, true AS batches_add_up")
+def _(spark, sf):
+    rows, rates = outer_matches(spark, sf)
+    found = rows.agg(F.count("sid").alias("matched"), F.count(F.lit(1)).alias("total"))
+    # Flush rows are in the batches' counts too: some of them have partners, all have a place.
+    summed = rates.agg(F.sum("matched").alias("m"), F.sum("total").alias("t"))
+    added = found.crossJoin(F.broadcast(summed))  # two single rows
+    return added.select("matched", "total", F.try_divide("matched", "total").alias("rate"), F.col("t").between(F.col("total"), F.col("total") + 3).alias("batches_add_up"))
+
+
+@query("stream_unmatched", f"WITH {v.FUSED} SELECT aid, a_ms FROM a WHERE aid NOT IN (SELECT aid FROM fused)")
+def _(spark, sf):
+    return outer_matches(spark, sf)[0].where("sid IS NULL").select("aid", "a_ms")
+
+
+def restarted(spark, rows, order, parts: int, start, flush=None):
+    """What start (stream, folder, checkpoint) writes of rows that come in files in an order, one a batch, with a restart half way."""
+    folder, out, checkpoint = (fresh_path(spark, n) for n in ("files", "out", "cp"))
+    cuts = rows.agg(F.percentile_approx(order, [k / parts for k in range(1, parts)], 10_000)).first()[0]
+    files = [rows.where((order > low if low is not None else F.lit(True)) & (order <= high if high is not None else F.lit(True))) for low, high in zip([None, *cuts], [*cuts, None], strict=True)]
+    for k, part in enumerate([*files, *([flush] if flush is not None else [])]):
+        part.select(*rows.columns).coalesce(1).write.mode("append").parquet(folder)
+        if k in (parts // 2, parts - 1 + (flush is not None)):
+            source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+            with state_beyond_memory(spark):
+                to_end(start(source).writeStream.queryName(f"{out[-12:]}-{k}").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return spark.read.parquet(out)
+
+
+@query("stream_sequence_rules", f"WITH {E} SELECT CAST(event_id AS VARCHAR) AS id, user_id AS device, CASE WHEN event_id - lag(event_id) OVER w > 1 THEN 'sequence_gap' WHEN ms - lag(ms) OVER w <= 0 THEN 'timestamp_not_advancing' END AS rule FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ms, event_id)")
+def _(spark, sf):
+    # Rows arrive up to an hour out of order, in four batches, with a restart after the third; a last row far ahead lets all come out.
+    e = events(spark, sf).select("event_id", "user_id", "ms")
+    arrival = F.col("ms") + F.col("event_id") * 7919 % 3_600_000
+    flush = e.agg(F.lit(-1).cast("long").alias("event_id"), F.lit(-1).cast("long").alias("user_id"), (F.max("ms") + 10 * 86_400_000).alias("ms"))
+    made = restarted(spark, e, arrival, 4, lambda s: keyed.sequence_rule_stream(s, "user_id", "event_id", "event_id", "ms", "2 hours"), flush)
+    return made.where("device >= 0").select("id", "device", "rule")
+
+
+@query("stream_lateness", f"WITH {E}, j AS (SELECT *, ms - (event_id * 7919 % 20000) AS t, max(ms - (event_id * 7919 % 20000)) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM e) SELECT CAST(event_id AS VARCHAR) AS id, event_type AS stream, CASE WHEN high IS NULL OR t > high THEN 'on_time' WHEN high - t >= 5000 THEN 'late_beyond' ELSE 'late_tolerated' END AS lateness FROM j")
+def _(spark, sf):
+    e = events(spark, sf).select("event_id", "event_type", (F.col("ms") - F.col("event_id") * 7919 % 20_000).alias("t"))
+    return restarted(spark, e, F.col("event_id"), 4, lambda s: keyed.lateness_stream(s, "event_type", "event_id", "t", "event_id"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from eventloom.operators.fusion import interval_join, nearest_match, prepare_left, prepare_right, union_all
+from eventloom.operators.fusion import interval_join, nearest_match, nearest_or_none, prepare_left, prepare_right, union_all
 from eventloom.operators.sinks import append_alignment_log, append_ignore, fused_rows, heartbeats, with_audit
 from eventloom.operators.validation import Enforced
 from eventloom.storage import path_exists
@@ -40,6 +41,25 @@ def fusion_stream(left: DataFrame, rights: dict[str, DataFrame], window_ms: int,
     return nearest_match(interval_join(a, s, window_ms))
 
 
+def fusion_outer_stream(left: DataFrame, rights: dict[str, DataFrame], window_ms: int, watermark: str = WATERMARK, id_col: str = "event_id", ms_col: str = "ms") -> DataFrame:
+    """The same with left rows that found no partner: these have nulls, and come once every watermark has passed their window."""
+    a = prepare_left(left, id_col, ms_col, window_ms, watermark)
+    s = union_all([prepare_right(df, id_col, ms_col, kind, window_ms, watermark) for kind, df in rights.items()])
+    return nearest_or_none(interval_join(a, s, window_ms, "left_outer"))
+
+
+def write_match_rate(matches: DataFrame, path: str, rate_path: str, checkpoint: str, trigger: dict | None = None, name: str = "match_rate") -> StreamingQuery:
+    """Writes matched and unmatched left rows, and for each batch that isn't empty how many were matched; a retry writes over itself."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        written = df.sparkSession.read.schema(df.schema).parquet(f"{path}/batch={number}")
+        counts = written.agg(F.count("sid").alias("matched"), F.count(F.lit(1)).alias("total")).where("total > 0")
+        counts.withColumn("rate", F.col("matched") / F.col("total")).write.mode("overwrite").parquet(f"{rate_path}/batch={number}")
+
+    return matches.writeStream.queryName(name).outputMode("append").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": TRIGGER})).start()
+
+
 def deduplicated(stream: DataFrame, id_col: str, ts: str, within: str = "10 seconds") -> DataFrame:
     return stream.where(F.col(id_col).isNotNull()).withWatermark(ts, within).dropDuplicatesWithinWatermark([id_col])
 
@@ -117,8 +137,22 @@ def dropped_rows(query: StreamingQuery) -> int:
     return sum(s.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for s in p.get("stateOperators", []))
 
 
-def run_all(spark: SparkSession, queries: list[StreamingQuery], stop: threading.Event, poll_s: float = 1.0) -> dict[str, str]:
-    """Waits until stop is set or every query has ended; one that fails leaves the others running. Returns failures by name.
+def drain(query: StreamingQuery, wait_s: float = 60.0) -> bool:
+    """Stops a query between two batches, so that a running one ends and is committed; True if it did within wait_s.
+
+    A batch that takes longer than that is interrupted, and done again by the next start.
+    """
+    end, between = time.monotonic() + wait_s, False
+    while not between and time.monotonic() < end:
+        between = not query.isActive or not query.status["isTriggerActive"]
+        if not between:
+            time.sleep(0.002)
+    query.stop()
+    return between
+
+
+def run_all(spark: SparkSession, queries: list[StreamingQuery], stop: threading.Event, poll_s: float = 1.0, drain_s: float = 60.0) -> dict[str, str]:
+    """Waits until stop is set or every query has ended; one that fails leaves the others running, running batches end first.
 
     A failure is raised at the end, so that the process doesn't end as if all were well.
     """
@@ -132,7 +166,7 @@ def run_all(spark: SparkSession, queries: list[StreamingQuery], stop: threading.
                     failed[q.name or str(q.id)] = str(q.exception())
                 spark.streams.resetTerminated()
         stop.wait(poll_s)
-    threads = [threading.Thread(target=q.stop) for q in active]
+    threads = [threading.Thread(target=drain, args=(q, drain_s)) for q in active]
     for t in threads:
         t.start()
     for t in threads:
