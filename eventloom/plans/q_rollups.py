@@ -140,10 +140,22 @@ def _(spark, sf):
     return r.alarm_sources(events(spark, sf).withColumn("why", why), "why", F.col("event_type") == "error")
 
 
-@query("bootstrap_interval")
+BOOTSTRAP = f"""
+    WITH {E}, b AS (SELECT CAST(event_type = 'error' AS INTEGER) AS truth, CAST(value > 60 AS INTEGER) AS flagged, user_id % 3 AS g, md5('42:' || event_id) AS h FROM e),
+    k AS (SELECT truth, flagged, g, CAST('0x' || substr(h, 1, 7) AS BIGINT) AS k1, CAST('0x' || substr(h, 8, 7) AS BIGINT) AS k2, CAST('0x' || substr(h, 15, 7) AS BIGINT) AS k3 FROM b),
+    x AS (SELECT truth, flagged, g, draw, k3, (k1 + (draw + 1) * k2) % {r.PRIME} AS x FROM k, (SELECT unnest(range(200)) AS draw)),
+    y AS (SELECT *, (x * x % {r.PRIME} * 48271 + k3) % {r.PRIME} AS y FROM x),
+    p AS (SELECT *, floor((y * y + x) % {r.PRIME} * 100000000 / {r.PRIME}) AS point FROM y),
+    w AS (SELECT *, {" + ".join(f"CAST(point >= {t} AS INTEGER)" for t in r.POISSON)} AS w FROM p),
+    s AS (SELECT g, draw, sum(CASE WHEN truth = 1 AND flagged = 1 THEN w ELSE 0 END) AS tp, sum(CASE WHEN truth = 1 THEN w ELSE 0 END) AS pos, sum(CASE WHEN truth = 0 AND flagged = 1 THEN w ELSE 0 END) AS fp, sum(CASE WHEN truth = 0 THEN w ELSE 0 END) AS neg FROM w GROUP BY 1, 2),
+    ends AS (SELECT g, tp / pos AS recall, fp / neg AS fpr FROM s WHERE pos > 0 AND neg > 0)
+    SELECT g, round(quantile_cont(recall, 0.025), 9) AS recall_low, round(quantile_cont(recall, 0.975), 9) AS recall_high, round(quantile_cont(fpr, 0.025), 9) AS fpr_low, round(quantile_cont(fpr, 0.975), 9) AS fpr_high FROM ends GROUP BY 1"""
+
+
+@query("bootstrap_interval", BOOTSTRAP)
 def _(spark, sf):
-    e = events(spark, sf).select((F.col("event_type") == "error").cast("int").alias("truth"), (F.col("value") > 60).cast("int").alias("flagged"), (F.col("user_id") % 3).alias("g"))
-    return r.bootstrap_interval(e, "truth", "flagged", "g")
+    e = events(spark, sf).select("event_id", (F.col("event_type") == "error").cast("int").alias("truth"), (F.col("value") > 60).cast("int").alias("flagged"), (F.col("user_id") % 3).alias("g"))
+    return rounded(r.bootstrap_interval(e, "truth", "flagged", "g", "event_id"), "recall_low", "recall_high", "fpr_low", "fpr_high")
 
 
 @query("group_counts", "SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2 ORDER BY 3 DESC")
@@ -156,10 +168,11 @@ def _(spark, sf):
     return rounded(v.scored(spark, sf).groupBy("user_id").agg(F.count_if(F.col("anomaly_label") == 1).alias("anomalies"), F.avg(F.when(F.col("anomaly_label") == 0, F.col("risk_score"))).alias("normal_risk"), F.count("anomaly_label").alias("labelled")), "normal_risk")
 
 
-@query("perf_sketch")
+# Hours of this table hold few enough rows for a sketch to keep them all, so its percentile is the exact one of inclusive rank.
+@query("perf_sketch", f"WITH {SCORED} SELECT timestamp_ms // {HOUR} * {HOUR} AS bucket, sensor_type, count(*) AS event_count, list_sort(list(latency_ms))[CAST(ceil(0.95 * count(*)) AS INTEGER)] AS p95, round(avg(data_loss_pct), 9) AS avg_data_loss FROM scored GROUP BY 1, 2")
 def _(spark, sf):
     rollup = r.perf_sketch(v.scored(spark, sf), "timestamp_ms", "sensor_type", "latency_ms", "data_loss_pct", HOUR)
-    return rollup.select("bucket", "sensor_type", "event_count", r.sketch_quantile(F.col("latency_sketch"), 0.95).alias("p95"), "avg_data_loss")
+    return rounded(rollup.select("bucket", "sensor_type", "event_count", r.sketch_quantile(F.col("latency_sketch"), 0.95).alias("p95"), "avg_data_loss"), "avg_data_loss")
 
 
 @query("sketch_rollup", f"WITH {SCORED}, x AS (SELECT sensor_type, count(*) AS event_count FROM scored GROUP BY 1) SELECT sensor_type, event_count, true AS close FROM x")

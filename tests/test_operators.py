@@ -205,3 +205,23 @@ def test_forest():
     assert far > 0.65 > 0.5 > near and mean_depth(2) == 1 and mean_depth(1) == 0
     with pytest.raises(ValueError, match="expects"):
         Forest.from_json(forest.to_json(), "other")
+
+
+def test_bootstrap_covers_the_rates(spark):
+    """Poisson weights have mean and variance 1, and the intervals of recall and false alarms are those of resampling."""
+    import numpy as np
+    from eventloom.operators.rollups import bootstrap_interval, poisson_weight
+
+    ids = spark.range(3000).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(19))))
+    w = ids.select(poisson_weight("id", F.col("draw")).alias("w")).agg(F.avg("w"), F.var_pop("w"), F.max("w")).first()
+    assert abs(w[0] - 1) < 0.02 and abs(w[1] - 1) < 0.04 and 5 <= w[2] <= 11
+    rows = [(i, i % 3 == 0, (i % 3 == 0) == (i % 7 < 5), "g") for i in range(900)] + [(i, True, True, "one class") for i in range(5)]
+    df = spark.createDataFrame([(i, int(t), int(f), g) for i, t, f, g in rows], "id long, t int, f int, g string")
+    got = {r.g: r for r in bootstrap_interval(df, "t", "f", "g", "id").collect()}
+    t, f = np.array([r[1] for r in rows[:900]]), np.array([r[2] for r in rows[:900]])
+    rng = np.random.default_rng(1)
+    draws = [rng.integers(0, 900, 900) for _ in range(500)]
+    recall = np.percentile([f[d][t[d]].mean() for d in draws], [2.5, 97.5])
+    fpr = np.percentile([f[d][~t[d]].mean() for d in draws], [2.5, 97.5])
+    assert np.allclose([got["g"].recall_low, got["g"].recall_high, got["g"].fpr_low, got["g"].fpr_high], [*recall, *fpr], atol=0.02)
+    assert got["one class"].recall_low is None
