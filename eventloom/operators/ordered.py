@@ -24,15 +24,16 @@ def _sample(df: DataFrame, columns: list[str], most: int) -> tuple[list[str], in
     return [r[0] for r in rows], seen.get["rows"]
 
 
-def placed(df: DataFrame, columns: list[str], like: DataFrame | None = None) -> tuple[DataFrame, int]:
+def placed(df: DataFrame, columns: list[str], like: DataFrame | None = None, least: int | None = None) -> tuple[DataFrame, int]:
     """df with __range, the range of the order of the columns (nulls first) that a row is in, and the number of ranges.
 
     df, or a cheaper table like it, is read once more for that, by these columns only (twice, if it has very many rows).
+    least is how many ranges even a small table is cut into.
     """
-    like = df if like is None else like
-    sample, rows = _sample(like, columns, SAMPLED * LEAST_RANGES)
-    ranges = max(LEAST_RANGES, min(MOST_RANGES, -(-rows // ROWS_PER_RANGE)))
-    if ranges > LEAST_RANGES and rows > len(sample):
+    like, least = df if like is None else like, least or LEAST_RANGES
+    sample, rows = _sample(like, columns, SAMPLED * least)
+    ranges = max(least, min(MOST_RANGES, -(-rows // ROWS_PER_RANGE)))
+    if ranges > least and rows > len(sample):
         sample, _ = _sample(like, columns, SAMPLED * ranges)
     picked = list(dict.fromkeys(sample[len(sample) * k // ranges] for k in range(1, ranges))) if sample else []
     if not picked:

@@ -1,7 +1,7 @@
 """Running sums and exact percentiles over ordered rows of a group, without any group in one task.
 
-A group's order is cut into ranges at approximate quantiles. Sums run inside each range; what the ranges before it add up
-to is a second, small sum over ranges. The cuts decide how even the work is, never the result.
+All groups' rows go through one order that is cut into ranges (ordered.py), of a million rows at most on average. Sums run
+inside each range, on from what the ranges before it add up to for the group, which comes in front of the range as a row.
 """
 
 from __future__ import annotations
@@ -9,59 +9,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges of each group.
-RANGES = 64
+from eventloom.storage import stored
 
+from .ordered import placed
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Null-safe equality of columns that right has under names with two underscores before them."""
-    ok = F.lit(True)
-    for n in names:
-        ok &= F.col(n).eqNullSafe(F.col(f"__{n}"))
-    return ok
 
-
-def in_ranges(df: DataFrame, by: list[str], order: str, ranges: int = RANGES) -> DataFrame:
-    """Adds __range: the place of each row's range among those of its group; null comes first, NaN last."""
-    parts = [k / ranges for k in range(1, ranges)]
-    cuts = df.groupBy(*by).agg(F.percentile_approx(F.col(order).cast("double"), parts, 1000).alias("__cuts")).select(*[F.col(n).alias(f"__{n}") for n in by], "__cuts")
-    placed = df.join(cuts, _same(df, cuts, by), "left") if by else df.crossJoin(F.broadcast(cuts))
-    at = F.aggregate(F.coalesce("__cuts", F.array().cast("array<double>")), F.lit(0), lambda n, c: n + F.when(F.col(order).cast("double") > c, 1).otherwise(0))
-    return placed.withColumn("__range", F.when(F.col(order).isNull(), -1).otherwise(at)).drop("__cuts", *[f"__{n}" for n in by])
-
-
-def _running(df: DataFrame, by: list[str], order: str, values: dict[str, str], fold, both, last: int, ranges: int) -> DataFrame:
-    """fold over each range up to the last-th row from each one, and over the ranges before; both puts the two together."""
-    placed = in_ranges(df, by, order, ranges)
-    inside = Window.partitionBy(*by, "__range").orderBy(F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, last)
-    folded = placed.withColumns({f"__in_{name}": fold(c).over(inside) for name, c in values.items()})
-    totals = placed.groupBy(*by, "__range").agg(*[fold(c).alias(name) for name, c in values.items()])
-    # A row for each range of each group.
+def _running(df: DataFrame, by: list[str], order: str, values: dict[str, str], fold, last: int, total: str | None = None) -> DataFrame:
+    """fold over a group's rows up to the last-th row from each one; with total, the first value's over the whole group as well."""
+    rows, ranges = placed(df, [*by, order], least=1)
+    if ranges == 1:  # so few rows, over all groups, that one task could hold them
+        own = Window.partitionBy(*by)
+        inside = own.orderBy(F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, last)
+        made = {name: fold(c).over(inside) for name, c in values.items()} | ({total: fold(next(iter(values.values()))).over(own)} if total else {})
+        return df.select(*[c for c in df.columns if c not in made], *[c.alias(n) for n, c in made.items()])
+    names = [f"__v{k}" for k in range(len(values))]
+    own = rows.groupBy("__range", *by).agg(*[fold(c).alias(n) for n, c in zip(names, values.values(), strict=True)])
+    # A row for each range, and one more for each group.
     before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*[F.col(n).alias(f"__{n}") for n in (*by, "__range")], *[fold(name).over(before).alias(f"__off_{name}") for name in values])
-    joined = folded.join(offsets, _same(folded, offsets, [*by, "__range"]), "left")
-    return joined.select(*df.columns, *[both(F.col(f"__in_{name}"), F.col(f"__off_{name}")).alias(name) for name in values])
+    heard = own.select("__range", *by, F.lit(0).alias("__place"), *[fold(n).over(before).alias(n) for n in names], fold(names[0]).over(Window.partitionBy(*by)).alias("__all"))
+    both = rows.select("*", F.lit(1).alias("__place"), *[F.col(c).alias(n) for n, c in zip(names, values.values(), strict=True)]).unionByName(heard, allowMissingColumns=True)
+    inside = Window.partitionBy("__range", *by).orderBy("__place", F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, last)
+    made = {name: fold(n).over(inside) for name, n in zip(values, names, strict=True)} | ({total: F.first("__all").over(inside)} if total else {})
+    return both.withColumns(made).where("__place = 1").select(*[c for c in df.columns if c not in made], *made)
 
 
-def running_sum(df: DataFrame, by: list[str], order: str, values: dict[str, str], ranges: int = RANGES) -> DataFrame:
+def running_sum(df: DataFrame, by: list[str], order: str, values: dict[str, str]) -> DataFrame:
     """Adds, for each (name, column) of values, the sum of the column over the group's rows up to and with each row.
 
     order is a number; rows that share one take an order of their own. Null comes first, NaN last; null values add nothing.
     """
-    return _running(df, by, order, values, F.sum, lambda x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)), Window.currentRow, ranges)
+    made = _running(df, by, order, values, F.sum, Window.currentRow)
+    return made.withColumns({name: F.coalesce(name, F.lit(0)) for name in values})
 
 
-def running_max_before(df: DataFrame, by: list[str], order: str, values: dict[str, str], ranges: int = RANGES) -> DataFrame:
+def running_max_before(df: DataFrame, by: list[str], order: str, values: dict[str, str]) -> DataFrame:
     """The same with the largest value of the rows before each row; null where there is none."""
-    return _running(df, by, order, values, F.max, F.greatest, -1, ranges)
+    return _running(df, by, order, values, F.max, -1)
 
 
-def _ranked_counts(df: DataFrame, by: list[str], value: str, ranges: int) -> DataFrame:
-    """by, __v (distinct values), __upto (rows up to and with it), __total (rows of the group)."""
+def _ranked_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """by, __v (distinct values), __upto (rows up to and with it), __total (rows of the group). Values are counted once and stored."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    upto = running_sum(counts, by, "__v", {"__upto": "__n"}, ranges)
-    sizes = counts.groupBy(*by).agg(F.sum("__n").alias("__total")).select(*[F.col(n).alias(f"__{n}") for n in by], "__total")
-    return upto.join(sizes, _same(upto, sizes, by)) if by else upto.crossJoin(F.broadcast(sizes))
+    return _running(stored(counts, "counts"), by, "__v", {"__upto": "__n"}, F.sum, Window.currentRow, "__total")
 
 
 def _at(rank: Column) -> Column:
@@ -69,19 +58,19 @@ def _at(rank: Column) -> Column:
     return F.min(F.when(F.col("__upto") > rank, F.col("__v")))
 
 
-def nearest_ranks(df: DataFrame, by: list[str], value: str, ps: dict[str, float], ranges: int = RANGES) -> DataFrame:
+def nearest_ranks(df: DataFrame, by: list[str], value: str, ps: dict[str, float]) -> DataFrame:
     """by, and for each (name, p) the value (double) at rank round-half-even(p * (n - 1)); nulls don't count, groups may be of any size."""
-    ranked = _ranked_counts(df, by, value, ranges)
+    ranked = _ranked_counts(df, by, value)
     return ranked.groupBy(*by).agg(*[_at(F.bround(F.lit(p) * (F.col("__total") - 1))).alias(name) for name, p in ps.items()])
 
 
-def percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float], ranges: int = RANGES) -> DataFrame:
+def percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float]) -> DataFrame:
     """by, and for each (name, p) the exact percentile with interpolation, from counts of distinct values; nulls don't count.
 
     Rows meet their group only as counts with map-side combining, so a group may be of any size. Groups without a value
     have no row.
     """
-    ranked, picked = _ranked_counts(df, by, value, ranges), []
+    ranked, picked = _ranked_counts(df, by, value), []
     for name, p in ps.items():
         place = F.lit(p) * (F.col("__total") - 1)
         picked += [_at(F.floor(place)).alias(f"__lo_{name}"), _at(F.ceil(place)).alias(f"__hi_{name}"), F.max(place - F.floor(place)).alias(f"__share_{name}")]

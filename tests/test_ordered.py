@@ -130,3 +130,32 @@ def test_nearest_is_linear_in_a_burst(spark):
 
     walk(df._jdf.queryExecution().executedPlan())
     assert 20_000 <= max(most) <= 4 * 40_000
+
+
+@pytest.mark.parametrize("rows_per_range", [None, 30])
+def test_running_folds_and_percentiles(spark, monkeypatch, rows_per_range):
+    """In one range and in many: sums, largest before, percentiles and ranks of groups of every size, null groups too."""
+    from eventloom.operators.ranked import nearest_ranks, percentiles, running_max_before, running_sum
+
+    if rows_per_range:
+        monkeypatch.setattr(o, "ROWS_PER_RANGE", rows_per_range)
+    r = random.Random(8)
+    rows = [(r.choice(["hot", "hot", None, "a", "b"]), float(i) if i else None, r.choice([None, *range(-9, 9)]), r.choice([None, 1.5, 2.5, float(r.randint(0, 50))])) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, at double, x long, v double").repartition(3)
+    sums, most = {}, {}
+    for g in {k[0] for k in rows}:
+        total, high = 0, None
+        for _, at, x, _ in sorted((k for k in rows if k[0] == g), key=lambda k: (k[1] is not None, k[1] or 0)):
+            most[at] = high
+            total, high = total + (x or 0), x if high is None else high if x is None else max(high, x)
+            sums[at] = total
+    assert {k["at"]: k.s for k in running_sum(df, ["g"], "at", {"s": "x"}).collect()} == sums
+    assert {k["at"]: k.m for k in running_max_before(df, ["g"], "at", {"m": "x"}).collect()} == most
+    import numpy as np
+
+    own = {g: sorted(k[3] for k in rows if k[0] == g and k[3] is not None) for g in {k[0] for k in rows}}
+    got = {k.g: (k.lo, k.hi) for k in percentiles(df, ["g"], "v", {"lo": 0.25, "hi": 0.9}).collect()}
+    assert got.keys() == own.keys() and all(np.allclose(got[g], np.percentile(v, [25, 90])) for g, v in own.items())
+    ranks = {k.g: k.p for k in nearest_ranks(df, ["g"], "v", {"p": 0.9}).collect()}
+    assert ranks == {g: v[round(0.9 * (len(v) - 1))] for g, v in own.items()}
+    assert percentiles(df.where("false"), ["g"], "v", {"p": 0.5}).count() == 0 and percentiles(df, [], "v", {"p": 0.5}).first().p == pytest.approx(np.median([k[3] for k in rows if k[3] is not None]))
