@@ -2,10 +2,13 @@
 
 Candidates are runs of key characters; the smallest alphabet that holds one (hex, base32, base36, base64) is its encoding.
 Each gets three tests of randomness over that encoding's alphabet: chi-squared uniformity of its symbols, runs
-above and below the middle of the alphabet, and lag-1 serial correlation. A string that fails any is not random.
-For the rest the odds of a random string against ordinary ones (common letters, few digits, or the other styles) give a
-p-value, and a Benjamini-Hochberg threshold over all candidates of an encoding and length class says which are reported.
-Longer strings and wider alphabets separate better; the classes keep the others from spending what these earn.
+above and below the middle of the alphabet, and lag-1 serial correlation. Their p-values are combined by Cauchy's rule, which
+holds for tests that depend on each other (runs and serial correlation do, by -0.7).
+
+False discoveries are controlled twice, by Benjamini-Hochberg over all candidates of an encoding and length class, so that longer
+strings and wider alphabets, which separate better, don't pay for the others. First over the battery's p-values: of the
+strings that it finds not to be random, a hundredth may be random ones. Then, over the p-values of ordinary text for what the
+battery leaves: the odds of a random string against ordinary ones (common letters, few digits, or the other styles).
 """
 
 from __future__ import annotations
@@ -69,9 +72,10 @@ def log_odds(alphabet: str) -> list[tuple[list[float], list[float]]]:
     return [odds(*style) for style in (HEX_STYLES if len(alphabet) == 16 else STYLES)]
 
 
-#: A test rejects randomness beyond this many standard deviations, two-sided 0.1 %.
-Z_REJECT = 3.29
-FALSE_DISCOVERIES = 0.01
+#: Share of wrong ones among strings that the battery rejects, and among those that are reported.
+FALSE_REJECTIONS, FALSE_DISCOVERIES = 0.01, 0.01
+#: A test's p-value counts as this at most where it is combined: one perfect fit must not outweigh the other tests.
+LARGEST_P = 0.9
 #: Upper ends of the length classes.
 LENGTH_CLASSES = (24, 32, 40, 64, 1 << 30)
 #: p-values are counted in bins of a 20th of a decade down to 1e-50.
@@ -125,8 +129,24 @@ def infer_encoding(token: Column) -> Column:
     )
 
 
+def two_sided(z: Column) -> Column:
+    """The chance that a normal value is further from 0 than z: the complementary error function by a rational approximation (error 1.5e-7)."""
+    x = F.abs(z) / math.sqrt(2)
+    t = F.lit(1.0) / (x * 0.3275911 + 1)
+    # Fixed values of the approximation.
+    poly = t * (t * (t * (t * (t * 1.061405429 - 1.453152027) + 1.421413741) - 0.284496736) + 0.254829592)
+    return F.least(F.lit(1.0), poly * F.exp(-x * x))
+
+
+def cauchy(ps: list[Column]) -> Column:
+    """One p-value from those of tests that may depend on each other."""
+    mean = sum((F.tan((0.5 - F.least(p, F.lit(LARGEST_P))) * math.pi) for p in ps), F.lit(0.0)) / len(ps)
+    return F.greatest(0.5 - F.atan(mean) / math.pi, F.lit(10.0 ** -MOST_DECADES))
+
+
 def battery(tokens: DataFrame) -> DataFrame:
-    """Adds chi2, runs_z, serial_z, random (passes all three) and p (ordinary text looks this random) to rows with token, encoding."""
+    """Adds to rows with token, encoding: chi2, the z of the three tests, their p-values combined (p_random: a random string
+    looks this unlike one), and p (ordinary text looks this random)."""
     chosen = lambda what: F.coalesce(*[F.when(F.col("encoding") == k, F.lit(what(v))) for k, v in ALPHABETS.items()])
     body = F.translate(F.regexp_replace("token", "=+$", ""), "-_", "+/")
     with_codes = tokens.withColumns({
@@ -163,26 +183,35 @@ def battery(tokens: DataFrame) -> DataFrame:
         "serial_z": F.col("lagged") / (var_code * F.sqrt(n - 1)),
         "chi_z": chi_z,
         "p": F.exp(-F.greatest(odds, F.lit(0.0))),
-    }).withColumn("random", (F.abs("chi_z") <= Z_REJECT) & (F.abs("runs_z") <= Z_REJECT) & (F.abs("serial_z") <= Z_REJECT))
+    }).withColumn("p_random", cauchy([two_sided(F.col(z)) for z in ("chi_z", "runs_z", "serial_z")]))
 
 
 def length_class(n: Column) -> Column:
     return F.coalesce(*[F.when(n <= top, F.lit(c)) for c, top in enumerate(LENGTH_CLASSES)])
 
 
-def discoveries(tested: DataFrame, rate: float = FALSE_DISCOVERIES) -> DataFrame:
-    """Adds found: Benjamini-Hochberg in each length class of each encoding at rate; p-values are ranked by bins, so the table of counts stays small."""
+def passing(rows: DataFrame, p: Column, rate: float, name: str) -> DataFrame:
+    """Adds name: whether p passes Benjamini-Hochberg at rate among the rows of its encoding and length class.
+
+    p-values are ranked by bins, so the table of counts stays small.
+    """
     most = BINS_PER_DECADE * MOST_DECADES
-    # A candidate that fails a test of randomness counts among the candidates of its class with p = 1.
-    p = F.when(F.col("random"), F.greatest(F.col("p"), F.lit(10.0 ** -MOST_DECADES))).otherwise(F.lit(1.0))
-    binned = tested.withColumns({"class": length_class(F.col("n")), "bin": F.floor(-F.log10(p) * BINS_PER_DECADE).cast("int")})
+    lowest = F.greatest(p, F.lit(10.0 ** -MOST_DECADES))
+    binned = rows.withColumns({"class": length_class(F.col("n")), "bin": F.floor(-F.log10(lowest) * BINS_PER_DECADE).cast("int")})
     counts = binned.groupBy("encoding", "class", "bin").agg(F.count(F.lit(1)).alias("here"))  # at most encodings x classes x bins rows
     in_class = Window.partitionBy("encoding", "class")
     ranked = counts.withColumns({"rank": F.sum("here").over(in_class.orderBy(F.desc("bin"))), "m": F.sum("here").over(in_class)})
     # A bin holds p-values up to 10^(-bin / per decade); the least bin whose upper end is below rank / m x rate passes.
     passed = ranked.where(F.pow(F.lit(10.0), -F.col("bin") / BINS_PER_DECADE) <= F.col("rank") / F.col("m") * rate)
     least = passed.groupBy("encoding", "class").agg(F.min("bin").alias("least")).where(F.col("least") <= most)
-    return binned.join(F.broadcast(least), ["encoding", "class"], "left").withColumn("found", F.coalesce(F.col("random") & (F.col("bin") >= F.col("least")), F.lit(False)))
+    return binned.join(F.broadcast(least), ["encoding", "class"], "left").withColumn(name, F.coalesce(F.col("bin") >= F.col("least"), F.lit(False))).drop("class", "bin", "least")
+
+
+def discoveries(tested: DataFrame, rate: float = FALSE_DISCOVERIES, rejections: float = FALSE_REJECTIONS) -> DataFrame:
+    """Adds rejected (the battery finds the string not random) and found (the string is reported), each controlled in its class."""
+    judged = passing(tested, F.col("p_random"), rejections, "rejected")
+    # A candidate that isn't random counts among the candidates of its class with p = 1.
+    return passing(judged, F.when(F.col("rejected"), F.lit(1.0)).otherwise(F.col("p")), rate, "found")
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,8 +230,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     single = scanned.where(F.size("tokens") > 0).select("row_no", F.explode("tokens").alias("t")).select(
         "row_no", F.col("t.start").alias("start"), F.col("t.text").alias("token"), F.col("t.encoding").alias("encoding")
     )
-    found = discoveries(battery(single)).where("found").groupBy("row_no").agg(
-        F.collect_list(F.struct("start", F.lit(KINDS.index("random")).alias("kind"), (F.col("start") + F.length("token")).alias("end"))).cast(wide).alias("more")
+    # The few numbers that are left of a candidate are stored: both thresholds count them, and the battery is the dear part.
+    tested = cut(battery(single).select("row_no", "start", F.length("token").alias("size"), "encoding", "n", "p_random", "p"), "tested")
+    found = discoveries(tested).where("found").groupBy("row_no").agg(
+        F.collect_list(F.struct("start", F.lit(KINDS.index("random")).alias("kind"), (F.col("start") + F.col("size")).alias("end"))).cast(wide).alias("more")
     )
     empty = F.array().cast(wide)
     joined = scanned.join(found, "row_no", "left").withColumn("more", F.coalesce("more", empty))

@@ -1,13 +1,16 @@
 import hashlib
+import math
 import random
 import re
 
+import numpy as np
 import pytest
 from compare import SF, same
 from eventloom.llm import licenses, secrets
 from eventloom.llm.decontaminate import contamination, contamination_report, drop_contaminated
 from eventloom.llm.queries import ORACLES, QUERIES
 from helpers import LOW, TEXTS, WORD, docs, empty
+from pyspark.sql import functions as F
 
 # Secrets.
 ASSIGN = re.compile("((?:" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")) + r"""))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -87,6 +90,60 @@ def test_share_of_keys_found_by_encoding_and_length(spark, share):
     assert all(v >= 0.7 if key else v <= 0.02 for (_, _, key), v in shares.items()), shares
 
 
+def plain_battery(token, alphabet):
+    """The three tests and their combined p-value, one string at a time."""
+    codes = [alphabet.index(c) for c in token.replace("-", "+").replace("_", "/") if c in alphabet]
+    n, k, middle = len(codes), len(alphabet), (len(alphabet) - 1) / 2
+    chi2 = sum(codes.count(v) ** 2 for v in set(codes)) * k / n - n
+    chi_z = (chi2 - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+    sides = [2 * c >= k for c in codes]
+    runs, high = 1 + sum(a != b for a, b in zip(sides, sides[1:], strict=False)), sum(sides)
+    mean = 2 * high * (n - high) / n + 1
+    runs_z = (runs - mean) / math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+    serial_z = sum((a - middle) * (b - middle) for a, b in zip(codes, codes[1:], strict=False)) / ((k * k - 1) / 12 * math.sqrt(n - 1))
+    ps = [min(math.erfc(abs(z) / math.sqrt(2)), 0.9) for z in (chi_z, runs_z, serial_z)]
+    return chi2, chi_z, runs_z, serial_z, 0.5 - math.atan(sum(math.tan((0.5 - p) * math.pi) for p in ps) / 3) / math.pi
+
+
+def test_battery_against_a_plain_version(spark):
+    r = random.Random(12)
+    made = [(name, "".join(r.choice(a[: r.choice([3, len(a)])]) for _ in range(r.choice([20, 33, 64, 200])))) for name, a in secrets.ALPHABETS.items() for _ in range(25)]
+    rows = spark.createDataFrame([(i, t, name) for i, (name, t) in enumerate(made)], "row_no int, token string, encoding string")
+    for x in secrets.battery(rows).collect():
+        want = plain_battery(x.token, secrets.ALPHABETS[x.encoding])
+        assert np.allclose([x.chi2, x.chi_z, x.runs_z, x.serial_z], want[:4]) and abs(x.p_random - want[4]) < 1e-5, (x, want)
+
+
+@pytest.mark.parametrize("name", ["hex", "base32", "base36", "base64"])
+def test_battery_keeps_its_rate_on_random_strings(spark, name):
+    """Of random strings of any length, the combined p-value is below 0.01 for about a hundredth."""
+    r = random.Random(13)
+    rows = spark.createDataFrame([(n, "".join(r.choice(secrets.ALPHABETS[name]) for _ in range(n)), name) for n in (20, 24, 32, 40, 64) for _ in range(1000)], "n0 int, token string, encoding string")
+    low = {x.n0: x.low for x in secrets.battery(rows).groupBy("n0").agg(F.avg((F.col("p_random") < 0.01).cast("double")).alias("low")).collect()}
+    assert len(low) == 5 and all(0.001 <= v <= 0.03 for v in low.values()), low
+
+
+def plain_threshold(ps, rate):
+    """Benjamini-Hochberg with p-values as the upper ends of their bins."""
+    ends = [10 ** (-math.floor(-math.log10(p) * secrets.BINS_PER_DECADE) / secrets.BINS_PER_DECADE) for p in ps]
+    best = 0.0
+    for e in set(ends):
+        if e <= sum(x <= e * (1 + 1e-9) for x in ends) / len(ends) * rate:
+            best = max(best, e)
+    return [e <= best * (1 + 1e-9) for e in ends]
+
+
+def test_thresholds_against_a_plain_version(spark):
+    r = random.Random(14)
+    rows = [(i, r.choice(["hex", "base64"]), float(r.choice([22, 30, 50])), 10 ** -r.uniform(0, 3), 10 ** -(r.uniform(0, 1) if r.random() < 0.6 else r.uniform(0, 9))) for i in range(600)]
+    got = {x.i: (x.rejected, x.found) for x in secrets.discoveries(spark.createDataFrame(rows, "i int, encoding string, n double, p_random double, p double")).collect()}
+    for key in {(e, n) for _, e, n, _, _ in rows}:
+        own = [x for x in rows if x[1:3] == key]
+        rejected = plain_threshold([x[3] for x in own], secrets.FALSE_REJECTIONS)
+        found = plain_threshold([1.0 if bad else x[4] for x, bad in zip(own, rejected, strict=True)], secrets.FALSE_DISCOVERIES)
+        assert [got[x[0]] for x in own] == list(zip(rejected, found, strict=True))
+
+
 def test_keys_of_every_alphabet_are_candidates(spark):
     r = random.Random(9)
     key = lambda symbols, n: "".join(r.choice(symbols) for _ in range(n))
