@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventloom.operators import scoring as s
 from eventloom.operators.forest import Forest, fit_forest, score_forest
 from eventloom.operators.ordered import numbered
+from eventloom.operators.rollups import median_mad, value_stats
 from eventloom.operators.sinks import write_back
 from eventloom.operators.windows import ecdf_risk, rules_for, sequence_rules
 from eventloom.storage import stored
@@ -82,9 +83,9 @@ def train_stream(corpus: DataFrame, stream: str) -> StreamModel:
     """Both detectors from training rows; normal ones give centres and reference scores."""
     train = corpus.where(~F.col("is_test"))
     normal, names = train.where("label = 0"), FEATURES[stream]
-    med = normal.agg(*[F.percentile(f"f_{f}", F.lit(0.5)) for f in names]).first()
-    mad = normal.agg(*[F.percentile(F.abs(F.col(f"f_{f}") - m), F.lit(0.5)) for f, m in zip(names, med, strict=True)]).first()
-    centre = {f: (float(m), float(d) or 1.0) for f, m, d in zip(names, med, mad, strict=True)}
+    # A row for each feature of each row, and of these a count for each value: no buffer holds all values of a feature.
+    values = normal.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"f_{f}").cast("double").alias("value")) for f in names])).alias("r")).select("r.*")
+    centre = {r.feature: (r.med, r.mad) for r in median_mad(values, "feature", "value").collect()}
     model = StreamModel(stream, fit_forest(train, [f"f_{f}" for f in names], "event_id"), centre, corpus.limit(0))
     raw = model.raw(normal)
     model.reference = stored(raw.select(F.explode(F.array(F.struct(F.lit("forest").alias("detector"), F.col("forest_score").alias("score")), F.struct(F.lit("z").alias("detector"), F.col("worst_z").alias("score")))).alias("r")).select("r.*"), "reference")
@@ -99,8 +100,10 @@ def score_batch(fused: DataFrame, staging: DataFrame, models: dict[str, StreamMo
     chosen = fused if since_ms is None else fused.where(F.col("timestamp_ms") >= since_ms)
     right = staging.select(F.col("event_id").alias("staging_event_id"), *[c for c in staging.columns if c not in ("event_id", "sensor_type", "timestamp_ms", "label", "anomaly_type", "schema_version")])
     joined = chosen.select("fused_event_id", "sensor_event_id", "sensor_type", "timestamp_ms").join(right, F.col("sensor_event_id") == F.col("staging_event_id"), "left")
-    known = F.coalesce(F.array_contains(F.array(*[F.lit(r[0]) for r in stats.select("parameter_name").collect()]).cast("array<string>"), F.col("parameter_name")), F.lit(False))
-    judged = joined.withColumn("problem", s.assembly_reason(known=known))
+    # A row for each parameter: a table of sensors' fixed vocabulary, as in telemetry_features.
+    names = stats.select(F.col("parameter_name").alias("__name"), F.lit(True).alias("__known")).where("__name IS NOT NULL").distinct()
+    named = joined.join(F.broadcast(names), F.col("parameter_name") == F.col("__name"), "left")
+    judged = named.withColumn("problem", s.assembly_reason(known=F.coalesce("__known", F.lit(False)))).drop("__name", "__known")
     out = None
     for stream, model in models.items():
         rows = judged.where(F.col("problem").isNull() & (F.lower("sensor_type") == stream))
@@ -117,8 +120,6 @@ def apply_scores(fused: DataFrame, scores: DataFrame) -> DataFrame:
 
 def parameter_stats(corpus: DataFrame) -> DataFrame:
     """Mean and deviation of each parameter over normal training rows (columns label, is_test, parameter_name, value)."""
-    from eventloom.operators.rollups import value_stats
-
     return value_stats(corpus, "parameter_name", "value", F.col("label") == 0, ~F.col("is_test"))
 
 

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from eventloom.operators import indexed as ix
 from eventloom.operators.partitioned import Rollup, write_back_partitions
+from eventloom.operators import detectors as d
 from eventloom.operators.rollups import sketch_quantile
-from eventloom.sources.files import events
-from eventloom.storage import fresh_path
+from eventloom.operators.sinks import append_alignment_log, in_order, write_ids, write_parquet
+from eventloom.sources.files import alignment_samples, events, ids, parquet_or_empty
+from eventloom.storage import fresh_path, stored
 
 from . import views as v
-from .views import E, SCORED
+from .views import E, FUSED, SCORED
 
 QUERIES, ORACLES = {}, {}
 
@@ -76,3 +78,76 @@ def _(spark, sf):
     rollup.add(s.where("event_id % 50 = 7"), 1)
     days = rollup.refresh(spark)
     return spark.createDataFrame([(d,) for d in days], "day bigint")
+
+
+@query("parquet_or_empty", f"WITH {E} SELECT event_type, count(*) AS n FROM e GROUP BY 1")
+def _(spark, sf):
+    rows = events(spark, sf).select("event_id", "event_type")
+    path = fresh_path(spark, "there")
+    rows.write.parquet(path)
+    both = parquet_or_empty(spark, path, rows.schema).unionByName(parquet_or_empty(spark, fresh_path(spark, "absent"), rows.schema))
+    return both.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("test_id_list", f"WITH {E} SELECT event_id, value FROM e WHERE event_id % 5 = 0")
+def _(spark, sf):
+    # The ids of a test split go to a file, one a line, and choose the split's rows again.
+    e, path = events(spark, sf), fresh_path(spark, "ids")
+    write_ids(e.where("event_id % 5 = 0"), "event_id", path)
+    return e.join(ids(spark, path), F.col("event_id").cast("string") == F.col("id"), "left_semi").select("event_id", "value")
+
+
+@query("alignment_log", f"WITH {FUSED} SELECT CAST(aid % 4 AS BIGINT) AS batch_id, count(*) AS n, min(abs_dt) AS low, max(abs_dt) AS high, CAST(sum(abs_dt) AS BIGINT) AS total FROM fused WHERE aid % 4 IN (1, 2) GROUP BY 1")
+def _(spark, sf):
+    # Four batches write a line of distances each; two of them are read back.
+    fused, path = stored(v.fused(spark, sf), "fused"), fresh_path(spark, "log")
+    for n in range(4):
+        append_alignment_log(fused.where(F.col("aid") % 4 == n), n, F.current_timestamp(), path)
+    rows = alignment_samples(spark, path, batches=(1, 2))
+    return rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.min("abs_dt").alias("low"), F.max("abs_dt").alias("high"), F.sum("abs_dt").alias("total"))
+
+
+@query("overwrite_count", f"WITH {E} SELECT (SELECT count(*) FROM e) AS first_written, (SELECT count(*) FROM e WHERE event_id % 2 = 0) AS then_written, event_id, value FROM e WHERE event_id % 2 = 0")
+def _(spark, sf):
+    e, path = events(spark, sf).select("event_id", "value"), fresh_path(spark, "dataset")
+    first, then = write_parquet(e, path), write_parquet(e.where("event_id % 2 = 0"), path)
+    return spark.read.parquet(path).select(F.lit(first).cast("bigint").alias("first_written"), F.lit(then).cast("bigint").alias("then_written"), "event_id", "value")
+
+
+@query("split_by_type", f"WITH {E} SELECT event_id, value FROM e WHERE event_type = 'error'")
+def _(spark, sf):
+    path = fresh_path(spark, "by_type")
+    write_parquet(events(spark, sf).select("event_id", "value", "event_type"), path, by=["event_type"])
+    return spark.read.parquet(f"{path}/event_type=error")
+
+
+@query("schema_projection", f"WITH {E} SELECT event_id, event_type, value, CAST(NULL AS VARCHAR) AS absent FROM e")
+def _(spark, sf):
+    return in_order(events(spark, sf), ["value", "absent", "event_type", "event_id"]).withColumn("absent", F.col("absent").cast("string"))
+
+
+def radar_corpus(spark, sf):
+    """The events as readings of a radar: five features from values and ids; errors of high value stand far off and count as anomalies."""
+    e = events(spark, sf)
+    odd = (F.col("event_type") == "error") & (F.col("value") > 60)
+    draw = lambda k: F.pmod(F.xxhash64("event_id", F.lit(k)), F.lit(1000)) / 1000.0
+    rows = e.select(
+        F.col("event_id").cast("string").alias("event_id"), F.col("event_id").alias("n"), odd.cast("int").alias("label"), F.when(odd, "error").alias("anomaly_type"),
+        (F.lit(1000.0) + draw(1) * 500 + F.when(odd, F.col("value") * 40).otherwise(0.0)).alias("range_m"), (draw(2) * 360).alias("bearing_deg"), (draw(3) * 60 - 30).alias("elevation_deg"),
+        (draw(4) * 100 + F.when(odd, 400.0).otherwise(0.0)).alias("velocity_ms"), (draw(5) * -40 - 30).alias("signal_strength_db"),
+    )
+    test = rows.where("n % 5 = 0").select(F.col("event_id").alias("id"))
+    return stored(d.load_corpus(rows, "radar", test, None), "corpus")
+
+
+@query("detector_saved", f"WITH {E} SELECT CAST(event_id AS VARCHAR) AS event_id, event_type = 'error' AND value > 60 AS anomaly, true AS same_after_load, true AS flagged_if_anomaly FROM e WHERE event_id % 5 = 0")
+def _(spark, sf):
+    # Both detectors are trained on four fifths of the events, kept, loaded, and must score the last fifth as before; all planted anomalies alarm.
+    corpus, path = radar_corpus(spark, sf), fresh_path(spark, "model")
+    model, test = d.train_stream(corpus, "radar"), corpus.where("is_test")
+    model.save(path)
+    seen = lambda m, name: stored(m.score(test).select("event_id", (F.col("label") == 1).alias("anomaly"), (F.col("anomaly_label") == 1).alias("flagged"), F.round("risk_score", 9).alias("risk")), name)
+    first, again = seen(model, "first"), seen(d.StreamModel.load(spark, path), "again")
+    both = first.join(again.select("event_id", F.col("risk").alias("risk2"), F.col("flagged").alias("flagged2")), "event_id")
+    same = F.col("risk").eqNullSafe(F.col("risk2")) & (F.col("flagged") == F.col("flagged2"))
+    return both.select("event_id", "anomaly", same.alias("same_after_load"), (~F.col("anomaly") | F.col("flagged")).alias("flagged_if_anomaly"))

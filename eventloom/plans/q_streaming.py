@@ -176,3 +176,29 @@ def _(spark, sf):
 def _(spark, sf):
     e = events(spark, sf).select("event_id", "event_type", (F.col("ms") - F.col("event_id") * 7919 % 20_000).alias("t"))
     return restarted(spark, e, F.col("event_id"), 4, lambda s: keyed.lateness_stream(s, "event_type", "event_id", "t", "event_id"))
+
+
+@query("stream_restart", f"WITH {E} SELECT event_id, count(*) AS n FROM e GROUP BY 1")
+def _(spark, sf):
+    # Every event comes twice, a day apart, with a restart between most pairs: what was seen before it is known after it.
+    e = events(spark, sf).select("event_id", "ts", F.col("ms").alias("came"))
+    twice = e.unionByName(e.withColumn("came", F.col("came") + 86_400_000))
+    made = restarted(spark, twice, F.col("came"), 4, lambda s: st.deduplicated(s, "event_id", "ts", "30 days"))
+    return made.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+LATE = "event_id % 10 = 0 AND ts <= make_timestamp((SELECT max(ms) FROM e WHERE event_id % 10 BETWEEN 1 AND 8) * 1000) - INTERVAL 1 HOUR"
+
+
+@query("stream_late_rows", f"WITH {E} SELECT (SELECT count(*) FROM e WHERE {LATE}) AS dropped, (SELECT count(*) FROM e WHERE NOT ({LATE})) AS written")
+def _(spark, sf):
+    # A tenth of the events comes last; what the first batch's watermark has passed is dropped, and counted. (A batch drops
+    # by the watermark with which the batch before it ran, so there is one between.)
+    e, folder, out = events(spark, sf).select("event_id", "ts"), fresh_path(spark, "late"), fresh_path(spark, "out")
+    for part in ("event_id % 10 BETWEEN 1 AND 8", "event_id % 10 = 9", "event_id % 10 = 0"):
+        e.where(part).coalesce(1).write.mode("append").parquet(folder)
+    source = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    with state_beyond_memory(spark):
+        q = st.deduplicated(source, "event_id", "ts", "1 hour").writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_path(spark, "cp")).trigger(availableNow=True).start()
+        to_end(q)
+    return spark.read.parquet(out).agg(F.lit(st.dropped_rows(q)).cast("bigint").alias("dropped"), F.count(F.lit(1)).alias("written"))
