@@ -37,6 +37,8 @@ def test_stages_against_brute_force(spark):
     t = Tokenizer.from_file(tokenizer_path())
     last = corpus_pipeline.STAGES[-1][1](spark, df, SF).collect()
     assert {r.doc_id: r.ids for r in last} == {i: t.encode(x, add_special_tokens=False).ids for i, x in fourth.items()} and all(r.round_trip for r in last)
+    # What held for the stages one by one holds for the run.
+    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, last))
 
 
 def test_run(spark):
