@@ -14,9 +14,9 @@ from eventloom.storage import stored
 from .ordered import placed
 
 
-def _running(df: DataFrame, by: list[str], order: str, values: dict[str, str], fold, last: int, total: str | None = None) -> DataFrame:
+def _running(df: DataFrame, by: list[str], order: str, values: dict[str, str], fold, last: int, least: int = 1, total: str | None = None) -> DataFrame:
     """fold over a group's rows up to the last-th row from each one; with total, the first value's over the whole group as well."""
-    rows, ranges = placed(df, [*by, order], least=1)
+    rows, ranges = placed(df, [*by, order], least=least)
     if ranges == 1:  # so few rows, over all groups, that one task could hold them
         own = Window.partitionBy(*by)
         inside = own.orderBy(F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, last)
@@ -33,24 +33,25 @@ def _running(df: DataFrame, by: list[str], order: str, values: dict[str, str], f
     return both.withColumns(made).where("__place = 1").select(*[c for c in df.columns if c not in made], *made)
 
 
-def running_sum(df: DataFrame, by: list[str], order: str, values: dict[str, str]) -> DataFrame:
+def running_sum(df: DataFrame, by: list[str], order: str, values: dict[str, str], ranges: int = 1) -> DataFrame:
     """Adds, for each (name, column) of values, the sum of the column over the group's rows up to and with each row.
 
     order is a number; rows that share one take an order of their own. Null comes first, NaN last; null values add nothing.
+    ranges is how many ranges even a small table is cut into.
     """
-    made = _running(df, by, order, values, F.sum, Window.currentRow)
+    made = _running(df, by, order, values, F.sum, Window.currentRow, ranges)
     return made.withColumns({name: F.coalesce(name, F.lit(0)) for name in values})
 
 
-def running_max_before(df: DataFrame, by: list[str], order: str, values: dict[str, str]) -> DataFrame:
+def running_max_before(df: DataFrame, by: list[str], order: str, values: dict[str, str], ranges: int = 1) -> DataFrame:
     """The same with the largest value of the rows before each row; null where there is none."""
-    return _running(df, by, order, values, F.max, -1)
+    return _running(df, by, order, values, F.max, -1, ranges)
 
 
-def _ranked_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
+def _ranked_counts(df: DataFrame, by: list[str], value: str, ranges: int) -> DataFrame:
     """by, __v (distinct values), __upto (rows up to and with it), __total (rows of the group). Values are counted once and stored."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    return _running(stored(counts, "counts"), by, "__v", {"__upto": "__n"}, F.sum, Window.currentRow, "__total")
+    return _running(stored(counts, "counts"), by, "__v", {"__upto": "__n"}, F.sum, Window.currentRow, ranges, "__total")
 
 
 def _at(rank: Column) -> Column:
@@ -58,19 +59,19 @@ def _at(rank: Column) -> Column:
     return F.min(F.when(F.col("__upto") > rank, F.col("__v")))
 
 
-def nearest_ranks(df: DataFrame, by: list[str], value: str, ps: dict[str, float]) -> DataFrame:
+def nearest_ranks(df: DataFrame, by: list[str], value: str, ps: dict[str, float], ranges: int = 1) -> DataFrame:
     """by, and for each (name, p) the value (double) at rank round-half-even(p * (n - 1)); nulls don't count, groups may be of any size."""
-    ranked = _ranked_counts(df, by, value)
+    ranked = _ranked_counts(df, by, value, ranges)
     return ranked.groupBy(*by).agg(*[_at(F.bround(F.lit(p) * (F.col("__total") - 1))).alias(name) for name, p in ps.items()])
 
 
-def percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float]) -> DataFrame:
+def percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float], ranges: int = 1) -> DataFrame:
     """by, and for each (name, p) the exact percentile with interpolation, from counts of distinct values; nulls don't count.
 
     Rows meet their group only as counts with map-side combining, so a group may be of any size. Groups without a value
     have no row.
     """
-    ranked, picked = _ranked_counts(df, by, value), []
+    ranked, picked = _ranked_counts(df, by, value, ranges), []
     for name, p in ps.items():
         place = F.lit(p) * (F.col("__total") - 1)
         picked += [_at(F.floor(place)).alias(f"__lo_{name}"), _at(F.ceil(place)).alias(f"__hi_{name}"), F.max(place - F.floor(place)).alias(f"__share_{name}")]
