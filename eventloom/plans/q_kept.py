@@ -128,18 +128,6 @@ def _(spark, sf):
     return in_order(events(spark, sf), ["value", "absent", "event_type", "event_id"]).withColumn("absent", F.col("absent").cast("string"))
 
 
-def radar_rows(spark, sf):
-    """The events as readings of a radar: five features from values and ids; errors of high value stand far off and count as anomalies."""
-    e = events(spark, sf)
-    odd = (F.col("event_type") == "error") & (F.col("value") > 60)
-    draw = lambda k: F.pmod(F.xxhash64("event_id", F.lit(k)), F.lit(1000)) / 1000.0
-    return e.select(
-        F.col("event_id").cast("string").alias("event_id"), F.col("event_id").alias("n"), F.lit("RADAR").alias("sensor_type"), F.col("ms").alias("timestamp_ms"), odd.cast("int").alias("label"), F.when(odd, "error").alias("anomaly_type"),
-        (F.lit(1000.0) + draw(1) * 500 + F.when(odd, F.col("value") * 40).otherwise(0.0)).alias("range_m"), (draw(2) * 360).alias("bearing_deg"), (draw(3) * 60 - 30).alias("elevation_deg"),
-        (draw(4) * 100 + F.when(odd, 400.0).otherwise(0.0)).alias("velocity_ms"), (draw(5) * -40 - 30).alias("signal_strength_db"),
-    )
-
-
 def radar_corpus(rows):
     test = rows.where("n % 5 = 0").select(F.col("event_id").alias("id"))
     return stored(d.load_corpus(rows, "radar", test, None), "corpus")
@@ -148,7 +136,7 @@ def radar_corpus(rows):
 @query("detector_saved", f"WITH {E} SELECT CAST(event_id AS VARCHAR) AS event_id, event_type = 'error' AND value > 60 AS anomaly, true AS same_after_load, true AS flagged_if_anomaly FROM e WHERE event_id % 5 = 0")
 def _(spark, sf):
     # Both detectors are trained on four fifths of the events, kept, loaded, and must score the last fifth as before; all planted anomalies alarm.
-    corpus, path = radar_corpus(radar_rows(spark, sf)), fresh_path(spark, "model")
+    corpus, path = radar_corpus(v.radar_rows(spark, sf)), fresh_path(spark, "model")
     model, test = d.train_stream(corpus, "radar"), corpus.where("is_test")
     model.save(path)
     seen = lambda m, name: stored(m.score(test).select("event_id", (F.col("label") == 1).alias("anomaly"), (F.col("anomaly_label") == 1).alias("flagged"), F.round("risk_score", 9).alias("risk")), name)
@@ -164,7 +152,7 @@ SINCE = 1_704_500_000_000
 @query("batch_scoring", f"WITH {E} SELECT CAST(event_id AS VARCHAR) AS sensor_event_id, event_id % 7 <> 0 AND ms >= {SINCE} AS scored, true AS rollup_agrees FROM e")
 def _(spark, sf):
     # Every event is a fused row, six of seven have their staging row: from a time on these get scores, all others keep their nulls.
-    rows = stored(radar_rows(spark, sf), "radar")
+    rows = stored(v.radar_rows(spark, sf), "radar")
     model = d.train_stream(radar_corpus(rows), "radar")
     there = rows.where("n % 7 != 0")
     staging = there.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in there.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in SENSOR_EVENT])
