@@ -100,3 +100,13 @@ def test_files_of_hot_ids(spark, library, monkeypatch):
 def test_queries(spark, name):
     df = QUERIES[name](spark, "/root/testdata/sf0.001")
     assert df.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
+def test_the_text_writer_puts_bytes_out_as_they_are(spark, tmp_path):
+    """Token files go through it as strings that are no UTF-8: every byte value, in any company, must come back."""
+    from pyspark.sql import functions as F
+
+    rows = [bytes(range(256)), bytes(reversed(range(256))) * 3, b"", b"\n", b"\xff\xfe\x00\n\r\xc3", bytes(b for i in range(256) for b in (i, 0x80, i ^ 0xFF))]
+    spark.createDataFrame([(bytearray(r),) for r in rows], "content binary").select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(f"file://{tmp_path}/raw")
+    back = [bytes(r.content) for r in spark.read.format("binaryFile").load(f"file://{tmp_path}/raw").select("content").collect()]
+    assert sorted(b[:-1] for b in back) == sorted(rows) and all(b.endswith(b"\n") for b in back)
