@@ -27,7 +27,9 @@ class Layout:
     filters: int = 64
 
     @staticmethod
-    def for_ids(ids: int, groups: int = 256) -> Layout:
+    def for_ids(ids: int, groups: int | None = None) -> Layout:
+        """For so many ids: groups of some 20,000 of them, 16 to 4,096, so that a batch doesn't end in very small files."""
+        groups = groups or max(16, min(4096, ids // 20_000))
         return Layout(groups, max(1, -(-ids // (groups * IDS_PER_FILTER))))
 
 
