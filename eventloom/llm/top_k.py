@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-#: Rows of a block (their bitmaps are 8 kB each), and queries that meet a block in one group.
-BLOCK, CHUNK = 1 << 16, 128
+#: Rows of a block (their bitmaps are 8 kB each), and different queries that meet a block in one group at most.
+BLOCK, CHUNK = 1 << 16, 1 << 14
+#: Groups that even a small table is cut into, if each has so many queries.
+LEAST_GROUPS, LEAST_CHUNK = 64, 128
 BLOCK_ROW = "block long, no array<bigint>, vec_id array<bigint>, low array<bigint>, widths array<int>, slices binary"
 
 
@@ -142,17 +144,21 @@ def block_of(index: pa.Table) -> Block:
 
 
 def _search(k: int):
-    """Cogrouped by block and chunk: (query, query_id, vec_id, score), k rows at most for each query."""
-    schema = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    """Cogrouped by block and chunk: (query, no, vec_id, score), k rows at most for each query."""
+    schema = pa.schema([("query", pa.int64()), ("no", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
-        out = []
-        if index.num_rows and queries.num_rows:
-            block = block_of(index)
-            for r in queries.select(["no", "vec_id", "q"]).to_pylist():
-                places, scores = block.top(r["q"], k, block.place(r["no"]))
-                out.append(pa.table([pa.array([r["no"]] * len(places), pa.int64()), pa.array([r["vec_id"]] * len(places), pa.int64()), block.vec_id.take(pa.array(places)), pa.array(scores)], schema=schema))
-        return pa.concat_tables(out) if out else schema.empty_table()
+        if not index.num_rows or not queries.num_rows:
+            return schema.empty_table()
+        block, asked, places, scores = block_of(index), [], [], []
+        for part in queries.select(["no", "q"]).to_batches(LEAST_CHUNK):
+            for r in part.to_pylist():
+                at, score = block.top(r["q"], k, None)
+                asked.append(np.full(len(at), r["no"], np.int64))
+                places.append(at)
+                scores.append(score)
+        where = np.concatenate(places)
+        return pa.table([pa.array(np.concatenate(asked)), pa.array(block.no[where]), block.vec_id.take(pa.array(where)), pa.array(np.concatenate(scores))], schema=schema)
 
     return run
 
@@ -163,16 +169,25 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     vectors has vec_id long and q array<bigint>. Ties go to the smaller vec_id, null ids come last. Rows that repeat an id are
     queries and candidates each; a query leaves out its own row only. Components that the shorter of two vectors lacks count
     as 0. No queries give no rows. A block of the index and a chunk of queries are what a task holds at once.
+
+    Of equal vectors the first k + 1 by id are all that any query can be given, and equal queries find the same k + 1 rows, so
+    the search is over different vectors, however many copies there are.
     """
     rows = cut(vectors.select(F.monotonically_increasing_id().alias("no"), "vec_id", "q"), "vectors")
-    asked = rows.where(F.col("vec_id") % every == 0)
-    n, n_asked = rows.count(), asked.count()
-    blocks, chunks = max(1, -(-n // BLOCK)), max(1, -(-n_asked // CHUNK))
+    copy = F.row_number().over(Window.partitionBy("q").orderBy(F.asc_nulls_last("vec_id"), "no"))
+    kept = cut(rows.withColumn("copy", copy).where(F.col("copy") <= k + 1).drop("copy"), "candidates")
+    asked = cut(rows.where(F.col("vec_id") % every == 0).withColumn("query", F.min("no").over(Window.partitionBy("q"))), "queries")
+    different = asked.where("no = query")
+    n, n_asked = kept.count(), different.count()
+    blocks = max(1, -(-n // BLOCK))
+    chunks = max(1, -(-n_asked // CHUNK), min(-(-n_asked // LEAST_CHUNK), -(-LEAST_GROUPS // blocks)))
     dealt = lambda df, name, parts: df.withColumn(name, F.pmod(F.xxhash64("no"), F.lit(parts)))
-    index = cut(dealt(rows, "block", blocks).groupBy("block").applyInArrow(_index, BLOCK_ROW), "index")
+    index = cut(dealt(kept, "block", blocks).groupBy("block").applyInArrow(_index, BLOCK_ROW), "index")
     # A block meets each chunk once: its bitmaps (some 4 MB) go to as many groups as there are chunks, queries to as many as there are blocks.
     left = index.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
-    right = dealt(asked, "chunk", chunks).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    found = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(_search(k), "query long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    right = dealt(different.select("no", "q"), "chunk", chunks).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    found = left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(_search(k + 1), "query long, no long, vec_id long, score long")
+    best = lambda by: F.row_number().over(Window.partitionBy(by).orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
+    shared = found.withColumn("rank", best("query")).where(F.col("rank") <= k + 1).select("query", F.col("no").alias("other"), "vec_id", "score")
+    answers = asked.select("query", "no", F.col("vec_id").alias("query_id")).join(shared, "query").where("other <> no")
+    return answers.withColumn("rank", best("no")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

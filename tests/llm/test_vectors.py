@@ -145,3 +145,11 @@ def test_op12_leaves_out_other_sizes(spark, tmp_path):
     vectors(spark, rows).write.parquet(f"{folder}/embeddings.parquet")
     assert clustered(QUERIES["op12_clustering"](spark, folder)) == plain_lloyd(rows[:40], 16, 3)
     assert found(QUERIES["op13_top_k"](spark, folder).where(F.col("query_id") == 0)) == [r for r in plain_top(rows[:41]) if r[0] == 0]
+
+
+def test_top_k_searches_copies_once(spark, monkeypatch):
+    kept, cut = {}, t.cut
+    monkeypatch.setattr(t, "cut", lambda df, name, *more: kept.setdefault(name, cut(df, name, *more)))
+    rows = [(i, v) for i, (_, v) in enumerate(random_rows(10) * 60)]
+    assert found(t.top_k(whole(spark, rows))) == plain_top(rows)
+    assert kept["index"].agg(F.sum(F.size("no"))).first()[0] <= 10 * 21
