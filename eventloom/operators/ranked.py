@@ -14,6 +14,14 @@ from eventloom.storage import stored
 from .ordered import placed
 
 
+def _unused(df: DataFrame, name: str) -> str:
+    """name, or one like it that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _running(df: DataFrame, by: list[str], order: str, values: dict[str, str], fold, last: int, least: int = 1, total: str | None = None) -> DataFrame:
     """fold over a group's rows up to the last-th row from each one; with total, the first value's over the whole group as well."""
     rows, ranges = placed(df, [*by, order], least=least)
@@ -22,15 +30,15 @@ def _running(df: DataFrame, by: list[str], order: str, values: dict[str, str], f
         inside = own.orderBy(F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, last)
         made = {name: fold(c).over(inside) for name, c in values.items()} | ({total: fold(next(iter(values.values()))).over(own)} if total else {})
         return df.select(*[c for c in df.columns if c not in made], *[c.alias(n) for n, c in made.items()])
-    names = [f"__v{k}" for k in range(len(values))]
+    names, place, whole = [_unused(df, f"__v{k}") for k in range(len(values))], _unused(df, "__place"), _unused(df, "__all")
     own = rows.groupBy("__range", *by).agg(*[fold(c).alias(n) for n, c in zip(names, values.values(), strict=True)])
     # A row for each range, and one more for each group.
     before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    heard = own.select("__range", *by, F.lit(0).alias("__place"), *[fold(n).over(before).alias(n) for n in names], fold(names[0]).over(Window.partitionBy(*by)).alias("__all"))
-    both = rows.select("*", F.lit(1).alias("__place"), *[F.col(c).alias(n) for n, c in zip(names, values.values(), strict=True)]).unionByName(heard, allowMissingColumns=True)
-    inside = Window.partitionBy("__range", *by).orderBy("__place", F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, last)
-    made = {name: fold(n).over(inside) for name, n in zip(values, names, strict=True)} | ({total: F.first("__all").over(inside)} if total else {})
-    return both.withColumns(made).where("__place = 1").select(*[c for c in df.columns if c not in made], *made)
+    heard = own.select("__range", *by, F.lit(0).alias(place), *[fold(n).over(before).alias(n) for n in names], fold(names[0]).over(Window.partitionBy(*by)).alias(whole))
+    both = rows.select("*", F.lit(1).alias(place), *[F.col(c).alias(n) for n, c in zip(names, values.values(), strict=True)]).unionByName(heard, allowMissingColumns=True)
+    inside = Window.partitionBy("__range", *by).orderBy(place, F.asc_nulls_first(order)).rowsBetween(Window.unboundedPreceding, last)
+    made = {name: fold(n).over(inside) for name, n in zip(values, names, strict=True)} | ({total: F.first(whole).over(inside)} if total else {})
+    return both.withColumns(made).where(F.col(place) == 1).select(*[c for c in df.columns if c not in made], *made)
 
 
 def running_sum(df: DataFrame, by: list[str], order: str, values: dict[str, str], ranges: int = 1) -> DataFrame:

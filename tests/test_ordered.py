@@ -3,9 +3,12 @@
 import random
 
 import pytest
+from compare import same
 from eventloom.operators import ordered as o
 from eventloom.operators.fusion import interval_join, nearest_in_order, nearest_match, prepare_left, prepare_right
+from eventloom.operators.ranked import running_sum
 from eventloom.operators.windows import inter_arrival, sequence_rules, sliding_counts
+from eventloom.plans import catalog
 from pyspark.sql import functions as F
 
 
@@ -159,3 +162,14 @@ def test_running_folds_and_percentiles(spark, monkeypatch, rows_per_range):
     ranks = {k.g: k.p for k in nearest_ranks(df, ["g"], "v", {"p": 0.9}).collect()}
     assert ranks == {g: v[round(0.9 * (len(v) - 1))] for g, v in own.items()}
     assert percentiles(df.where("false"), ["g"], "v", {"p": 0.5}).count() == 0 and percentiles(df, [], "v", {"p": 0.5}).first().p == pytest.approx(np.median([k[3] for k in rows if k[3] is not None]))
+
+
+def test_split_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(o, "ROWS_PER_RANGE", 100)
+    same(spark, catalog.QUERIES["stratified_split"], catalog.ORACLES["stratified_split"])
+
+
+def test_sums_beside_columns_of_any_name(spark, ranges):
+    df = spark.range(200).select(F.col("id").alias("__place"), F.lit(1).alias("__v0"), F.lit("x").alias("__all"))
+    got = running_sum(df, ["__all"], "__place", {"n": "__v0"}).collect()
+    assert sorted((r["__place"], r["__v0"], r["__all"], r.n) for r in got) == [(i, 1, "x", i + 1) for i in range(200)]
