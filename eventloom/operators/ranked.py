@@ -6,6 +6,8 @@ inside each range, on from what the ranges before it add up to for the group, wh
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,6 +75,14 @@ def nearest_ranks(df: DataFrame, by: list[str], value: str, ps: dict[str, float]
     return ranked.groupBy(*by).agg(*[_at(F.bround(F.lit(p) * (F.col("__total") - 1))).alias(name) for name, p in ps.items()])
 
 
+def inclusive_ranks(df: DataFrame, by: list[str], value: str, ps: dict[str, str], ranges: int = 1) -> DataFrame:
+    """by, and for each (name, p as a decimal text) the value (double) at rank ceil(p * rows), from 1; nulls count as the last rows."""
+    ranked, total = _ranked_counts(df, by, value, ranges), df.groupBy(*[F.col(c).alias(f"__by{k}") for k, c in enumerate(by)]).agg(F.count(F.lit(1)).alias("__rows"))
+    same = [F.col(c).eqNullSafe(F.col(f"__by{k}")) for k, c in enumerate(by)]
+    joined = ranked.join(total, same) if by else ranked.crossJoin(total)
+    return joined.groupBy(*by).agg(*[_at(F.ceil(F.lit(Decimal(p)) * F.col("__rows")) - 1).alias(name) for name, p in ps.items()])
+
+
 def percentiles(df: DataFrame, by: list[str], value: str, ps: dict[str, float], ranges: int = 1) -> DataFrame:
     """by, and for each (name, p) the exact percentile with interpolation, from counts of distinct values; nulls don't count.
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranked import nearest_ranks, percentiles, running_sum
+from .ranked import inclusive_ranks, nearest_ranks, percentiles, running_sum
 
 from eventloom.functions.scalars import nearest_rank, time_bucket
 
@@ -49,6 +49,14 @@ def perf_sketch(df: DataFrame, ms: str, by: str, latency: str, loss: str, width_
     )
 
 
+def perf_exact(df: DataFrame, ms: str, by: str, latency: str, loss: str, width_ms: int = 60_000) -> DataFrame:
+    """The rollup of perf_sketch with the exact p95 (of inclusive rank) in place of the sketch, for groups of any size."""
+    named = df.withColumns({"bucket": time_bucket(F.col(ms), width_ms), "__by": F.col(by)})
+    p95 = inclusive_ranks(named, ["bucket", "__by"], latency, {"p95": "0.95"}).withColumnRenamed("bucket", "__bucket")
+    joined = perf_sketch(df, ms, by, latency, loss, width_ms).drop("latency_sketch").join(p95, F.col("bucket").eqNullSafe(F.col("__bucket")) & F.col(by).eqNullSafe(F.col("__by")), "left")
+    return joined.select("bucket", by, "event_count", "p95", "avg_data_loss")
+
+
 def sketch_quantile(sketch: Column, p: float) -> Column:
     return F.kll_sketch_get_quantile_double(sketch, F.lit(p))
 
