@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.fusion import fuse, prepare_left, prepare_right
+from eventloom.operators.fusion import nearest_in_order, prepare_left, prepare_right
 from eventloom.sources.files import events, table
 
 WINDOW_MS = 300_000
@@ -43,7 +43,11 @@ def sides(spark: SparkSession, sf: str) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def fused(spark: SparkSession, sf: str) -> DataFrame:
-    return fuse(*sides(spark, sf), WINDOW_MS)
+    """Nearest matches in linear work: pairs grow with the square of the rows, and none are made. Left rows that repeat count once."""
+    e = events(spark, sf)
+    left = e.where(F.col("event_type") == LEFT).select(F.col("event_id").alias("aid"), F.col("ms").alias("a_ms")).distinct()
+    right = e.where(F.col("event_type").isin(*RIGHTS)).select(F.col("event_id").alias("sid"), F.col("ms").alias("s_ms"), F.col("event_type").alias("sensor_type"))
+    return nearest_in_order(left, right, WINDOW_MS)
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:

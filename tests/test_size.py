@@ -2,10 +2,10 @@
 
 import pytest
 from compare import SF, plain
-from eventloom.plans import catalog
+from eventloom.plans import catalog, views
 from pyspark.sql import functions as F
 
-COPIES = 60
+COPIES = 12
 
 
 @pytest.fixture(scope="module")
@@ -34,3 +34,16 @@ def test_rollup_of_full_hours(spark, tmp_path):
     ts = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") % 3000).cast("timestamp_ntz").alias("ts")
     rows.select(F.col("id").alias("event_id"), ts, (F.col("id") % 9).alias("user_id"), "event_type", "value", F.lit("{}").alias("props")).write.parquet(f"{tmp_path}/events.parquet")
     same_events(spark, "perf_sketch", str(tmp_path))
+
+
+FUSED = "fusion_nearest_pairs alignment_summary rules_on_full_stream fused_conformance payload_audit resolution_counts alignment_log fused_records nearest_rank api_fusion_events fused_daily match_rate".split()
+
+
+def test_fused_rows_make_no_pairs(spark):
+    plan = views.fused(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "s_bucket" not in plan and "aid" in plan
+
+
+@pytest.mark.parametrize("name", FUSED)
+def test_fused_over_copies(spark, larger, name):
+    same_events(spark, name, larger)
