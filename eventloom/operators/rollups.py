@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .ranked import inclusive_ranks, nearest_ranks, percentiles, running_sum
 
 from eventloom.functions.scalars import nearest_rank, time_bucket
+from eventloom.storage import stored
 
 
 def anomaly_rate(label: Column) -> Column:
@@ -88,7 +89,7 @@ def alignment_summary(df: DataFrame, dt: str, window_ms: int) -> DataFrame:
 
     Percentiles take exact ranks of value counts: one row for each distinct distance, never a list of all samples.
     """
-    counts = df.groupBy(F.col(dt).alias("dt")).agg(F.count(F.lit(1)).alias("here"))
+    counts = stored(df.groupBy(F.col(dt).alias("dt")).agg(F.count(F.lit(1)).alias("here")), "distances")  # read three times
     total = counts.agg(F.sum("here").alias("n"))  # one row
     ordered = running_sum(counts, [], "dt", {"upto": "here"}).crossJoin(F.broadcast(total))
     at = lambda p: F.min(F.when(F.col("upto") > F.bround(F.lit(p) * (F.col("n") - 1)), F.col("dt")))
