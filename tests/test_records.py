@@ -170,3 +170,47 @@ def test_percentiles(spark):
     assert got.keys() == want.keys() and all(got[g] == pytest.approx(want[g]) for g in want)
     assert ranked.percentiles(df, [], "v", {"m": 0.5}).first().m == pytest.approx(df.agg(F.percentile("v", F.lit(0.5))).first()[0])
     assert ranked.percentiles(df.where("v IS NULL"), ["g"], "v", {"m": 0.5}).count() == 0 and zlib.crc32(b"") == 0
+
+
+def test_a_task_holds_no_records(spark, tmp_path, monkeypatch):
+    """A record is encoded once, when it comes, and a dataset of several files is no single task."""
+    import tracemalloc
+
+    from eventloom.sources.avro import write_avro
+
+    schema = {"type": "record", "name": "r", "fields": [{"name": "x", "type": "long"}, {"name": "t", "type": "string"}]}
+    peak = []
+
+    class Frame:
+        sparkSession = spark
+
+        def select(self, *cols):
+            return self
+
+        def mapInArrow(self, run, shape):
+            import pyarrow as pa
+
+            monkeypatch.setattr("eventloom.sources.avro.TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": staticmethod(lambda: 0)})())}))
+            batches = (pa.RecordBatch.from_pylist([{"x": k, "t": "a" * 20}] * 1000) for k in range(100))
+            tracemalloc.start()
+            self.rows = sum(b["record_count"][0].as_py() for b in run(batches))
+            peak.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+            raise StopIteration
+
+    frame = Frame()
+    frame.columns = ["x", "t"]
+    with pytest.raises(StopIteration):
+        write_avro(frame, f"file://{tmp_path}/a", schema)
+    assert frame.rows == 100_000 and peak[0] < 5_000_000
+
+
+def test_a_dataset_becomes_containers_in_several_tasks(spark, tmp_path):
+    from eventloom.sources import avro
+
+    schema = {"type": "record", "name": "r", "fields": [{"name": "x", "type": "long"}]}
+    source, path = f"file://{tmp_path}/p", f"file://{tmp_path}/a"
+    spark.range(0, 4000, 1, 4).select(F.col("id").alias("x")).write.parquet(source)
+    assert avro.parquet_to_avro(spark, source, path, schema) == 4000
+    assert len(list((tmp_path / "a").glob("part-*"))) > 1
+    assert sorted(r.x for r in avro.read_avro(spark, path, schema).collect()) == list(range(4000))
