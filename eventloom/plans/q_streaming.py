@@ -87,13 +87,31 @@ def _(spark, sf):
     return spark.read.option("recursiveFileLookup", "true").parquet(out).select("event_id", "schema_version", "load_status")
 
 
+#: Rows of a file that is a batch of its own; times that repeat stay in one file.
+ROWS_PER_BATCH = 1_000_000
+
+
+def between(rows, order, cuts: list) -> list:
+    """The rows cut at these values of order, each with the part that ends with it; nulls come first."""
+    parts = []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        above = order > low if low is not None else F.lit(True)
+        below = order <= high if high is not None else F.lit(True)
+        parts.append(rows.where((above & below) | (order.isNull() if low is None else F.lit(False))))
+    return parts
+
+
 def with_flush(spark, sf, step_s: int = 60):
     """The events as a stream of files, and after them rows of every type one, two and three steps past the end, one file each.
 
     Matches come out once the slowest stream's watermark has passed them, so without later rows the last would be held back.
     """
     folder, raw = fresh_path(spark, "events"), table(spark, sf, "events")
-    raw.write.mode("append").parquet(folder)
+    # Files come one a batch and in order of time: a row of an earlier time in a later file would be late.
+    parts = max(1, -(-raw.count() // ROWS_PER_BATCH))
+    cuts = raw.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [k / parts for k in range(1, parts)], 10_000)).first()[0] if parts > 1 else []
+    for part in between(raw, F.unix_micros(F.col("ts").cast("timestamp")), sorted(set(cuts or []))):
+        part.coalesce(1).write.mode("append").parquet(folder)
     top = raw.agg(F.max("ts")).first()[0]
     kinds = [v.LEFT, *v.RIGHTS]
     for k in (1, 2, 3):

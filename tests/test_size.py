@@ -2,7 +2,7 @@
 
 import pytest
 from compare import SF, plain
-from eventloom.plans import catalog, views
+from eventloom.plans import catalog, q_streaming, views
 from pyspark.sql import functions as F
 
 COPIES = 12
@@ -47,3 +47,10 @@ def test_fused_rows_make_no_pairs(spark):
 @pytest.mark.parametrize("name", FUSED)
 def test_fused_over_copies(spark, larger, name):
     same_events(spark, name, larger)
+
+
+@pytest.mark.parametrize("name", ["stream_fusion", "stream_unmatched"])
+def test_streams_of_several_files(spark, larger, monkeypatch, name):
+    """Files that overlap in time become batches in order of time."""
+    monkeypatch.setattr(q_streaming, "ROWS_PER_BATCH", 5000)
+    same_events(spark, name, larger)
