@@ -192,16 +192,21 @@ PRIME = 2_147_483_647
 POISSON = tuple(round(1e8 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(11))
 
 
-def poisson_weight(id_col: str, draw: Column, seed: int = 42) -> Column:
+def id_numbers(id_col: str, seed: int = 42) -> list[Column]:
+    """Three numbers of 28 bits of the MD5 of a row's id."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    return [F.conv(F.substring(digest, at, 7), 16, 10).cast("long") for at in (1, 8, 15)]
+
+
+def poisson_weight(id_col: str, draw: Column, seed: int = 42, numbers: list[Column] | None = None) -> Column:
     """How often a row counts in a resample: 0, 1, 2 ... with mean 1, from a hash of its id and the resample's number.
 
     Two numbers of a row's MD5 and the resample's number give a point modulo PRIME, which is squared and mixed; the table POISSON
     is read backwards with it. Any engine gives the same numbers, and a lost task gives them again.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
-    part = lambda at: F.conv(F.substring(digest, at, 7), 16, 10).cast("long")
-    x = F.pmod(part(1) + (draw + 1) * part(8), F.lit(PRIME))
-    y = F.pmod(F.pmod(x * x, F.lit(PRIME)) * F.lit(48_271) + part(15), F.lit(PRIME))
+    one, two, three = numbers or id_numbers(id_col, seed)
+    x = F.pmod(one + (draw + 1) * two, F.lit(PRIME))
+    y = F.pmod(F.pmod(x * x, F.lit(PRIME)) * F.lit(48_271) + three, F.lit(PRIME))
     mixed = F.pmod(y * y + x, F.lit(PRIME))
     point = F.floor(mixed * F.lit(100_000_000) / F.lit(PRIME))
     return sum((F.when(point >= p, 1).otherwise(0) for p in POISSON), F.lit(0)).cast("long")
@@ -213,8 +218,9 @@ def bootstrap_interval(df: DataFrame, truth: str, flagged: str, by: str, id_col:
     truth and flagged are 0 or 1. A resample is one aggregation like all others: each row counts as often as its id's
     hash says, so four sums for each group and resample leave a task, whatever the rows.
     """
-    many = df.select(by, truth, flagged, id_col).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    weighed = many.withColumn("w", poisson_weight(id_col, F.col("draw"), seed))
+    named = [f"__h{k}" for k in range(3)]  # hashed once for each row, not for each resample
+    many = df.select(by, truth, flagged, *[c.alias(n) for c, n in zip(id_numbers(id_col, seed), named, strict=True)]).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    weighed = many.withColumn("w", poisson_weight(id_col, F.col("draw"), seed, [F.col(n) for n in named]))
     sums = weighed.groupBy(by, "draw").agg(*[F.sum(F.when((F.col(truth) == t) & (F.col(flagged) == f), F.col("w")).otherwise(0)).alias(f"c{t}{f}") for t in (0, 1) for f in (0, 1)])
     rates = sums.where("c00 + c01 > 0 AND c10 + c11 > 0").select(by, (F.col("c11") / (F.col("c10") + F.col("c11"))).alias("recall"), (F.col("c01") / (F.col("c00") + F.col("c01"))).alias("fpr"))
     # draws numbers for each group.

@@ -54,3 +54,9 @@ def test_streams_of_several_files(spark, larger, monkeypatch, name):
     """Files that overlap in time become batches in order of time."""
     monkeypatch.setattr(q_streaming, "ROWS_PER_BATCH", 5000)
     same_events(spark, name, larger)
+
+
+def test_bootstrap_hashes_each_row_once(spark):
+    """The hash stands below the step that makes a row's resamples."""
+    plan = catalog.QUERIES["bootstrap_interval"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5") and "md5" not in plan[: plan.index("Generate explode")]
