@@ -60,3 +60,15 @@ def test_bootstrap_hashes_each_row_once(spark):
     """The hash stands below the step that makes a row's resamples."""
     plan = catalog.QUERIES["bootstrap_interval"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5") and "md5" not in plan[: plan.index("Generate explode")]
+
+
+def test_ranges_of_neighbours_spread_over_tasks(spark, monkeypatch):
+    """More rows make more tasks, not larger ones, however few partitions the session has."""
+    from eventloom.operators import ordered
+
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 1000)
+    df = spark.range(20_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("mark"))
+    rows = ordered.neighbours(df, ["id"], "mark", "low", "high").withColumn("task", F.spark_partition_id())
+    assert rows.where("low != id - id % 10 OR high != id - id % 10 + 10").isEmpty()
+    held = [r["count"] for r in rows.groupBy("task").count().collect()]
+    assert sum(held) == 20_000 and len(held) == 20 and max(held) < 3000
