@@ -72,3 +72,21 @@ def test_ranges_of_neighbours_spread_over_tasks(spark, monkeypatch):
     assert rows.where("low != id - id % 10 OR high != id - id % 10 + 10").isEmpty()
     held = [r["count"] for r in rows.groupBy("task").count().collect()]
     assert sum(held) == 20_000 and len(held) == 20 and max(held) < 3000
+
+
+@pytest.mark.parametrize("window", [0, 1, 7, 300])
+def test_near_pairs_in_tasks_by_rows(spark, monkeypatch, window):
+    """The pairs of every window, in tasks as many as the rows call for."""
+    from eventloom.operators import fusion
+
+    monkeypatch.setattr(fusion, "RIGHTS_PER_TASK", 50)
+    left = spark.range(200).select(F.col("id").alias("aid"), F.when(F.col("id") != 3, F.col("id") * 7919 % 1999 - 900).alias("a_ms"))
+    right = spark.range(500).select(F.col("id").alias("sid"), F.when(F.col("id") != 5, F.col("id") * 104729 % 2003 - 900).alias("s_ms"), F.lit("x").alias("sensor_type"))
+    made = fusion.near_pairs(left, right, window)
+    want = left.crossJoin(right).where(F.abs(F.col("s_ms") - F.col("a_ms")) <= window)
+    assert sorted((r.aid, r.sid) for r in made.collect()) == sorted((r.aid, r.sid) for r in want.collect())
+    assert made.rdd.getNumPartitions() == 10
+
+
+def test_interval_pairs_over_copies(spark, larger):
+    same_events(spark, "interval_pairs", larger)
