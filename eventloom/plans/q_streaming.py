@@ -9,7 +9,7 @@ from eventloom.operators.validation import enforce
 from eventloom.schemas import FUSED_EVENT, SENSOR_EVENT
 from eventloom.sources.files import events, table
 from eventloom.session import state_beyond_memory
-from eventloom.storage import fresh_path
+from eventloom.storage import fresh_path, path_exists
 from eventloom.streaming import queries as st
 from eventloom.streaming import state as keyed
 
@@ -89,29 +89,39 @@ def _(spark, sf):
 
 #: Rows of a file that is a batch of its own; times that repeat stay in one file.
 ROWS_PER_BATCH = 1_000_000
+#: Bytes of a file's row groups: a batch's file is read in several tasks.
+ROW_GROUP = 4 << 20
 
 
-def between(rows, order, cuts: list) -> list:
-    """The rows cut at these values of order, each with the part that ends with it; nulls come first."""
-    parts = []
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        above = order > low if low is not None else F.lit(True)
-        below = order <= high if high is not None else F.lit(True)
-        parts.append(rows.where((above & below) | (order.isNull() if low is None else F.lit(False))))
-    return parts
+def append_file(rows, folder: str) -> None:
+    rows.coalesce(1).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(folder)
 
 
-def with_flush(spark, sf, step_s: int = 60):
+def cut_at(rows, order, cuts: list) -> list:
+    """The rows cut at these values of order, each with the part that ends with it; nulls come first, empty parts are left out.
+
+    The rows are read once for all parts, which lie in folders of their own then.
+    """
+    if not cuts:
+        return [rows]
+    spark, staged = rows.sparkSession, fresh_path(rows.sparkSession, "parts")
+    part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < order))
+    rows.withColumn("__part", part).write.partitionBy("__part").parquet(staged)
+    folders = [f"{staged}/__part={k}" for k in range(len(cuts) + 1)]
+    return [spark.read.schema(rows.schema).parquet(f) for f in folders if path_exists(spark, f)]
+
+
+def with_flush(spark, sf, step_s: int = 2 * v.WINDOW_MS // 1000):
     """The events as a stream of files, and after them rows of every type one, two and three steps past the end, one file each.
 
-    Matches come out once the slowest stream's watermark has passed them, so without later rows the last would be held back.
+    Matches come out once the slowest stream's watermark has passed their slots, so without later rows the last would be held back.
     """
     folder, raw = fresh_path(spark, "events"), table(spark, sf, "events")
     # Files come one a batch and in order of time: a row of an earlier time in a later file would be late.
     parts = max(1, -(-raw.count() // ROWS_PER_BATCH))
     cuts = raw.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [k / parts for k in range(1, parts)], 10_000)).first()[0] if parts > 1 else []
-    for part in between(raw, F.unix_micros(F.col("ts").cast("timestamp")), sorted(set(cuts or []))):
-        part.coalesce(1).write.mode("append").parquet(folder)
+    for part in cut_at(raw, F.unix_micros(F.col("ts").cast("timestamp")), sorted(set(cuts or []))):
+        append_file(part, folder)
     top = raw.agg(F.max("ts")).first()[0]
     kinds = [v.LEFT, *v.RIGHTS]
     for k in (1, 2, 3):
@@ -142,7 +152,7 @@ def _(spark, sf):
 
 def outer_matches(spark, sf):
     """What the outer fusion of the events has written: matched and unmatched rows, and the rate of each batch."""
-    e = with_flush(spark, sf, 2 * v.WINDOW_MS // 1000)  # a row without a partner waits until its whole window has passed
+    e = with_flush(spark, sf)
     rows = st.fusion_outer_stream(e.where(F.col("event_type") == v.LEFT), {k: e.where(F.col("event_type") == k) for k in v.RIGHTS}, v.WINDOW_MS)
     out, rates = fresh_path(spark, "outer"), fresh_path(spark, "rates")
     with state_beyond_memory(spark):
@@ -170,10 +180,10 @@ def restarted(spark, rows, order, parts: int, start, flush=None):
     """What start (stream, folder, checkpoint) writes of rows that come in files in an order, one a batch, with a restart half way."""
     folder, out, checkpoint = (fresh_path(spark, n) for n in ("files", "out", "cp"))
     cuts = rows.agg(F.percentile_approx(order, [k / parts for k in range(1, parts)], 10_000)).first()[0]
-    files = [rows.where((order > low if low is not None else F.lit(True)) & (order <= high if high is not None else F.lit(True))) for low, high in zip([None, *cuts], [*cuts, None], strict=True)]
-    for k, part in enumerate([*files, *([flush] if flush is not None else [])]):
-        part.select(*rows.columns).coalesce(1).write.mode("append").parquet(folder)
-        if k in (parts // 2, parts - 1 + (flush is not None)):
+    files = [*cut_at(rows.where(order.isNotNull()), order, cuts), *([flush] if flush is not None else [])]
+    for k, part in enumerate(files):
+        append_file(part.select(*rows.columns), folder)
+        if k in (parts // 2, len(files) - 1):
             source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
             with state_beyond_memory(spark):
                 to_end(start(source).writeStream.queryName(f"{out[-12:]}-{k}").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import threading
 import time
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from eventloom.operators.fusion import interval_join, nearest_match, nearest_or_none, prepare_left, prepare_right, union_all
+from eventloom.operators.fusion import union_all
 from eventloom.operators.sinks import append_alignment_log, append_ignore, fused_rows, heartbeats, with_audit
 from eventloom.operators.validation import Enforced
 from eventloom.storage import path_exists
@@ -36,16 +39,56 @@ def update_counts(counted: DataFrame, path: str, checkpoint: str, trigger: dict
 
 def fusion_stream(left: DataFrame, rights: dict[str, DataFrame], window_ms: int, watermark: str = WATERMARK, id_col: str = "event_id", ms_col: str = "ms") -> DataFrame:
     """Nearest matches of streams: each right stream has a watermark of its own before the union, and the slowest governs."""
-    a = prepare_left(left, id_col, ms_col, window_ms, watermark)
-    s = union_all([prepare_right(df, id_col, ms_col, kind, window_ms, watermark) for kind, df in rights.items()])
-    return nearest_match(interval_join(a, s, window_ms))
+    return fusion_outer_stream(left, rights, window_ms, watermark, id_col, ms_col).where("sid IS NOT NULL")
 
 
 def fusion_outer_stream(left: DataFrame, rights: dict[str, DataFrame], window_ms: int, watermark: str = WATERMARK, id_col: str = "event_id", ms_col: str = "ms") -> DataFrame:
-    """The same with left rows that found no partner: these have nulls, and come once every watermark has passed their window."""
-    a = prepare_left(left, id_col, ms_col, window_ms, watermark)
-    s = union_all([prepare_right(df, id_col, ms_col, kind, window_ms, watermark) for kind, df in rights.items()])
-    return nearest_or_none(interval_join(a, s, window_ms, "left_outer"))
+    """The same with left rows that found no partner: these have nulls.
+
+    No pairs are made. Time is cut into slots as long as the window; of three slots that follow each other, a group of the
+    stream holds the rows of the middle one, the last right row of the first and the first of the third, so a left row's
+    nearest right row is in the group that has it in the middle. A group comes out once every watermark has passed it; work and state grow with its rows.
+    """
+    kinds, slot = list(rights), max(window_ms, 1)
+    at, none = F.timestamp_millis(F.col(ms_col)).alias("at"), F.lit(None).cast("string")
+    sides = [left.select(at, F.lit(True).alias("left"), F.col(id_col).alias("id"), F.col(ms_col).cast("bigint").alias("ms"), none.alias("kind"))]
+    sides += [rights[k].select(at, F.lit(False).alias("left"), F.col(id_col).alias("id"), F.col(ms_col).cast("bigint").alias("ms"), F.lit(k).alias("kind")) for k in kinds]
+    rows = union_all([s.withWatermark("at", watermark) for s in sides])
+    slots = rows.withColumn("slots", F.window("at", f"{3 * slot} milliseconds", f"{slot} milliseconds"))
+    place = F.floor((F.col("ms") - F.unix_millis("slots.start")) / slot)
+    slots = slots.withColumn("place", place).where("NOT left OR place = 1")
+    found, right = F.struct(F.col("ms").alias("s_ms"), F.col("id").alias("sid"), F.col("kind").alias("sensor_type")), ~F.col("left")
+    grouped = slots.groupBy("slots").agg(
+        F.collect_set(F.when(F.col("left"), F.struct(F.col("id").alias("aid"), F.col("ms").alias("a_ms")))).alias("lefts"),
+        F.collect_list(F.when(right & (F.col("place") == 1), found)).alias("rights"),
+        F.min(F.when(right & (F.col("place") == 0), F.struct(-F.col("ms"), found.alias("row"))))["row"].alias("low"),  # of the last time, the smallest id
+        F.min(F.when(right & (F.col("place") == 2), found)).alias("high"),
+    )
+    asked = grouped.where(F.size("lefts") > 0).select("lefts", F.sort_array(F.concat(F.array_compact(F.array("low", "high")), "rights")).alias("rights"))
+    kind = left.schema[id_col].dataType.simpleString()
+    return asked.mapInArrow(_nearest_of_groups(window_ms), f"aid {kind}, a_ms bigint, sid {kind}, s_ms bigint, sensor_type string, abs_dt bigint")
+
+
+def _nearest_of_groups(window_ms: int):
+    """For each group's left rows the nearest of its right rows, which are in order of time and id, or nulls."""
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lefts, rights in zip(batch.column("lefts"), batch.column("rights"), strict=True):
+                (aid, a_ms), (s_ms, sid, kind) = lefts.values.flatten(), rights.values.flatten()
+                t, ms = s_ms.to_numpy(zero_copy_only=False), a_ms.to_numpy(zero_copy_only=False)
+                times, first = np.unique(t, return_index=True)  # the first row of a time has its smallest id
+                best, away = np.zeros(len(ms), np.int64), np.full(len(ms), window_ms + 1, np.int64)
+                if len(times):
+                    after = np.searchsorted(times, ms, "right")
+                    low, high = np.maximum(after - 1, 0), np.minimum(after, len(times) - 1)
+                    nearer = np.where(np.abs(ms - times[low]) <= np.abs(times[high] - ms), low, high)
+                    best, away = first[nearer], np.abs(times[nearer] - ms)
+                lost = away > window_ms
+                at = pa.array(best, mask=lost)
+                yield pa.RecordBatch.from_arrays([aid, a_ms, sid.take(at), s_ms.take(at), kind.take(at), pa.array(away, mask=lost)], ["aid", "a_ms", "sid", "s_ms", "sensor_type", "abs_dt"])
+
+    return nearest
 
 
 def write_match_rate(matches: DataFrame, path: str, rate_path: str, checkpoint: str, trigger: dict | None = None, name: str = "match_rate") -> StreamingQuery:

@@ -90,3 +90,38 @@ def test_near_pairs_in_tasks_by_rows(spark, monkeypatch, window):
 
 def test_interval_pairs_over_copies(spark, larger):
     same_events(spark, "interval_pairs", larger)
+
+
+@pytest.mark.parametrize("window", [0, 7, 300])
+def test_streamed_nearest_makes_no_pairs(spark, window):
+    """The expressions of the stream over tables, against all pairs; times below zero, ends of the window and ties are among them."""
+    from eventloom.operators.fusion import nearest_or_none
+    from eventloom.streaming import queries as st
+
+    left = spark.range(150).select(F.concat(F.lit("l"), "id").alias("event_id"), (F.col("id") * 7919 % 1999 - 900).alias("ms"))
+    left = left.unionByName(left.where("ms % 3 = 0")).unionByName(spark.createDataFrame([("far", 99_999)], "event_id string, ms long"))
+    rights = {k: spark.range(90).select(F.concat(F.lit(k), "id").alias("event_id"), F.when(F.col("id") != 5, F.col("id") * n % 503 * 4 - 900).alias("ms")) for k, n in (("a", 104729), ("b", 1299709))}
+    got = st.fusion_outer_stream(left, rights, window)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan
+    every = rights["a"].withColumn("k", F.lit("a")).unionByName(rights["b"].withColumn("k", F.lit("b"))).select(F.col("event_id").alias("sid"), F.col("ms").alias("s_ms"), F.col("k").alias("sensor_type"))
+    a = left.select(F.col("event_id").alias("aid"), F.col("ms").alias("a_ms"), F.timestamp_millis("ms").alias("a_time"))
+    want = nearest_or_none(a.join(every, F.abs(F.col("s_ms") - F.col("a_ms")) <= window, "left"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_files_of_a_stream_are_cut_in_one_pass(spark, tmp_path):
+    """Each file holds its stretch of the order, and the table is read once, not once for each file."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for p in parts:
+            seen.add(len(p))
+            yield p
+
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 100 != 7, F.col("id") * 7919 % 1000).alias("t")).mapInPandas(counted, "id long, t long")
+    parts = q_streaming.cut_at(rows, F.col("t"), [99, 499, 998, 999])
+    low, high = [None, 99, 499, 998], [99, 499, 998, 999]
+    for part, below, upto in zip(parts, low, high, strict=True):
+        assert part.where(F.coalesce((F.col("t") <= (below if below is not None else -1)) | (F.col("t") > upto), F.lit(below is not None))).isEmpty()
+    assert sum(p.count() for p in parts) == 1000 and seen.value == 1000
