@@ -8,12 +8,30 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 GAP, STILL = "sequence_gap", "timestamp_not_advancing"
+_WAITING = pa.schema([("id", pa.string()), ("seq", pa.int64()), ("ms", pa.int64())])
+
+
+#: Rows of an entry of the state: what waits is kept in packed entries, since a call to the state costs more than a row's judgement.
+ROWS_PER_ENTRY = 100_000
+
+
+def _packed(rows: pa.Table) -> list[tuple[bytes]]:
+    """Entries of the state that hold the rows."""
+    out = []
+    for part in rows.combine_chunks().to_batches(ROWS_PER_ENTRY):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema) as writer:
+            writer.write_batch(part)
+        out.append((sink.getvalue().to_pybytes(),))
+    return out
 
 
 class SequenceRules(StatefulProcessor):
@@ -22,36 +40,40 @@ class SequenceRules(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "seq bigint, ms bigint")
-        self.pending = handle.getListState("pending", "id string, seq bigint, ms bigint")
-
-    def _judge(self, watermark: int) -> pd.DataFrame:
-        """The rules of all rows that no earlier one can still come before."""
-        rows = sorted((tuple(r) for r in self.pending.get()), key=lambda r: (r[2], r[1]))
-        ready, rest = [r for r in rows if r[2] <= watermark], [r for r in rows if r[2] > watermark]
-        before, out = self.last.get() if self.last.exists() else None, []
-        for id_, seq, ms in ready:
-            out.append((id_, None if before is None else GAP if seq - before[0] > 1 else STILL if ms <= before[1] else None))
-            before = (seq, ms)
-        if ready:
-            self.last.update(before)
-            if rest:
-                self.pending.put(rest)
-            else:
+        self.pending = handle.getListState("pending", "rows binary")
+
+    def _judge(self, watermark: int, came: list[pa.Table]) -> pd.DataFrame:
+        """The rules of all rows that no earlier one can still come before; what came joins those that wait."""
+        rows = pa.concat_tables([_WAITING.empty_table(), *(pa.ipc.open_stream(bytes(e[0])).read_all() for e in self.pending.get()), *came])
+        seq, ms = rows["seq"].to_numpy(), rows["ms"].to_numpy()
+        passed = ms <= watermark
+        order = np.flatnonzero(passed)
+        order = order[np.lexsort((seq[order], ms[order]))]
+        rule = np.full(len(order), None, dtype=object)
+        if len(order):
+            seq, at, before = seq[order], ms[order], self.last.get()
+            rule[1:] = np.where(np.diff(seq) > 1, GAP, np.where(np.diff(at) <= 0, STILL, None))
+            if before is not None:
+                rule[0] = GAP if seq[0] - before[0] > 1 else STILL if at[0] <= before[1] else None
+            self.last.update((int(seq[-1]), int(at[-1])))
+            if passed.all():
                 self.pending.clear()
+            else:
+                self.pending.put(_packed(rows.filter(pa.array(~passed))))
+        elif came:
+            self.pending.appendList(_packed(pa.concat_tables(came)))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if rest:
-            self.handle.registerTimer(rest[0][2])
-        return pd.DataFrame(out, columns=["id", "rule"], dtype=object)
+        if not passed.all():
+            self.handle.registerTimer(int(ms[~passed].min()))
+        return pd.DataFrame({"id": rows["id"].take(pa.array(order)).to_numpy(), "rule": rule}, dtype=object)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for part in rows:
-            if len(part):
-                self.pending.appendList(list(zip(part["id"], part["seq"].tolist(), part["ms"].tolist(), strict=True)))
-        yield self._judge(timerValues.getCurrentWatermarkInMs())
+        came = [pa.Table.from_pandas(part[["id", "seq", "ms"]], schema=_WAITING, preserve_index=False) for part in rows if len(part)]
+        yield self._judge(timerValues.getCurrentWatermarkInMs(), came)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._judge(timerValues.getCurrentWatermarkInMs())
+        yield self._judge(timerValues.getCurrentWatermarkInMs(), [])
 
     def close(self) -> None:
         """Nothing is held outside the state."""

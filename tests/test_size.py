@@ -125,3 +125,48 @@ def test_files_of_a_stream_are_cut_in_one_pass(spark, tmp_path):
     for part, below, upto in zip(parts, low, high, strict=True):
         assert part.where(F.coalesce((F.col("t") <= (below if below is not None else -1)) | (F.col("t") > upto), F.lit(below is not None))).isEmpty()
     assert sum(p.count() for p in parts) == 1000 and seen.value == 1000
+
+
+@pytest.mark.parametrize("per_entry", [100_000, 300])
+def test_waiting_rows_are_packed(monkeypatch, per_entry):
+    """A thousand waiting rows are one entry of the state, or as many as its bound calls for; a part of them waits on."""
+    import pandas as pd
+    from eventloom.streaming import state
+
+    class Kept:
+        def __init__(self):
+            self.rows, self.most = [], 0
+
+        get = lambda self: self.rows[0] if self.single and self.rows else None if self.single else iter(self.rows)
+        update = lambda self, row: self.rows.__setitem__(slice(None), [row])
+        clear = lambda self: self.rows.clear()
+
+        def put(self, rows):
+            self.rows[:] = rows
+
+        def appendList(self, rows):
+            self.rows += rows
+
+    class Handle:
+        def __init__(self):
+            self.value, self.waiting, self.timers = Kept(), Kept(), []
+            self.value.single, self.waiting.single = True, False
+            self.getValueState, self.getListState = lambda *a: self.value, lambda *a: self.waiting
+            self.listTimers, self.deleteTimer, self.registerTimer = lambda: list(self.timers), self.timers.remove, self.timers.append
+
+    class Clock:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    monkeypatch.setattr(state, "ROWS_PER_ENTRY", per_entry)
+    rules, handle = state.SequenceRules(), Handle()
+    rules.init(handle)
+    rows = pd.DataFrame({"id": [str(i) for i in range(1000)], "seq": [i + i // 7 for i in range(1000)], "ms": [i // 2 * 10 for i in range(1000)]})
+    want = [None] + ["sequence_gap" if i % 7 == 0 else "timestamp_not_advancing" if i % 2 else None for i in range(1, 1000)]
+    assert not len(next(rules.handleInputRows(("k",), iter([rows.sample(frac=1, random_state=1)]), Clock(-1))))
+    assert len(handle.waiting.rows) == -(-1000 // per_entry) and handle.timers == [0]
+    first = next(rules.handleExpiredTimer(("k",), Clock(2500), None))
+    assert handle.timers == [2510] and len(handle.waiting.rows) == -(-498 // per_entry)
+    last = next(rules.handleExpiredTimer(("k",), Clock(9999), None))
+    got = pd.concat([first, last])
+    assert dict(zip(got["id"], got["rule"], strict=True)) == {str(i): r for i, r in enumerate(want)} and not handle.waiting.rows and not handle.timers
