@@ -170,3 +170,45 @@ def test_waiting_rows_are_packed(monkeypatch, per_entry):
     last = next(rules.handleExpiredTimer(("k",), Clock(9999), None))
     got = pd.concat([first, last])
     assert dict(zip(got["id"], got["rule"], strict=True)) == {str(i): r for i, r in enumerate(want)} and not handle.waiting.rows and not handle.timers
+
+
+def test_forest_asks_tasks_for_few_rows(spark, monkeypatch):
+    """The rows of least hash, in its order, without a pool of rows from every task; also where hashes are far from even."""
+    from eventloom.operators import forest
+
+    taken = []
+    monkeypatch.setattr(forest.Forest, "fit", lambda x, *a: taken.append(x))
+    stages = lambda: {s.stageId(): s.resultSize() for s in map(every().apply, range(every().size()))}
+    every = lambda: spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    rows = spark.range(0, 40_000, 1, 40).select("id", F.when(F.col("id") % 10 != 3, F.col("id")).alias("a"), (F.col("id") % 7).alias("b"))
+    least = rows.dropna().select("a", "b", F.xxhash64(F.col("id").cast("string"), F.lit(42)).alias("h")).orderBy("h").limit(500).drop("h").toPandas()
+    before = stages()
+    forest.fit_forest(rows, ["a", "b"], "id", pool=500)
+    sent = sum(size for k, size in stages().items() if k not in before)
+    assert (taken[0] == least.to_numpy(float)).all() and sent < 500_000  # 40 times 500 rows are over a million bytes
+    forest.fit_forest(rows.withColumn("id", F.col("id") % 3), ["a", "b"], "id", pool=500)
+    forest.fit_forest(rows, ["a", "b"], "id", pool=50_000)
+    assert [len(x) for x in taken] == [500, 500, 36_000]
+
+
+def test_forest_scores_rows_once(spark):
+    """What comes after the scores reads them from a table, so that no step goes through the trees again."""
+    assert "EvalPython" not in catalog.QUERIES["isolation_forest"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_forest_score_is_the_mean_path():
+    import numpy as np
+    from eventloom.operators.forest import Forest, mean_depth
+
+    x = np.random.default_rng(3).normal(size=(300, 3))
+    x[0, 1], x[1, 2] = np.inf, -np.inf
+    forest = Forest.fit(x[2:], trees=20, sample=100)
+
+    def path(tree, row):
+        at = 0
+        while (f := forest.feature[tree, at]) >= 0:
+            at = (forest.left if row[f] <= forest.cut[tree, at] else forest.right)[tree, at]
+        return forest.ends[tree, at]
+
+    want = [2 ** (-sum(path(t, row) for t in range(20)) / 20 / mean_depth(100)) for row in x]
+    assert np.allclose(forest.score(x), want, rtol=1e-12, atol=0)
