@@ -212,3 +212,15 @@ def test_forest_score_is_the_mean_path():
 
     want = [2 ** (-sum(path(t, row) for t in range(20)) / 20 / mean_depth(100)) for row in x]
     assert np.allclose(forest.score(x), want, rtol=1e-12, atol=0)
+
+
+def test_near_pairs_come_in_order(spark, monkeypatch):
+    """Within a task by bucket, left row and right row: what a file of pairs needs to stay small."""
+    from eventloom.operators import fusion
+
+    monkeypatch.setattr(fusion, "RIGHTS_PER_TASK", 100)
+    left = spark.range(200).select(F.col("id").alias("aid"), (F.col("id") * 7919 % 1999 - 900).alias("a_ms"))
+    right = spark.range(500).select(F.col("id").alias("sid"), (F.col("id") * 104729 % 103 * 20 - 900).alias("s_ms"), F.lit("x").alias("sensor_type"))
+    for rows in fusion.near_pairs(left, right, 300).rdd.glom().collect():
+        key = [(r.s_ms // 150, r.a_ms, r.aid, r.s_ms, r.sid) for r in rows]
+        assert rows and key == sorted(key)
